@@ -53,12 +53,8 @@ def positive_wavelengths(spectrum: Column) -> Column:
     kept = F.filter(
         samples, lambda s: (s.getField("lambda") > 0) & ~F.isnan(s.getField("lambda"))
     )
-    part = F.struct(
-        *[
-            F.transform(kept, lambda s, leaf=leaf: s.getField(leaf)).alias(leaf)
-            for leaf in SPECTRUM_LEAVES
-        ]
-    )
+    # a field of an array of structs is the array of that field
+    part = F.struct(*[kept.getField(leaf).alias(leaf) for leaf in SPECTRUM_LEAVES])
     return F.when(F.size(kept) > 0, part).otherwise(
         F.raise_error(F.lit("spectrum has no positive wavelengths"))
     )
