@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The split is decided at this order, one bucket of so many is validation.
@@ -16,45 +16,63 @@ def _spread(bits: Column) -> Column:
     return F.conv(F.bin(bits), 4, 10).cast("long")
 
 
-def ang2pix(ra: Column, dec: Column, order: int) -> Column:
-    """Nested pixel of a position in degrees, as BIGINT."""
+def with_pixel(df: DataFrame, order: int, into: str, ra: str = "ra", dec: str = "dec") -> DataFrame:
+    """Add the nested pixel of a position in degrees, as BIGINT.
+
+    Built up in steps: intermediate values are used several times, and one nested
+    expression would repeat them all in the generated code.
+    """
     side = 1 << order
-    z = F.sin(F.radians(dec))
-    turn = (ra - F.floor(ra / 360.0) * 360.0) / 90.0
-    # a negative ra of rounding size wraps to exactly one full turn
-    turn = F.when(turn >= 4.0, F.lit(0.0)).otherwise(turn)
-
-    # equatorial belt: count the ascending and descending cell edges
-    up = F.floor(side * (0.5 + turn - 0.75 * z)).cast("long")
-    down = F.floor(side * (0.5 + turn + 0.75 * z)).cast("long")
-    up_face, down_face = F.shiftright(up, order), F.shiftright(down, order)
-    belt_face = (
-        F.when(up_face == down_face, up_face.bitwiseOR(F.lit(4)))
-        .when(up_face < down_face, up_face)
-        .otherwise(down_face + 8)
-    )
-    belt_x = down.bitwiseAND(F.lit(side - 1))
-    belt_y = (side - 1) - up.bitwiseAND(F.lit(side - 1))
-
-    # polar caps: the face is the quadrant, rows shrink towards the pole
-    quadrant = F.least(F.lit(3), F.floor(turn)).cast("long")
-    part = turn - quadrant
-    # 1-|z| cancels close to the pole; the half angle form does not
-    colatitude = F.radians(F.lit(90.0) - F.abs(dec))
-    scale = side * F.sqrt(F.lit(6.0)) * F.abs(F.sin(colatitude / 2.0))
-    cap_up = F.least(F.floor(part * scale).cast("long"), F.lit(side - 1))
-    cap_down = F.least(F.floor((1.0 - part) * scale).cast("long"), F.lit(side - 1))
-    north = dec >= 0
-    cap_face = F.when(north, quadrant).otherwise(quadrant + 8)
-    cap_x = F.when(north, (side - 1) - cap_down).otherwise(cap_up)
-    cap_y = F.when(north, (side - 1) - cap_up).otherwise(cap_down)
-
-    belt = F.abs(z) <= 2.0 / 3.0
-    face = F.when(belt, belt_face).otherwise(cap_face)
-    x = F.when(belt, belt_x).otherwise(cap_x)
-    y = F.when(belt, belt_y).otherwise(cap_y)
-    pixel = face * (side * side) + _spread(x) + _spread(y) * 2
-    return pixel.cast("long")
+    low = F.lit(side - 1).cast("long")
+    lon, lat = F.col(ra), F.col(dec)
+    turn = (lon - F.floor(lon / 360.0) * 360.0) / 90.0
+    steps = [
+        {
+            "_z": F.sin(F.radians(lat)),
+            "_turn": turn,
+            # 1-|z| cancels close to the pole; the half angle form does not
+            "_scale": side * F.sqrt(F.lit(6.0)) * F.abs(F.sin(F.radians(90.0 - F.abs(lat)) / 2.0)),
+        },
+        # a negative ra of rounding size wraps to exactly one full turn
+        {"_turn": F.when(F.col("_turn") >= 4.0, F.lit(0.0)).otherwise(F.col("_turn"))},
+        {
+            "_belt": F.abs(F.col("_z")) <= 2.0 / 3.0,
+            # equatorial belt: ascending and descending cell edges
+            "_up": F.floor(side * (0.5 + F.col("_turn") - 0.75 * F.col("_z"))).cast("long"),
+            "_down": F.floor(side * (0.5 + F.col("_turn") + 0.75 * F.col("_z"))).cast("long"),
+            # polar caps: the face is the quadrant, rows shrink towards the pole
+            "_quad": F.least(F.lit(3), F.floor("_turn")).cast("long"),
+        },
+        {
+            "_up_face": F.shiftright("_up", order),
+            "_down_face": F.shiftright("_down", order),
+            "_part": F.col("_turn") - F.col("_quad"),
+        },
+        {
+            "_cap_up": F.least(F.floor(F.col("_part") * F.col("_scale")).cast("long"), low),
+            "_cap_down": F.least(F.floor((1.0 - F.col("_part")) * F.col("_scale")).cast("long"), low),
+        },
+        {
+            "_face": F.when(
+                F.col("_belt"),
+                F.when(F.col("_up_face") == F.col("_down_face"), F.col("_up_face").bitwiseOR(F.lit(4)))
+                .when(F.col("_up_face") < F.col("_down_face"), F.col("_up_face"))
+                .otherwise(F.col("_down_face") + 8),
+            ).otherwise(F.when(lat >= 0, F.col("_quad")).otherwise(F.col("_quad") + 8)),
+            "_x": F.when(F.col("_belt"), F.col("_down").bitwiseAND(low))
+            .when(lat >= 0, low - F.col("_cap_down"))
+            .otherwise(F.col("_cap_up")),
+            "_y": F.when(F.col("_belt"), low - F.col("_up").bitwiseAND(low))
+            .when(lat >= 0, low - F.col("_cap_up"))
+            .otherwise(F.col("_cap_down")),
+        },
+        {into: (F.col("_face") * (side * side) + _spread(F.col("_x")) + _spread(F.col("_y")) * 2).cast("long")},
+    ]
+    made = set()
+    for step in steps:
+        made |= set(step)
+        df = df.withColumns(step)
+    return df.drop(*(made - {into}))
 
 
 def ancestor(pixel: Column, order: Column | int, at: Column | int) -> Column:

@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.healpix import ang2pix
+from ..functions.healpix import with_pixel
 from ..functions.ids import normalize_id
 from ..functions.numeric import finite
 from ..functions.sphere import chord, separation_arcsec, unit_vector
@@ -39,9 +39,7 @@ ANCHOR_POINT = ["anchor_id", "anchor_order", "anchor_pixel", "hx", "hy", "hz"]
 
 def with_cell(df: DataFrame, order: int, ra: str = "ra", dec: str = "dec") -> DataFrame:
     """Add the HEALPix cell (``norder``, ``npix``) of each row's position."""
-    return df.withColumns(
-        {"norder": F.lit(order).cast("tinyint"), "npix": ang2pix(F.col(ra), F.col(dec), order)}
-    )
+    return with_pixel(df, order, "npix", ra, dec).withColumn("norder", F.lit(order).cast("tinyint"))
 
 
 def _grid(values: Sequence[str | Column], edge: float) -> list[Column]:

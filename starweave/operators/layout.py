@@ -39,29 +39,28 @@ def _block(prefix: str = "partner_") -> Column:
     )
 
 
-def singletons(edges: DataFrame) -> DataFrame:
-    """One row: smallest and largest value, and NULL count, of the table-wide constants."""
+def singleton_columns(edges: DataFrame) -> list[Column]:
+    """Smallest and largest value, and NULL count, of the table-wide constants."""
     columns = ("index_schema_version", "anchor_source", "anchor_revision", "epoch_treatment")
-    present = [c for c in columns if c in edges.columns]
-    parts = []
-    for c in present:
+    parts = [F.count("*").alias("rows")]
+    for c in [c for c in columns if c in edges.columns]:
         parts += [
             F.min(c).alias(f"{c}_low"),
             F.max(c).alias(f"{c}_high"),
             F.count_if(F.col(c).isNull()).alias(f"{c}_nulls"),
         ]
-    return edges.agg(F.count("*").alias("rows"), *parts)
+    return parts
 
 
-def revision_conflicts(edges: DataFrame) -> DataFrame:
-    """Sources whose rows do not all carry the same revision."""
-    return (
-        edges.groupBy("partner_source")
-        .agg(
-            F.min("partner_revision").alias("revision_low"),
-            F.max("partner_revision").alias("revision_high"),
-        )
-        .where(F.col("revision_low") != F.col("revision_high"))
+def singletons(edges: DataFrame) -> DataFrame:
+    return edges.agg(*singleton_columns(edges))
+
+
+def source_revisions(edges: DataFrame) -> DataFrame:
+    """Smallest and largest revision of each source; they must be the same."""
+    return edges.groupBy("partner_source").agg(
+        F.min("partner_revision").alias("revision_low"),
+        F.max("partner_revision").alias("revision_high"),
     )
 
 

@@ -6,10 +6,8 @@ files can hold it.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.healpix import split_of_cell
@@ -31,12 +29,17 @@ def hash_split(cells: DataFrame, split: str) -> DataFrame:
     return cells.where(kept)
 
 
+def reserved(count: int, reserve: int = VAL_PARTITIONS) -> int:
+    """How many of ``count`` cells validation gets."""
+    return min(reserve, max(1, count // 5)) if reserve else 0
+
+
 def positional_split(cells: DataFrame, split: str, reserve: int = VAL_PARTITIONS) -> DataFrame:
     """The first cells in (order, pixel) order are validation, at most a fifth of them."""
     check_split(split)
     if not reserve:
         return cells
-    first = cells.orderBy("norder", "npix").limit(min(reserve, max(1, cells.count() // 5)))
+    first = cells.orderBy("norder", "npix").limit(reserved(cells.count(), reserve))
     if split == "val":
         return first
     return cells.join(first.select("norder", "npix"), ["norder", "npix"], "left_anti")
@@ -49,11 +52,10 @@ def permutation(count: int, seed: int, epoch: int) -> list[int]:
 
 def permute_cells(cells: DataFrame, seed: int, epoch: int) -> DataFrame:
     """Add ``cell_rank``: the cell's place in this epoch's order."""
-    kept = ["norder", "npix", *[c for c in cells.columns if c not in ("norder", "npix")]]
-    rows = cells.select(*kept).orderBy("norder", "npix").collect()
+    rows = cells.select("norder", "npix").orderBy("norder", "npix").collect()
     ranked = [(*rows[at], rank) for rank, at in enumerate(permutation(len(rows), seed, epoch))]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cells.select(*kept).schema)
-    return cells.sparkSession.createDataFrame(ranked, f"{schema}, cell_rank int")
+    ranks = cells.sparkSession.createDataFrame(ranked, "norder tinyint, npix bigint, cell_rank int")
+    return cells.join(small(ranks, len(ranked)), ["norder", "npix"])
 
 
 def deal_cells(cells: DataFrame, shard: int, num_shards: int) -> DataFrame:
@@ -66,18 +68,3 @@ def deal_cells(cells: DataFrame, shard: int, num_shards: int) -> DataFrame:
 def small(df: DataFrame, rows: int) -> DataFrame:
     """Broadcast hint for a cell table whose row count is known to be small."""
     return F.broadcast(df) if rows <= BROADCAST_CELLS else df
-
-
-def require_cells(wanted: DataFrame, listed: DataFrame, what: str) -> None:
-    """Every wanted cell must have a file."""
-    missing = wanted.join(listed.select("norder", "npix"), ["norder", "npix"], "left_anti")
-    gone = missing.agg(F.count("*").alias("n"), F.min(F.struct("norder", "npix")).alias("first")).first()
-    if gone["n"]:
-        raise ValueError(
-            f"match index references {gone['n']} {what} partitions absent from the catalog "
-            f"(first: {tuple(gone['first'])})"
-        )
-
-
-def cell_table(spark: SparkSession, cells: Sequence[tuple[int, int]]) -> DataFrame:
-    return spark.createDataFrame(list(cells), "norder tinyint, npix bigint")

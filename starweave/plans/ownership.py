@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.healpix import crc_bucket, split_of_cell
+from ..session import cut_lineage
 
 PARTNER = ["source", "partner_norder", "partner_npix"]
 
@@ -15,11 +16,12 @@ def references(partner_cells: DataFrame, listings: DataFrame) -> DataFrame:
 
     ``listings``: source, partner_norder, partner_npix, path.
     """
-    missing = partner_cells.join(listings, PARTNER, "left_anti").orderBy(*PARTNER).first()
+    refs = cut_lineage(partner_cells.join(listings, PARTNER, "left"))
+    missing = refs.where(F.col("path").isNull()).orderBy(*PARTNER).first()
     if missing is not None:
         cell = (missing["partner_norder"], missing["partner_npix"])
         raise ValueError(f"index references missing {missing['source']} partition {cell}")
-    return partner_cells.join(listings, PARTNER)
+    return refs
 
 
 def elect_owners(candidates: DataFrame) -> DataFrame:

@@ -56,6 +56,7 @@ class Catalog:
     spark: SparkSession
     url: str
     files: DataFrame  # (norder, npix, path), one row per partition
+    schema: T.StructType
 
     @classmethod
     def open(cls, spark: SparkSession, url: str) -> Catalog:
@@ -71,15 +72,12 @@ class Catalog:
         except AnalysisException as error:
             if "PATH_NOT_FOUND" not in str(error):
                 raise
-        return cls(spark, base, cls._list(spark, base))
-
-    @staticmethod
-    def _list(spark: SparkSession, base: str) -> DataFrame:
-        files = Catalog._read_all(spark, base).inputFiles()
-        listed = spark.createDataFrame([(f,) for f in sorted(files)], "file string")
+        table = cls._read_all(spark, base)
+        listed = spark.createDataFrame([(f,) for f in sorted(table.inputFiles())], "file string")
         path = partition_path(F.col("file"))
         order, pixel = cell_of_path(path)
-        return listed.select(order.alias("norder"), pixel.alias("npix"), path.alias("path")).distinct()
+        files = listed.select(order.alias("norder"), pixel.alias("npix"), path.alias("path"))
+        return cls(spark, base, files.distinct(), table.schema)
 
     @staticmethod
     def _read_all(spark: SparkSession, base: str) -> DataFrame:
@@ -102,7 +100,7 @@ class Catalog:
             chosen = sorted(set(files))
             if not chosen:
                 return self.empty(columns)
-            table = self.spark.read.parquet(*chosen)
+            table = self.spark.read.schema(self.schema).parquet(*chosen)
         path = partition_path(F.col("_metadata.file_path"))
         order, pixel = cell_of_path(path)
         return table.select(
@@ -121,10 +119,6 @@ class Catalog:
         table = self.scan([])
         return table.groupBy("norder", "npix", "path").agg(F.count("*").alias("rows"))
 
-    def schema(self) -> T.StructType:
-        path = self.files.select("path").first()["path"]
-        return self.spark.read.parquet(path).schema
-
 
 def union_schema(left: T.StructType, right: T.StructType) -> T.StructType:
     """All columns of both catalogs; the right one wins where both have a name."""

@@ -6,7 +6,7 @@ import os
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.layout import (
@@ -14,8 +14,8 @@ from ..operators.layout import (
     bad_separation,
     partner_conflicts,
     quoted,
-    revision_conflicts,
-    singletons,
+    singleton_columns,
+    source_revisions,
     unpivot_edges,
     wide_sources,
 )
@@ -177,8 +177,7 @@ def _from_pairs(table: DataFrame) -> MatchIndex:
     return _build(1, (PAIR_ANCHOR_SOURCE, ""), {PAIR_SOURCE: ""}, rows, _last_wins(rows), cells)
 
 
-def _header(table: DataFrame, version: int) -> tuple[str, str]:
-    one = singletons(table).first()
+def _check_header(one: Row, version: int) -> tuple[str, str]:
     low, high = one["index_schema_version_low"], one["index_schema_version_high"]
     if one["index_schema_version_nulls"] or (low, high) != (version, version):
         raise ValueError(f"match index mixes schema versions {sorted({str(low), str(high)})}")
@@ -189,30 +188,27 @@ def _header(table: DataFrame, version: int) -> tuple[str, str]:
 
 
 def _revisions(edges: DataFrame) -> dict[str, str]:
-    mixed = revision_conflicts(edges).first()
-    if mixed is not None:
-        raise ValueError(f"partner {mixed['partner_source']!r} mixes revisions")
-    rows = (
-        edges.groupBy("partner_source")
-        .agg(F.min("partner_revision").alias("revision"))
-        .limit(MAX_SOURCES)
-        .collect()
-    )
-    return {str(row["partner_source"]): str(row["revision"]) for row in rows}
+    rows = source_revisions(edges).limit(MAX_SOURCES + 1).collect()
+    if len(rows) > MAX_SOURCES:
+        raise ValueError(f"match index has more than {MAX_SOURCES} partner sources")
+    for row in rows:
+        if row["revision_low"] != row["revision_high"]:
+            raise ValueError(f"partner {row['partner_source']!r} mixes revisions")
+    return {str(row["partner_source"]): str(row["revision_low"]) for row in rows}
 
 
 def _from_edges(table: DataFrame) -> MatchIndex:
-    header = _header(table, EDGE_VERSION)
-    checks = table.agg(
-        F.min(
-            F.when(~F.col("join_kind").eqNullSafe(F.lit("positional")), F.coalesce("join_kind", F.lit("NULL")))
-        ).alias("join_kind"),
+    other_kind = ~F.col("join_kind").eqNullSafe(F.lit("positional"))
+    one = table.agg(
+        *singleton_columns(table),
+        F.min(F.when(other_kind, F.coalesce("join_kind", F.lit("NULL")))).alias("join_kind"),
         F.count_if(bad_separation(F.col("separation_arcsec"), F.col("match_radius_arcsec"))).alias("bad"),
     ).first()
-    if checks["join_kind"] is not None:
-        raise ValueError(f"unknown join kind {checks['join_kind']!r}")
-    if checks["bad"]:
-        raise ValueError(f"invalid positional match-index row ({checks['bad']} of them)")
+    header = _check_header(one, EDGE_VERSION)
+    if one["join_kind"] is not None:
+        raise ValueError(f"unknown join kind {one['join_kind']!r}")
+    if one["bad"]:
+        raise ValueError(f"invalid positional match-index row ({one['bad']} of them)")
     revisions = _revisions(table)
     clash = partner_conflicts(table).first()
     if clash is not None:
@@ -225,11 +221,9 @@ def _from_edges(table: DataFrame) -> MatchIndex:
 
 
 def _from_wide(table: DataFrame) -> MatchIndex:
-    header = _header(table, WIDE_VERSION)
     sources = wide_sources(table)
-    if not sources:
-        raise ValueError("wide match index has no spoke columns")
-    bad = table.agg(
+    one = table.agg(
+        *singleton_columns(table),
         *[
             F.min(
                 F.when(
@@ -243,9 +237,12 @@ def _from_wide(table: DataFrame) -> MatchIndex:
             for i, s in enumerate(sources)
         ]
     ).first()
+    header = _check_header(one, WIDE_VERSION)
+    if not sources:
+        raise ValueError("wide match index has no spoke columns")
     for i, s in enumerate(sources):
-        if bad[f"_{i}"] is not None:
-            raise ValueError(f"invalid {s} match for anchor {bad[f'_{i}']!r}")
+        if one[f"_{i}"] is not None:
+            raise ValueError(f"invalid {s} match for anchor {one[f'_{i}']!r}")
     long = unpivot_edges(table, sources)
     revisions = _revisions(long)
     rows = _normal(long)

@@ -4,17 +4,19 @@ from __future__ import annotations
 
 import warnings
 from collections.abc import Iterator
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.healpix import split_of_cell
 from ..operators import pair, star
 from ..operators.star import Spoke
 from ..plans import cells as plan
 from ..plans.ownership import graph_owners, pair_owners, references
 from ..sources.adapters import IMAGE_SHAPE, HubAdapter, SpokeAdapter, adapter_for, hub_adapter, spoke_adapters
-from ..sources.catalog import Registry
+from ..session import cut_lineage
+from ..sources.catalog import Catalog, Registry
 from ..sources.index import (
     GRAPH_ASSEMBLY,
     MATCH_INDEX_ENV,
@@ -26,6 +28,8 @@ from ..sources.index import (
     resolve_match_index,
 )
 
+CELL_SCHEMA = "norder tinyint, npix bigint, path string, cell_rank int"
+
 
 @dataclass(frozen=True)
 class Stream:
@@ -37,12 +41,8 @@ class Stream:
     fingerprint: dict
     missing: DataFrame | None = None
     position: tuple | None = None
-    shard_of: tuple[int, int] = field(default=(0, 1))
-
-    @property
-    def n_shards(self) -> int:
-        """Physical shards: one per anchor cell."""
-        return self.cells.count()
+    n_shards: int = 0  # one per anchor cell
+    shard_of: tuple[int, int] = (0, 1)
 
     def ordered(self) -> DataFrame:
         return self.records.orderBy(*self.order)
@@ -74,6 +74,7 @@ class Stream:
             self,
             records=self.records.join(keep, "cell_rank", "left_semi"),
             cells=self.cells.join(keep, "cell_rank", "left_semi"),
+            n_shards=len(mine),
             shard_of=(index, num_shards),
         )
 
@@ -125,8 +126,16 @@ def _listings(spark: SparkSession, catalogs: dict) -> DataFrame:
     return result
 
 
-def _paths(refs: DataFrame, source: str) -> list[str]:
-    return [r[0] for r in refs.where(F.col("source") == source).select("path").distinct().collect()]
+def _paths(*tables: DataFrame) -> list[dict[str, list[str]]]:
+    """Per table, the partition files of each source; metadata, so held on the driver."""
+    rows = None
+    for n, table in enumerate(tables):
+        one = table.select(F.lit(n).alias("table"), "source", "path").distinct()
+        rows = one if rows is None else rows.unionByName(one)
+    found: list[dict[str, list[str]]] = [{} for _ in tables]
+    for row in rows.collect():
+        found[row["table"]].setdefault(row["source"], []).append(row["path"])
+    return found
 
 
 def open_stream(
@@ -177,84 +186,110 @@ def open_stream(
     return stream
 
 
-def _rank_cells(in_split: DataFrame, where: tuple) -> tuple[DataFrame, list[Row]]:
-    """This rank's cells with their place in the epoch; metadata, so held on the driver."""
-    _, seed, epoch, shard, num_shards = where
-    ranked = plan.deal_cells(plan.permute_cells(in_split, seed, epoch), shard, num_shards)
-    return ranked, ranked.collect()
+def _rank_cells(
+    index: MatchIndex, anchors: Catalog, split: str, seed: int, epoch: int, shard: int, num_shards: int
+) -> tuple[DataFrame, list[str]]:
+    """This rank's cells with their place in the epoch, and their files.
+
+    One row per anchor partition: metadata, so held on the driver.
+    """
+    listed = index.anchor_cells.join(anchors.files, ["norder", "npix"], "left")
+    if index.is_graph:
+        order = F.col("norder").cast("int")
+        listed = listed.withColumn("split", split_of_cell(order, F.col("npix")))
+    rows = sorted(listed.collect(), key=lambda r: (r["norder"], r["npix"]))
+    missing = [(r["norder"], r["npix"]) for r in rows if r["path"] is None]
+    if missing:
+        raise ValueError(
+            f"match index references {len(missing)} anchor partitions absent from "
+            f"{anchors.url} (first: {missing[0]})"
+        )
+    if index.is_graph:
+        rows = [r for r in rows if r["split"] == split]
+    else:
+        first = plan.reserved(len(rows))
+        rows = rows[:first] if split == "val" else rows[first:]
+    ranked = [
+        (rows[at]["norder"], rows[at]["npix"], rows[at]["path"], rank)
+        for rank, at in enumerate(plan.permutation(len(rows), seed, epoch))
+        if num_shards <= 1 or rank % num_shards == shard
+    ]
+    cells = index.anchor_cells.sparkSession.createDataFrame(ranked, CELL_SCHEMA)
+    return cells, [r[2] for r in ranked]
 
 
 def _graph_stream(spark, registry, index: MatchIndex, where, hub, adapters, check, fingerprint) -> Stream:
-    split = where[0]
     anchors = registry.open(spark, index.anchor_source, index.anchor_revision)
     catalogs = {
         source: registry.open(spark, source, revision)
         for source, revision in index.partner_revisions.items()
     }
     used = {s: adapter_for(s, adapters) for s in catalogs}
-    plan.require_cells(index.anchor_cells, anchors.files, "anchor")
-    in_split = plan.hash_split(index.anchor_cells, split).join(anchors.files, ["norder", "npix"])
-    cells, rows = _rank_cells(in_split, where)
-    ranks = plan.small(cells.select("norder", "npix", "cell_rank"), len(rows))
+    cells, files = _rank_cells(index, anchors, *where)
+    ranks = plan.small(cells.select("norder", "npix", "cell_rank"), len(files))
+    own_cells = ranks.drop("cell_rank")
 
     refs = references(index.partner_cells, _listings(spark, catalogs))
     eligible = [s for s, a in used.items() if a.emits_unmatched]
-    owners = graph_owners(refs, split, eligible).join(ranks, ["norder", "npix"])
-    mine = refs.join(ranks.drop("cell_rank"), ["norder", "npix"], "left_semi")
-
-    spokes = {
-        s: Spoke(a, catalogs[s].scan(a.read_columns, _paths(mine, s))) for s, a in used.items()
-    }
-    lone = {
-        s: Spoke(used[s], catalogs[s].scan(used[s].read_columns, _paths(owners, s))) for s in eligible
-    }
-    edges = index.edges.join(ranks.drop("cell_rank"), ["norder", "npix"], "left_semi")
-    scan = anchors.scan(hub.read_columns, [r["path"] for r in rows]).drop("path")
+    owners = cut_lineage(graph_owners(refs, where[0], eligible).join(ranks, ["norder", "npix"]))
+    mine = cut_lineage(refs.join(own_cells, ["norder", "npix"], "left_semi"))
+    matched_files, owned_files = _paths(mine, owners)
+
+    def spokes(paths: dict[str, list[str]]) -> dict[str, Spoke]:
+        return {
+            s: Spoke(used[s], catalogs[s].scan(used[s].read_columns, chosen))
+            for s, chosen in paths.items()
+        }
+
+    attached = spokes({s: matched_files.get(s, []) for s in used})
+    edges = cut_lineage(index.edges.join(own_cells, ["norder", "npix"], "left_semi"))
     records = star.assemble(
-        scan.join(ranks, ["norder", "npix"]),
+        anchors.scan(hub.read_columns, files).drop("path").join(ranks, ["norder", "npix"]),
         hub,
         edges,
-        mine.select("norder", "npix", "source", "partner_norder", "partner_npix"),
-        spokes,
-        lone,
+        mine.drop("path"),
+        attached,
+        spokes(owned_files),
         index.matched_ids(),
         owners.select("source", "partner_norder", "partner_npix", "cell_rank"),
         check=check,
     )
-    ids = star.narrow_ids(spokes)
-    missing = None if ids is None else star.missing_partners(edges, star.pointers(edges, mine.drop("path")), ids)
-    return Stream(records, star.ORDER, cells, fingerprint, missing)
+    missing = star.missing_partners(
+        edges, star.pointers(edges, mine.drop("path")), star.narrow_ids(attached)
+    )
+    return Stream(records, star.ORDER, cells, fingerprint, missing, n_shards=len(files))
 
 
 def _pair_stream(spark, registry, index: MatchIndex, where, image_shape, fingerprint) -> Stream:
-    split = where[0]
     edges, partner_cells = pair_view(index)
     anchors = registry.open(spark, index.anchor_source, index.anchor_revision)
     spectra = registry.open(spark, PAIR_SOURCE, index.partner_revisions[PAIR_SOURCE])
-    plan.require_cells(index.anchor_cells, anchors.files, "image")
-    in_split = plan.positional_split(index.anchor_cells, split).join(anchors.files, ["norder", "npix"])
-    cells, rows = _rank_cells(in_split, where)
-    ranks = plan.small(cells.select("norder", "npix", "cell_rank"), len(rows))
+    cells, files = _rank_cells(index, anchors, *where)
+    ranks = plan.small(cells.select("norder", "npix", "cell_rank"), len(files))
+    own_cells = ranks.drop("cell_rank")
 
     refs = references(partner_cells, _listings(spark, {PAIR_SOURCE: spectra}))
-    owners = pair_owners(refs).join(ranks, ["norder", "npix"])
-    mine = refs.join(ranks.drop("cell_rank"), ["norder", "npix"], "left_semi")
+    owners = cut_lineage(pair_owners(refs).join(ranks, ["norder", "npix"]))
+    mine = cut_lineage(refs.join(own_cells, ["norder", "npix"], "left_semi"))
+    (fetched,) = _paths(mine)
 
-    def columns(catalog):
-        return [c for c in catalog.schema().names if c not in ("norder", "npix", "path", "row_index")]
-
-    images = anchors.scan(columns(anchors), [r["path"] for r in rows]).drop("path")
+    images = anchors.scan(_own_columns(anchors), files).drop("path")
     records = pair.pair_records(
         images.join(ranks, ["norder", "npix"]),
-        edges.join(ranks.drop("cell_rank"), ["norder", "npix"], "left_semi"),
+        cut_lineage(edges.join(own_cells, ["norder", "npix"], "left_semi")),
         mine.select("norder", "npix", "partner_norder", "partner_npix"),
-        spectra.scan(columns(spectra), _paths(mine, PAIR_SOURCE)).drop("path"),
+        spectra.scan(_own_columns(spectra), fetched.get(PAIR_SOURCE, [])).drop("path"),
         index.matched_ids(),
         owners.select("partner_norder", "partner_npix", "norder", "npix", "cell_rank"),
         images.groupBy("norder", "npix").agg(F.count("*").alias("rows")),
         image_shape=image_shape,
     )
-    return Stream(records, pair.ORDER, cells, fingerprint)
+    return Stream(records, pair.ORDER, cells, fingerprint, n_shards=len(files))
+
+
+def _own_columns(catalog: Catalog) -> list[str]:
+    """All published columns; Catalyst drops those no record field uses."""
+    return [c for c in catalog.schema.names if c not in ("norder", "npix", "path", "row_index")]
 
 
 __all__ = ["GRAPH_ASSEMBLY", "PAIR_ASSEMBLY", "Stream", "open_stream"]

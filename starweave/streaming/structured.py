@@ -13,10 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .stream import Stream
-
-CELL_SCHEMA = "norder tinyint, npix bigint, path string, cell_rank int"
-
+from .stream import CELL_SCHEMA, Stream
 
 def write_cell_plan(stream: Stream, folder: str) -> int:
     """One JSON file per cell; file times follow the epoch's order, which the source reads by."""
