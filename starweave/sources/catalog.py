@@ -169,8 +169,10 @@ def write_catalog(df: DataFrame, base: str) -> None:
         {"_n": F.col("norder"), "_d": F.floor(F.col("npix") / 10_000) * 10_000, "_p": F.concat("npix", F.lit(".parquet"))}
     ).drop("norder", "npix")
     order = [c for c in ("row_index",) if c in df.columns]
+    # a fixed number: AQE would merge small partitions and write all files from one task
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, 8)
     (
-        cells.repartition("_n", "_p")
+        cells.repartition(tasks, "_n", "_p")
         .sortWithinPartitions("_n", "_p", *order)
         .drop(*order)
         .withColumnsRenamed({"_n": "Norder", "_d": "Dir", "_p": "Npix"})

@@ -28,6 +28,7 @@ from ..sources.index import (
     resolve_match_index,
 )
 
+CELL_COLUMNS = ["norder", "npix", "path", "cell_rank"]
 CELL_SCHEMA = "norder tinyint, npix bigint, path string, cell_rank int"
 
 

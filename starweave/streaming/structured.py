@@ -1,9 +1,10 @@
 """The same stream as a Structured Streaming query with a restartable checkpoint.
 
-The source is the cell plan, written as one small file per cell in the epoch's order. A
-micro-batch takes the next cells, assembles their records as ordinary Spark work and
-writes them below its batch number. A restart continues with the first unfinished cell;
-a repeated batch overwrites its own folder, so every record arrives exactly once.
+The source is the cell plan: small files of cells, written in the epoch's order. A
+micro-batch takes the next file, assembles the records of its cells as ordinary Spark
+work and writes them below its batch number. A restart continues with the first
+unfinished file; a repeated batch overwrites its own folder, so every record arrives
+exactly once.
 """
 
 from __future__ import annotations
@@ -13,35 +14,29 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .stream import CELL_SCHEMA, Stream
+from ..plans.cells import small
+from .stream import CELL_COLUMNS, CELL_SCHEMA, Stream
 
-def write_cell_plan(stream: Stream, folder: str) -> int:
-    """One JSON file per cell; file times follow the epoch's order, which the source reads by."""
+def write_cell_plan(stream: Stream, folder: str, *, cells_per_batch: int = 64) -> int:
+    """Write the plan, one file per micro-batch; file times follow the epoch's order."""
     spark = stream.cells.sparkSession
     rows = sorted(stream.cells.collect(), key=lambda r: r["cell_rank"])
-    for row in rows:
-        one = spark.createDataFrame([tuple(row[c] for c in ("norder", "npix", "path", "cell_rank"))], CELL_SCHEMA)
-        one.coalesce(1).write.mode("append").json(folder)
+    for start in range(0, len(rows), cells_per_batch):
+        group = [tuple(r[c] for c in CELL_COLUMNS) for r in rows[start : start + cells_per_batch]]
+        spark.createDataFrame(group, CELL_SCHEMA).coalesce(1).write.mode("append").json(folder)
     return len(rows)
 
 
-def stream_cells(
-    stream: Stream,
-    plan_folder: str,
-    out: str,
-    checkpoint: str,
-    *,
-    cells_per_batch: int = 1,
-) -> DataFrame:
+def stream_cells(stream: Stream, plan_folder: str, out: str, checkpoint: str) -> DataFrame:
     """Run all outstanding cells of a written plan and return the records written so far."""
     spark = stream.cells.sparkSession
 
     def write_batch(batch: DataFrame, number: int) -> None:
-        ranks = batch.select("cell_rank")
-        done = stream.records.join(F.broadcast(ranks), "cell_rank", "left_semi")
+        ranks = small(batch.select("cell_rank"), batch.count())
+        done = stream.records.join(ranks, "cell_rank", "left_semi")
         done.write.mode("overwrite").parquet(f"{out}/batch={number}")
 
-    run_available(spark, plan_folder, CELL_SCHEMA, checkpoint, write_batch, cells_per_batch)
+    run_available(spark, plan_folder, CELL_SCHEMA, checkpoint, write_batch)
     return spark.read.parquet(out)
 
 
@@ -51,15 +46,10 @@ def run_available(
     schema: str,
     checkpoint: str,
     write_batch: Callable[[DataFrame, int], None],
-    files_per_batch: int,
-    file_format: str = "json",
 ) -> None:
     """Process every file not yet committed in the checkpoint, then stop."""
     source = (
-        spark.readStream.format(file_format)
-        .schema(schema)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .load(folder)
+        spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(folder)
     )
     query = (
         source.writeStream.foreachBatch(write_batch)

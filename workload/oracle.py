@@ -51,7 +51,7 @@ def placed(table: str, owner: str, key: str | None, size: float, order: int) ->
         dec = f"greatest(-90.0::DOUBLE, least(90.0::DOUBLE, {dec} + ({frac(f'({key} * {DEC_JITTER!r}::DOUBLE)')} - 0.5) * {size!r}::DOUBLE))"
     inner = f"SELECT *, {ra} AS ra, {dec} AS dec FROM {table}"
     return f"""SELECT *, {order} AS norder, _healpix_29 >> {2 * (29 - order)} AS npix,
- cos(radians(dec)) * cos(radians(ra)) AS x, cos(radians(dec)) * sin(radians(ra)) AS y, sin(radians(dec)) AS z
+ cos(radians(dec)) * cos(radians(ra)) AS vx, cos(radians(dec)) * sin(radians(ra)) AS vy, sin(radians(dec)) AS vz
  FROM ({indexed(inner)})"""
 
 
@@ -72,7 +72,7 @@ def spoke(source: str) -> str:
 
 def nearest(name: str, hub: str, partner: str, label: str, limit: str = LIMIT, band: str = "0.0003") -> str:
     """Brute force: all pairs in a declination band, then the best per anchor."""
-    d2 = "(h.x - s.x) * (h.x - s.x) + (h.y - s.y) * (h.y - s.y) + (h.z - s.z) * (h.z - s.z)"
+    d2 = "(h.vx - s.vx) * (h.vx - s.vx) + (h.vy - s.vy) * (h.vy - s.vy) + (h.vz - s.vz) * (h.vz - s.vz)"
     return f"""{name} AS MATERIALIZED (SELECT norder, npix, anchor_id, '{label}' AS source, partner_norder, partner_npix, partner_id,
  2 * degrees(asin(sqrt(d2) / 2)) * 3600 AS separation
  FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY d2, partner_id) AS place

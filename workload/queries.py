@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,17 +15,16 @@ from starweave.operators.crossmatch import crossmatch, with_cell
 from starweave.operators.ordering import number_rows
 from starweave.operators.star import Spoke
 from starweave.plans import cells as plan
-from starweave.plans.ownership import elect_owners, graph_owners, pair_owners, references
-from starweave.schemas import EDGE_SCHEMA
+from starweave.plans.ownership import graph_owners, pair_owners, references
 from starweave.session import cut_lineage, scratch_path
 from starweave.sources import adapters as adapt
-from starweave.sources.catalog import Catalog, Registry, write_catalog
+from starweave.sources.catalog import Registry, write_catalog
 from starweave.sources.index import index_from, load_index, write_index
 from starweave.streaming.stream import open_stream
-from starweave.streaming.structured import run_available, stream_cells, write_cell_plan
+from starweave.streaming.structured import stream_cells, write_cell_plan
 
 from . import oracle, sky
-from .oracle import HUB, LIMIT, PAIR, STAR, nearest, query, spoke
+from .oracle import HUB, PAIR, STAR, nearest, query, spoke
 from .sky import HUB_ORDER, HUB_SOURCE, REVISION, SOURCES, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,7 +86,7 @@ def _embedding_sky(spark, sf) -> DataFrame:
 
 
 _EMBEDDING = """v AS MATERIALIZED (SELECT CAST(vec_id AS VARCHAR) AS object_id, CAST(vec_id AS VARCHAR) AS partner_id, label, 0 AS norder, 0 AS npix, 0.0 AS dec,
- a / n AS x, b / n AS y, c / n AS z FROM (SELECT *, sqrt(a * a + b * b + c * c) AS n FROM
+ a / n AS vx, b / n AS vy, c / n AS vz FROM (SELECT *, sqrt(a * a + b * b + c * c) AS n FROM
  (SELECT vec_id, label, embedding[1]::DOUBLE AS a, embedding[2]::DOUBLE AS b, embedding[3]::DOUBLE AS c FROM embeddings))),
 vh AS (SELECT * FROM v WHERE label < 5), vs AS (SELECT * FROM v WHERE label >= 5)"""
 
@@ -178,7 +178,7 @@ def healpix_cells(spark, sf):
 @register(
     query(
         HUB + ",\n" + spoke("desi"),
-        """SELECT s.partner_id AS order_id, round(2 * degrees(asin(least(1.0, sqrt((h.x - s.x) * (h.x - s.x) + (h.y - s.y) * (h.y - s.y) + (h.z - s.z) * (h.z - s.z)) / 2))) * 3600, 4) AS separation
+        """SELECT s.partner_id AS order_id, round(2 * degrees(asin(least(1.0, sqrt((h.vx - s.vx) * (h.vx - s.vx) + (h.vy - s.vy) * (h.vy - s.vy) + (h.vz - s.vz) * (h.vz - s.vz)) / 2))) * 3600, 4) AS separation
  FROM desi s JOIN hub h ON h.c_custkey = s.o_custkey""",
     )
 )
@@ -423,8 +423,7 @@ def _flat(records: DataFrame) -> list[Column]:
 def _with_ranks(df: DataFrame, sf: str) -> DataFrame:
     """Number the anchor cells in catalog order (a permuted epoch is not SQL)."""
     spark = df.sparkSession
-    cells = sky.hub(spark, sf).select("norder", "npix").distinct()
-    ranked = number_rows(cells, [], ["norder"], "npix", into="cell_rank")
+    ranked = number_rows(_cells(spark, sf), [], ["norder"], "npix", into="cell_rank")
     return df.join(ranked.withColumn("cell_rank", F.col("cell_rank").cast("int")), ["norder", "npix"])
 
 
@@ -536,7 +535,7 @@ def _train_records(spark, sf) -> DataFrame:
     index = sky.index(spark, sf)
     train = plan.hash_split(index.anchor_cells, "train").select("norder", "npix")
     hub = _with_ranks(sky.hub(spark, sf), sf).join(train, ["norder", "npix"], "left_semi")
-    owners = _with_ranks(graph_owners(_refs(spark, sf), "train", ["desi", "sdss"]), sf)
+    owners = cut_lineage(_with_ranks(graph_owners(_refs(spark, sf), "train", ["desi", "sdss"]), sf))
     all_spokes = sky.spokes(spark, sf)
     return star.assemble(
         hub,
@@ -909,7 +908,7 @@ def galaxies_adapter(spark, sf):
 
 @register(
     """SELECT l_orderkey, l_linenumber, k AS band, max_by(v, i) AS seeing FROM (SELECT l_orderkey, l_linenumber, unnest([l_returnflag, l_linestatus, 'A']) AS k,
- unnest([l_quantity / 10, l_tax * 50, l_discount * 40]) AS v, unnest([1, 2, 3]) AS i FROM lineitem) WHERE v > 0 AND v < 5 GROUP BY l_orderkey, l_linenumber, k"""
+ unnest([l_quantity / 10, l_tax * 50, l_discount * 40]) AS v, unnest([1, 2, 3]) AS i, n FROM (SELECT *, row_number() OVER () AS n FROM lineitem)) WHERE v > 0 AND v < 5 GROUP BY l_orderkey, l_linenumber, n, k"""
 )
 def band_keyed_map(spark, sf):
     """Values keyed by band name; of equal bands the last valid one stays."""
@@ -966,12 +965,21 @@ def union_missing_columns(spark, sf):
 # -------------------------------------------------------------------- files, end to end
 
 
-def _write_catalogs(spark, sf, names) -> Registry:
+@lru_cache(maxsize=16)
+def _catalog_root(application: str, sf: str) -> str:
+    """The catalogs as files, written once per session."""
+    spark = SparkSession.active()
     root = scratch_path(spark, "catalogs")
+    write_catalog(sky.hub(spark, sf), f"{root}/{HUB_SOURCE}")
+    for name in SOURCES:
+        write_catalog(sky.ROWS[name](spark, sf).drop("o_orderstatus"), f"{root}/{name}")
+    return root
+
+
+def _catalogs(spark, sf) -> Registry:
+    root = _catalog_root(spark.sparkContext.applicationId, sf)
     registry = Registry(pinned=False)
-    for name in names:
-        rows = sky.hub(spark, sf) if name == HUB_SOURCE else sky.ROWS[name](spark, sf).drop("o_orderstatus")
-        write_catalog(rows, f"{root}/{name}")
+    for name in (HUB_SOURCE, *SOURCES):
         registry.register(name, f"{root}/{name}")
     return registry
 
@@ -979,11 +987,10 @@ def _write_catalogs(spark, sf, names) -> Registry:
 @register(query(HUB, "SELECT CAST(norder AS TINYINT) AS norder, npix, count(*) AS rows FROM hub GROUP BY norder, npix"))
 def catalog_listing(spark, sf):
     """Write a partitioned catalog, list its files, count rows from the footers."""
-    registry = _write_catalogs(spark, sf, [HUB_SOURCE])
+    registry = _catalogs(spark, sf)
     return registry.open(spark, HUB_SOURCE, "").row_counts().select("norder", "npix", "rows")
 
 
-_GRAPH_STREAM = f"SELECT r.object_id, r.phase, r.source, {', '.join(_FIELD_NAMES['desi'])} FROM records r"
 _GRAPH_BODY = f"""SELECT r.object_id, phase, r.source, {', '.join(_FIELD_NAMES['desi'])} FROM records r
  LEFT JOIN (SELECT anchor_id AS object_id, {_DESI_FIELDS} FROM e_desi JOIN desi USING (partner_id) UNION ALL SELECT 'desi:' || partner_id, {_DESI_FIELDS} FROM desi) USING (object_id)"""
 
@@ -991,7 +998,7 @@ _GRAPH_BODY = f"""SELECT r.object_id, phase, r.source, {', '.join(_FIELD_NAMES['
 @register(query(_TRAIN, _GRAPH_BODY))
 def open_stream_graph(spark, sf):
     """Catalog files and index on disk → one epoch of the train stream."""
-    registry = _write_catalogs(spark, sf, [HUB_SOURCE, *SOURCES])
+    registry = _catalogs(spark, sf)
     stream = open_stream(spark, registry, seed=7, match_index=sky.index_path(spark, sf), image_shape=sky.HUB_SHAPE)
     return stream.records.select("object_id", "phase", "source", *_flat(stream.records.select("spectrum", "Z", "ZERR", "ZWARN")))
 
@@ -1012,7 +1019,7 @@ train AS (SELECT norder, npix FROM (SELECT *, row_number() OVER (ORDER BY norder
 )
 def open_stream_pair(spark, sf):
     """The image rows of the single-spoke train stream (lone spectra depend on file paths)."""
-    registry = _write_catalogs(spark, sf, [HUB_SOURCE, "desi"])
+    registry = _catalogs(spark, sf)
     stream = open_stream(spark, registry, seed=7, match_index=f"{sky.index_path(spark, sf)}/desi.parquet", image_shape=sky.HUB_SHAPE)
     records = stream.records.where(F.col("phase") == 1)
     return records.select("object_id", *_flat(records.select("spectrum", "Z", "ZERR", "ZWARN")))
@@ -1021,13 +1028,13 @@ def open_stream_pair(spark, sf):
 @register(query(_TRAIN, "SELECT object_id, phase, source FROM records"))
 def structured_stream_cells(spark, sf):
     """The train stream as a Structured Streaming query, stopped and restarted once."""
-    registry = _write_catalogs(spark, sf, [HUB_SOURCE, *SOURCES])
+    registry = _catalogs(spark, sf)
     stream = open_stream(spark, registry, seed=7, match_index=sky.index_path(spark, sf), image_shape=sky.HUB_SHAPE)
     folder, out, marks = (scratch_path(spark, n) for n in ("plan", "out", "marks"))
-    batch = stream.n_shards // 4 + 1
     for half in range(2):
-        write_cell_plan(stream.shard(2, half), folder)
-        done = stream_cells(stream, folder, out, marks, cells_per_batch=batch)
+        part = stream.shard(2, half)
+        write_cell_plan(part, folder, cells_per_batch=part.n_shards // 2 + 1)
+        done = stream_cells(stream, folder, out, marks)
     return done.select("object_id", "phase", "source")
 
 
@@ -1038,7 +1045,6 @@ def structured_stream_resume(spark, sf):
     """Events read as a bounded stream with a checkpoint, joined to the anchors per batch."""
     out, marks = scratch_path(spark, "events"), scratch_path(spark, "marks")
     customers = table(spark, sf, "customer").select(F.col("c_custkey").alias("user_id"))
-    schema = table(spark, sf, "events").schema.simpleString()[len("struct<") : -1]
 
     def write_batch(batch: DataFrame, number: int) -> None:
         batch.join(customers, "user_id", "left_semi").write.mode("overwrite").parquet(f"{out}/batch={number}")
