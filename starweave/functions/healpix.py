@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 SPLIT_ORDER = 4
 SPLIT_BUCKETS = 20
 INDEX_ORDER = 29
+NO_PIXEL = -1
 
 
 def _spread(bits: Column) -> Column:
@@ -17,7 +18,7 @@ def _spread(bits: Column) -> Column:
 
 
 def with_pixel(df: DataFrame, order: int, into: str, ra: str = "ra", dec: str = "dec") -> DataFrame:
-    """Add the nested pixel of a position in degrees, as BIGINT.
+    """Add the nested pixel of a position in degrees, as BIGINT; -1 where there is no position.
 
     Built up in steps: intermediate values are used several times, and one nested
     expression would repeat them all in the generated code.
@@ -26,6 +27,7 @@ def with_pixel(df: DataFrame, order: int, into: str, ra: str = "ra", dec: str =
     low = F.lit(side - 1).cast("long")
     lon, lat = F.col(ra), F.col(dec)
     turn = (lon - F.floor(lon / 360.0) * 360.0) / 90.0
+    pixel = F.col("_face") * (side * side) + _spread(F.col("_x")) + _spread(F.col("_y")) * 2
     steps = [
         {
             "_z": F.sin(F.radians(lat)),
@@ -66,7 +68,9 @@ def with_pixel(df: DataFrame, order: int, into: str, ra: str = "ra", dec: str =
             .when(lat >= 0, low - F.col("_cap_up"))
             .otherwise(F.col("_cap_down")),
         },
-        {into: (F.col("_face") * (side * side) + _spread(F.col("_x")) + _spread(F.col("_y")) * 2).cast("long")},
+        # never NULL: else a later join on the pixel pushes "is not null" down to the scan,
+        # with all these steps nested into one huge predicate
+        {into: F.coalesce(pixel.cast("long"), F.lit(NO_PIXEL).cast("long"))},
     ]
     made = set()
     for step in steps:
