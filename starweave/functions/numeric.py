@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -20,22 +21,36 @@ def finite(value: Column) -> Column:
     return value.isNotNull() & ~F.isnan(number) & (F.abs(number) < F.lit(float("inf")))
 
 
-def keep_if(value: Column, predicate: Predicate | None = None) -> Column:
-    """The value as DOUBLE where it is finite and passes, else NULL (never a default)."""
-    number = value.cast("double")
-    kept = finite(value) if predicate is None else finite(value) & predicate(number)
-    return F.when(kept, number)
+@dataclass(frozen=True)
+class Range:
+    """Predicate: between two finite ends, each open or closed."""
 
+    low: float
+    high: float
+    low_open: bool = False
+    high_open: bool = False
 
-def between(low: float, high: float, *, low_open: bool = False, high_open: bool = False) -> Predicate:
-    """Range predicate with open or closed ends."""
-
-    def test(number: Column) -> Column:
-        above = number > low if low_open else number >= low
-        below = number < high if high_open else number <= high
+    def __call__(self, number: Column) -> Column:
+        above = number > self.low if self.low_open else number >= self.low
+        below = number < self.high if self.high_open else number <= self.high
         return above & below
 
-    return test
+
+def between(low: float, high: float, *, low_open: bool = False, high_open: bool = False) -> Range:
+    return Range(low, high, low_open, high_open)
+
+
+def keep_if(value: Column, predicate: Predicate | None = None) -> Column:
+    """The value as DOUBLE where it is finite and passes, else NULL (never a default).
+
+    A range with two ends already excludes NaN and both infinities, so wide adapters
+    stay small enough for the JIT.
+    """
+    number = value.cast("double")
+    if isinstance(predicate, Range):
+        return F.when(predicate(number), number)
+    kept = finite(value) if predicate is None else finite(value) & predicate(number)
+    return F.when(kept, number)
 
 
 def positive(number: Column) -> Column:
