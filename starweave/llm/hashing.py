@@ -9,7 +9,7 @@ import pyarrow as pa
 
 U = np.uint64
 GOLDEN = U(0x9E3779B97F4A7C15)
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 1_000_000
 
 _WHITE = np.zeros(256, bool)
 _WHITE[[9, 10, 11, 12, 13, 32]] = True

@@ -95,7 +95,7 @@ def _cores(symbols: np.ndarray, at: np.ndarray, size: int, full: bool):
             w = open_[done]
             a, b = left[at[w]], right[ended[w]]
             sums = np.concatenate([np.zeros(1, U), np.cumsum(symbols * power[:m])])
-            core[w] = mix((sums[b] - sums[a]) * unpower[a] + U(number))
+            core[w] = mix((sums[b] - sums[a]) * unpower[a])
             place[w] = origin[a] * (size + 1) + (origin[b] - origin[a])
             if full:
                 key[w] = mix(gone_left[at[w]] * GOLDEN + mix(gone_right[ended[w]]))
@@ -187,14 +187,14 @@ def shared_cores(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """(rid, starts): the starts of windows whose words also start earlier, for texts that have any.
 
-    ``docs`` has rid, text and the cores of ``shared_cores``.
+    ``docs`` has rid, packed (see ``packed_texts``) and the cores of ``shared_cores``.
     """
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rid = batch.column(0).to_numpy(zero_copy_only=False)
             cores = batch.column(2)
-            for first, last, hashes, counts in word_chunks(batch.column(1)):
+            for first, last, hashes, counts in _packed_chunks(batch.column(1)):
                 w = Windows(hashes, counts, window, full=True)
                 number = _ordinal(_runs(w), w.row)
                 listed = cores.slice(first, last - first)
@@ -213,7 +213,7 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                 core[again], key[again] = mix(core[again] + salt), mix(key[again] + start[again].astype(U))
                 yield _batch(core=_longs(core), key=_longs(key), rid=_longs(doc), tag=_longs(start * 2 + again))
 
-    rows = docs.select("rid", "text", "cores").mapInArrow(emit, "core long, key long, rid long, tag long")
+    rows = docs.select("rid", "packed", "cores").mapInArrow(emit, "core long, key long, rid long, tag long")
     place = F.struct("rid", "tag")
     first = rows.withColumn("first", F.min(place).over(Window.partitionBy("core", "key")))
     later = first.where((F.col("tag") % 2 == 1) | (F.col("first") < place))
@@ -260,8 +260,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     copies = keep(copies, "copies")
     cores = keep(shared_cores(docs, window), "cores").join(copies, "rid", "left_anti")
     packed = packed_texts(docs)
-    candidates = packed.join(cores, "rid").mapInArrow(_unpack, "rid long, text string, cores array<int>")
-    starts = keep(repeated_windows(candidates, window), "starts")
+    starts = keep(repeated_windows(packed.join(cores, "rid"), window), "starts")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -308,7 +307,9 @@ def packed_texts(docs: DataFrame) -> DataFrame:
     return docs.select("rid", "text").mapInArrow(pack, "rid long, packed binary")
 
 
-def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        texts = [_plain(x.as_py()).decode() for x in batch.column(1)]
-        yield _batch(rid=batch.column(0), text=pa.array(texts, pa.string()), cores=batch.column(2))
+def _packed_chunks(column: pa.Array, rows: int = 500) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """``word_chunks`` of packed texts, unpacked some rows at a time."""
+    for at in range(0, len(column), rows):
+        texts = [_plain(x.as_py()) for x in column.slice(at, rows)]
+        for first, last, hashes, counts in word_chunks(pa.array(texts, pa.binary()).cast(pa.string())):
+            yield at + first, at + last, hashes, counts
