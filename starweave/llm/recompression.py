@@ -35,6 +35,9 @@ WINDOW = 20
 ROUNDS = 12
 RUN_ROUNDS = (0, 5)
 
+# One odd factor per step of the parse.
+_ODD = np.random.default_rng(11).integers(1, 2**63, 2 * ROUNDS + 2, dtype=np.uint64) * U(2) + U(1)
+
 
 class Windows:
     """The windows of a block of texts: where they start, their core's name, place and key."""
@@ -68,6 +71,8 @@ def _cores(symbols: np.ndarray, at: np.ndarray, size: int, full: bool):
     unpower = np.concatenate([np.ones(1, U), np.cumprod(np.full(n, inverse, U))])
     power = powers(n)
     open_, ended = np.arange(len(at)), at + np.int32(size)
+    begins_here = np.zeros(n - size + 1, bool)
+    begins_here[at] = True
     stages = [(kind, t) for t in range(ROUNDS) for kind in ("run", "pair") if kind == "pair" or t in RUN_ROUNDS]
     for number, (kind, t) in enumerate([*stages, ("end", 0)]):
         m, salt = len(symbols), U(7919 * number + 13)
@@ -82,29 +87,33 @@ def _cores(symbols: np.ndarray, at: np.ndarray, size: int, full: bool):
             next_right = np.where(right > 0, starts[run[last]], np.int32(0))
             drop_left = drop_right = None
         elif kind == "pair":
-            side = (mix(symbols + salt) >> U(40)) & U(1)
-            is_left, is_right = (side == 1) & (symbols != 0), (side == 0) & (symbols != 0)
+            # names are scattered already: the top bit of a product is a fresh bit in every round
+            side, real = (symbols * _ODD[number]) >> U(63) == 1, symbols != 0
+            is_left, is_right = side & real, ~side & real
             first, last = np.minimum(left, m - 1), np.maximum(right - 1, 0)
             drop_left, drop_right = is_right[first] & (left < m), is_left[last] & (right > 0)
             next_left, next_right = left + drop_left, right - drop_right
         if kind == "end":
-            done = np.ones(len(open_), bool)
+            empty = begins_here
         else:
-            done = next_left[at[open_]] >= next_right[ended[open_]]
-        if done.any():
+            empty = (next_left[: n - size + 1] >= next_right[size:]) & begins_here
+        if empty.any():
+            done = empty[at[open_]]
             w = open_[done]
             a, b = left[at[w]], right[ended[w]]
             sums = np.concatenate([np.zeros(1, U), np.cumsum(symbols * power[:m])])
             core[w] = mix((sums[b] - sums[a]) * unpower[a])
             place[w] = origin[a] * (size + 1) + (origin[b] - origin[a])
             if full:
-                key[w] = mix(gone_left[at[w]] * GOLDEN + mix(gone_right[ended[w]]))
+                key[w] = mix(mix(gone_left[at[w]]) * GOLDEN + mix(gone_right[ended[w]] + U(1)))
             open_ = open_[~done]
+            begins_here[at[w]] = False
         if kind == "end" or not len(open_):
             break
         if full:
-            lost_left = mix(gone_left * GOLDEN + symbols[first] + mix((next_left - left).astype(U) + salt))
-            lost_right = mix(gone_right * GOLDEN + symbols[last] + mix((right - next_right).astype(U) + salt))
+            odd = _ODD[number]
+            lost_left = gone_left * GOLDEN + (symbols[first] + (next_left - left).astype(U) * GOLDEN) * odd
+            lost_right = gone_right * GOLDEN + (symbols[last] + (right - next_right).astype(U) * GOLDEN) * odd
             gone_left = lost_left if drop_left is None else np.where(drop_left, lost_left, gone_left)
             gone_right = lost_right if drop_right is None else np.where(drop_right, lost_right, gone_right)
         if kind == "run":
@@ -299,7 +308,7 @@ def packed_texts(docs: DataFrame) -> DataFrame:
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
-        tool = zstandard.ZstdCompressor(level=3, write_content_size=True)
+        tool = zstandard.ZstdCompressor(level=1, write_content_size=True)
         for batch in batches:
             data = [tool.compress((text.as_py() or "").encode()) for text in batch.column(1)]
             yield _batch(rid=batch.column(0), packed=pa.array(data, pa.binary()))
