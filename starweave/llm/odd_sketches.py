@@ -8,14 +8,16 @@ where few do, at 64 bytes a text.
 Texts with equal sets collapse first. Bands of samples then name buckets, and
 
 1. every member of a bucket is paired with the bucket's centre (a seeded pick, another one in
-   each band), pairs whose sketches differ too much are dropped, and each text's most similar
-   pair is confirmed on the full sets; confirmed links give components;
-2. in buckets that still hold several components, all pairs across components whose sizes and
-   sketches allow a link are confirmed on the full sets, and components are drawn again.
+   each band) and pairs whose sketches differ too much are dropped. In four steps each text's
+   nearest pairs that still join two components are confirmed on the full sets, and components are drawn again;
+2. texts in buckets that still hold several components are posted under their rarest shingles, so many
+   that any two linked texts share one; pairs across components that meet there, and whose sizes,
+   places in the lists and sketches allow a link, are confirmed on the full sets, and components are drawn again.
 
-So a bucket costs pairs in proportion to its members while they are one group, and no link between
-members of one bucket is lost, whatever the bucket's size. Two texts at the threshold (0.8)
-share none of 40 bands of 6 with a probability of 5e-6, and fail the sketch test with 1e-7.
+So a group costs pairs in proportion to its members, and no link between members of one bucket
+is lost, whatever the bucket's size: what differs from a large group of copies has rare shingles of its own.
+Two texts at the threshold (0.8) share none of 40 bands of 6 with a probability
+of 5e-6, and fail the sketch test with 1e-7.
 
 Defined results: null, empty and blank texts have no shingles and are linked with nothing. A
 text of fewer words than a shingle has one shingle, all its words. Rows that repeat an id are
@@ -28,7 +30,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import identified, keep
@@ -40,6 +42,8 @@ BANDS, ROWS = 40, 6
 BITS = 512
 SHINGLE = 5
 PERCENT = 80
+#: Pairs with a centre that a text has confirmed in each step; the last step takes all that are left.
+PICKS = (1, 3, 9, BANDS)
 
 _SAMPLES = BANDS * ROWS
 _SEEDS = np.random.default_rng(7).integers(1, 2**32, (2, _SAMPLES), dtype=np.uint64).astype(np.uint32)
@@ -138,16 +142,11 @@ def confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) ->
     """The pairs (a, b) whose full shingle sets reach ``percent``; ``texts`` is (rid, packed)."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zstandard
-
-        tool = zstandard.ZstdDecompressor()
-
         def sets(column: pa.Array) -> Iterator[np.ndarray]:
             known, code = {}, column.dictionary_encode()
             for at in code.indices:
                 if at not in known:
-                    text = pa.array([tool.decompress(code.dictionary[at.as_py()].as_py()).decode()])
-                    known[at] = shingle_set(next(word_chunks(text, lower=True))[2], shingle)
+                    known[at] = shingle_set(_words(code.dictionary[at.as_py()]), shingle)
                     if len(known) > 500:
                         known = {at: known[at]}
                 yield known[at]
@@ -165,6 +164,72 @@ def confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) ->
     return joined.mapInArrow(emit, "a long, b long")
 
 
+def postings(texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """(rid, n, shingle, place): the rarest shingles of each of ``texts`` (rid, packed), as many as all links share one of.
+
+    Two texts that reach ``percent`` share a shingle among the first n - ceil(percent * n / 100) + 1 of
+    each, in any common order; rare ones first makes such a meeting rare.
+    """
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rid, packed in zip(batch.column(0).to_pylist(), batch.column(1)):
+                found = shingle_set(_words(packed), shingle)
+                rids, n = np.full(len(found), rid), np.full(len(found), len(found))
+                yield pa.RecordBatch.from_pydict({"rid": rids, "n": n, "shingle": found.view(np.int64)})
+
+    spread = texts.select("rid", "packed").mapInArrow(emit, "rid long, n long, shingle long")
+    spread = spread.withColumn("texts", F.count("*").over(Window.partitionBy("shingle")))
+    rare_first = Window.partitionBy("rid").orderBy("texts", "shingle")
+    placed = spread.withColumn("place", F.row_number().over(rare_first).cast("long"))
+    wanted = F.col("n") - F.floor((percent * F.col("n") + 99) / 100) + 1
+    return placed.where((F.col("texts") > 1) & (F.col("place") <= wanted)).drop("texts")
+
+
+def _candidates(posted: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) in different components that share a posting and whose sizes, places and sketches allow a link.
+
+    In each list the rows of its largest component are met by the other rows only, not by each other.
+    """
+    sizes = posted.groupBy("shingle", "component").agg(F.count("*").alias("rows"))
+    largest = sizes.groupBy("shingle").agg(F.max_by("component", F.struct("rows", "component")).alias("largest"), F.count("*").alias("parts"))
+    mixed = posted.join(largest.where("parts > 1").drop("parts"), "shingle")
+    x, y = mixed.where("component <> largest").alias("x"), mixed.alias("y")
+    n, m = F.col("x.n"), F.col("y.n")
+    ahead = 1 + F.least(n - F.col("x.place"), m - F.col("y.place"))  # they share no more than this
+    met = x.join(
+        y,
+        (F.col("x.shingle") == F.col("y.shingle"))
+        & (F.col("x.component") != F.col("y.component"))
+        & ((100 + percent) * ahead >= percent * (n + m))
+        & _alike("x", "y", percent),
+    )
+    return met.select(F.least("x.rid", "y.rid").alias("a"), F.greatest("x.rid", "y.rid").alias("b")).distinct()
+
+
+def _words(packed: pa.Scalar) -> np.ndarray:
+    import zstandard
+
+    text = pa.array([zstandard.ZstdDecompressor().decompress(packed.as_py()).decode()])
+    return next(word_chunks(text, lower=True))[2]
+
+
+def _across(pairs: DataFrame, label: DataFrame) -> DataFrame:
+    """The pairs whose texts lie in different components."""
+    a = label.select(F.col("id").alias("a"), F.col("component").alias("_a"))
+    b = label.select(F.col("id").alias("b"), F.col("component").alias("_b"))
+    return pairs.join(a, "a").join(b, "b").where("_a <> _b").drop("_a", "_b")
+
+
+def _merged(label: DataFrame, links: DataFrame) -> DataFrame:
+    """``label`` (id, component) after the components that ``links`` (a, b) join have become one."""
+    a = label.select(F.col("id").alias("a"), F.col("component").alias("_a"))
+    b = label.select(F.col("id").alias("b"), F.col("component").alias("_b"))
+    edges = links.join(a, "a").join(b, "b").select(F.col("_a").alias("a"), F.col("_b").alias("b"))
+    top = components(edges).select(F.col("id").alias("component"), F.col("component").alias("_top"))
+    return label.join(top, "component", "left").select("id", F.coalesce("_top", "component").alias("component"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """(rid, doc_id, n_shingles, component, component_id, kept) for every row of ``docs``.
 
@@ -203,38 +268,29 @@ def linked(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
         stars.join(x, F.col("a") == F.col("x.id"))
         .join(y, F.col("b") == F.col("y.id"))
         .where(_alike("x", "y", percent))
-        .groupBy("a")
-        .agg(F.min_by("b", F.struct(flips, "b")).alias("b"))
+        .select("a", "b", flips.alias("flips"))
     )
     stars = keep(stars, "stars")
     involved = crowded.select(F.col("rep").alias("rid")).distinct()
     texts = keep(packed_texts(docs).join(involved, "rid"), "texts")
-    first = keep(confirmed(stars, texts, shingle, percent), "links")
-    grouped = keep(components(first), "components")
-
-    label = grouped.select(F.col("id").alias("rep"), "component")
-    known = crowded.join(label, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    label = involved.select(F.col("rid").alias("id"), F.col("rid").alias("component"))
+    nearest = Window.partitionBy("a").orderBy("flips", "b")
+    for picks in PICKS:
+        stars = _across(stars, label)  # links within a component need no test
+        ranked = stars.withColumn("_rank", F.row_number().over(nearest))
+        good = keep(confirmed(ranked.where(F.col("_rank") <= picks).select("a", "b"), texts, shingle, percent), "links")
+        stars = keep(ranked.where(F.col("_rank") > picks).drop("_rank"), "stars")
+        label = keep(_merged(label, good), "labels")
+
+    known = crowded.join(label.withColumnRenamed("id", "rep"), "rep")
     mixed = known.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     mixed = known.join(mixed.where("low < high").select("key"), "key")
-    mixed = keep(mixed.join(signs.drop("n"), F.col("rep") == F.col("id")).drop("id", "centre"), "mixed")
-    tested = stars.select(F.col("a"), F.col("b"), F.lit(True).alias("tested"))
-    tested = tested.union(tested.select("b", "a", "tested"))
-    across = (
-        mixed.alias("x")
-        .join(
-            mixed.alias("y"),
-            (F.col("x.key") == F.col("y.key"))
-            & (F.col("x.rep") < F.col("y.rep"))
-            & (F.col("x.component") != F.col("y.component"))
-            & _alike("x", "y", percent),
-        )
-        .select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
-        .distinct()
-        .join(tested, ["a", "b"], "left_anti")
-    )
-    second = confirmed(keep(across, "across"), texts, shingle, percent)
-    links = keep(first.union(second), "links")
-    final = components(links)
+    posted = postings(texts.join(mixed.select(F.col("rep").alias("rid")).distinct(), "rid"), shingle, percent)
+    labelled = posted.join(label.withColumnRenamed("id", "rid"), "rid").join(signs.drop("n"), F.col("rid") == F.col("id"))
+    labelled = keep(labelled.drop("id"), "labelled")
+    across = keep(_candidates(labelled, percent), "across")
+    second = keep(confirmed(keep(across, "across"), texts, shingle, percent), "links")
+    final = _merged(label, second)
 
     sets = unique.select(*same, "rep")
     placed = drawn.select("rid", "doc_id", *same).join(sets, same, "left")
