@@ -93,7 +93,7 @@ def drawn(docs: DataFrame, share: float = SHARE, epochs: int = EPOCHS, weights=W
     sized = docs.select("rid", "doc_id", "source", size_of(F.col("text")).alias("size"), digest.alias("_digest"))
     sized = keep(sized, "sized")
     levels = keep(targets(sized, share, epochs, weights), "targets")
-    whole = F.floor(F.col("target") / F.col("source_size"))
+    whole = F.floor(F.try_divide("target", "source_size"))
     rest = F.round("target").cast("long") - whole * F.col("source_size")
     levels = levels.select(
         F.col("source").alias("_source"),
