@@ -7,8 +7,8 @@ where few do, at 64 bytes a text.
 
 Texts with equal sets collapse first. Bands of samples then name buckets, and
 
-1. every member of a bucket is paired with the bucket's centre (a seeded pick, another one in
-   each band) and pairs whose sketches differ too much are dropped. In four steps each text's
+1. every member of a bucket is paired with the bucket's centre (a pick by one of ``CENTRES``
+   seeds) and pairs whose sketches differ too much are dropped. In four steps each text's
    nearest pairs that still join two components are confirmed on the full sets, and components are drawn again;
 2. texts in buckets that still hold several components are posted under their rarest shingles, so many
    that any two linked texts share one; pairs across components that meet there, and whose sizes,
@@ -40,6 +40,8 @@ from .recompression import packed_texts
 
 BANDS, ROWS = 40, 6
 BITS = 512
+#: Seeds by which buckets pick their centres.
+CENTRES = 6
 SHINGLE = 5
 PERCENT = 80
 #: Pairs with a centre that a text has confirmed in each step; the last step takes all that are left.
@@ -254,8 +256,9 @@ def linked(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
         F.min("rid").alias("rep"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")
     )
     unique = keep(unique, "unique")
-    members = unique.select("rep", "n", F.explode("bands").alias("key"))
-    pick = F.min_by("rep", F.xxhash64("rep", "key"))
+    members = unique.select("rep", "n", F.posexplode("bands").alias("band", "key"))
+    # bands of one seed mostly agree on the centre of a group
+    pick = F.min_by("rep", F.xxhash64("rep", F.col("band") % CENTRES))
     buckets = members.groupBy("key").agg(F.count("*").alias("size"), pick.alias("centre")).where("size > 1")
     crowded = keep(members.join(buckets, "key").select("key", "rep", "n", "centre"), "crowded")
 

@@ -20,6 +20,7 @@ from __future__ import annotations
 import re
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,12 +31,17 @@ from pyspark.sql import functions as F
 
 from starweave.session import scratch_path
 
-from .common import file_system, identified, keep
+from .common import file_system, keep
+from .hashing import text_bytes
 
 END_ID = 2
 NULL_ID = -(2**63)
 #: Units whose ids a task remembers at a time, and the longest that it remembers, in characters.
-REMEMBERED, LONGEST = 500_000, 64
+REMEMBERED, LONGEST = 1_000_000, 64
+#: Marks that are a unit of their own behind a letter.
+_MARKS = ",.;:!?"
+
+RUN_BYTES = 3_000_000
 
 _ODD = re.compile(r" \s|\s ")
 _CUT = re.compile(r"(?<=\S)(?= \S)")
@@ -49,16 +55,33 @@ class Encoder:
 
         self.tool = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
-
-    def _learn(self, units: set[str], lead: str) -> dict[str, bytes]:
-        units = list(units)
-        found = self.tool.encode_batch_fast([lead + unit for unit in units], add_special_tokens=False)
-        return {unit: np.array(e.ids, "<u4").tobytes() for unit, e in zip(units, found)}
+        self.marks = {m: self._ids([m])[0] for m in _MARKS}
+
+    @classmethod
+    def of(cls, path: str) -> Encoder:
+        """The encoder of this Python worker, which outlives a task."""
+        import tokenizers
+
+        kept = tokenizers.__dict__.setdefault("_starweave_encoders", {})
+        if path not in kept:
+            kept[path] = cls(path)
+        return kept[path]
+
+    def _ids(self, units: list[str]) -> list[bytes]:
+        found = self.tool.encode_batch_fast(units, add_special_tokens=False)
+        return [array("I", e.ids).tobytes() for e in found]
+
+    def _learn(self, asked: set[str]) -> None:
+        """Get to know units that stand behind a space; a mark behind a letter is split off."""
+        known, marks = self.known, self.marks
+        new = asked.difference(known)
+        marked = [u for u in new if u[-1:] in marks and u[-2:-1].isalpha()]
+        bare = list(new.difference(marked).union([u[:-1] for u in marked]).difference(known))
+        known.update(zip(bare, self._ids([" " + u for u in bare])))
+        known.update((u, known[u[:-1]] + marks[u[-1]]) for u in marked)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        if len(self.known) > REMEMBERED:
-            self.known = {}
         heads, tails = [], []
         for text in texts:
             # units behind a space, spelled without it
@@ -68,11 +91,25 @@ class Encoder:
             heads.append(units[0])
             tails.append(units[1:])
         asked = set().union(*tails)
-        fresh = self._learn(asked.difference(self.known), " ")
-        self.known.update((unit, ids) for unit, ids in fresh.items() if len(unit) <= LONGEST)
-        look = self.known if len(fresh) == 0 else {**fresh, **{u: self.known[u] for u in asked if u not in fresh}}
-        first = self._learn(set(heads), "")
-        return [first[head] + b"".join(map(look.__getitem__, tail)) for head, tail in zip(heads, tails)]
+        self._learn(asked)
+        look = self.known.__getitem__
+        found = [first + b"".join(map(look, tail)) for first, tail in zip(self._ids(heads), tails)]
+        for unit in [u for u in asked if len(u) > LONGEST]:
+            self.known.pop(unit)
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
+        return found
+
+
+def _runs(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Rows that are encoded together: up to RUN_BYTES of text, or one text that is longer."""
+    bounds = text_bytes(texts)[1]
+    first, rows = 0, len(bounds) - 1
+    while first < rows:
+        last = int(np.searchsorted(bounds, bounds[first] + RUN_BYTES, "right")) - 1
+        last = min(rows, max(last, first + 1))
+        yield first, last
+        first = last
 
 
 def write(docs: DataFrame, tokenizer: str, folder: str, end_id: int = END_ID) -> list[Row]:
@@ -92,10 +129,10 @@ def write(docs: DataFrame, tokenizer: str, folder: str, end_id: int = END_ID) ->
         system, base = file_system(folder)
         part = TaskContext.get().partitionId()
         path, files = f"{base}/part-{part:06d}-{uuid.uuid4().hex}", []
-        encoder, last, number = Encoder(tokenizer), 0, 0
+        encoder, last, number = Encoder.of(tokenizer), 0, 0
         for batch in batches:
-            for at in range(0, batch.num_rows, 200):
-                ids, texts = batch.column(0).slice(at, 200), batch.column(1).slice(at, 200).to_pylist()
+            for at, end in _runs(batch.column(1)):
+                ids, texts = batch.column(0).slice(at, end - at), batch.column(1).slice(at, end - at).to_pylist()
                 if not files:
                     system.create_dir(base, recursive=True)
                     files = [system.open_output_stream(f"{path}.{kind}") for kind in ("bin", "idx", "ids")]
@@ -114,7 +151,10 @@ def write(docs: DataFrame, tokenizer: str, folder: str, end_id: int = END_ID) ->
         if files:
             yield pa.RecordBatch.from_pylist([{"part": part, "path": path, "docs": number, "tokens": last}])
 
-    ordered = identified(docs).repartitionByRange("rid").sortWithinPartitions("rid").select("doc_id", "text")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    order = ["doc_id", "_digest"]  # equal rows may change places unseen
+    rows = rows.withColumn("_digest", F.xxhash64("text"))
+    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
     made = keep(ordered.mapInArrow(emit, "part long, path string, docs long, tokens long"), "manifest")
     rows, first_doc, first_token = [], 0, 0
     for row in sorted(made.collect()):  # one per file
