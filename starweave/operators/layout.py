@@ -11,8 +11,6 @@ from ..functions.numeric import finite
 from ..schemas import BLOCK_FIELDS, WIDE_VERSION, wide_schema
 
 ANCHOR_KEY = ["anchor_order", "anchor_pixel", "anchor_id"]
-# A star has few spokes; a column naming more sources than this is not a source column.
-MAX_SOURCES = 1000
 
 
 def quoted(name: str) -> str:
@@ -22,9 +20,7 @@ def quoted(name: str) -> str:
 
 def index_sources(edges: DataFrame) -> list[str]:
     """The distinct partner sources, sorted."""
-    rows = edges.select("partner_source").distinct().limit(MAX_SOURCES + 1).collect()
-    if len(rows) > MAX_SOURCES:
-        raise ValueError(f"match index has more than {MAX_SOURCES} partner sources")
+    rows = edges.select("partner_source").distinct().collect()  # they become columns
     return sorted(str(row[0]) for row in rows)
 
 
@@ -90,17 +86,46 @@ def bad_separation(separation: Column, radius: Column) -> Column:
     return ~F.coalesce(good, F.lit(False))
 
 
+def check_edges(edges: DataFrame) -> dict[str, str]:
+    """Refuse edges that are not positional, lie outside their radius or lack an id.
+
+    Returns the one revision of each source; a source with several is refused. Loading and
+    merging both run it.
+    """
+    other_kind = ~F.col("join_kind").eqNullSafe(F.lit("positional"))
+    one = edges.agg(
+        F.min(F.when(other_kind, F.coalesce("join_kind", F.lit("NULL")))).alias("join_kind"),
+        F.count_if(bad_separation(F.col("separation_arcsec"), F.col("match_radius_arcsec"))).alias("bad"),
+        F.count_if(F.col("anchor_id").isNull() | F.col("partner_id").isNull()).alias("nameless"),
+    ).first()
+    if one["join_kind"] is not None:
+        raise ValueError(f"unknown join kind {one['join_kind']!r}")
+    if one["bad"]:
+        raise ValueError(f"invalid positional match: {one['bad']} edges are not within their radius")
+    if one["nameless"]:
+        raise ValueError(f"{one['nameless']} edges lack an anchor or partner id")
+    return revisions_of(edges)
+
+
+def revisions_of(edges: DataFrame) -> dict[str, str]:
+    """The pinned revision of each source."""
+    rows = source_revisions(edges).collect()  # one per source
+    for row in rows:
+        if row["revision_low"] != row["revision_high"]:
+            raise ValueError(f"source {row['partner_source']!r} mixes revisions")
+    return {str(row["partner_source"]): str(row["revision_low"]) for row in rows}
+
+
 def check_pivot(edges: DataFrame) -> None:
     """Refuse edges that cannot share one wide index."""
     one = singletons(edges).first()
     for c in ("anchor_source", "anchor_revision", "epoch_treatment"):
         if one["rows"] == 0 or one[f"{c}_nulls"] or one[f"{c}_low"] != one[f"{c}_high"]:
-            raise ValueError("spokes disagree on anchor source, revision, or epoch")
+            raise ValueError(f"indexes to merge disagree on {c}")
+    check_edges(edges)
     clash = block_conflicts(edges).first()
     if clash is not None:
-        raise ValueError(
-            f"anchor {clash['anchor_id']!r} has two {clash['partner_source']!r} matches"
-        )
+        raise ValueError(f"two {clash['partner_source']!r} matches for anchor {clash['anchor_id']!r}")
 
 
 def pivot_edges(

@@ -159,6 +159,7 @@ def unmatched(
         hot=hot,
     )
     left, fields = with_fields(left, spoke.adapter.outputs, "_fields")
+    no_id = F.raise_error(F.lit(f"a row of {source} has no id")).cast("string")
     return left.select(
         "cell_rank",
         F.lit(UNMATCHED).alias("phase"),
@@ -166,7 +167,7 @@ def unmatched(
         F.col("partner_norder").cast("int").alias("part_order"),
         F.col("partner_npix").alias("part_pixel"),
         "row_index",
-        *base_fields(F.concat_ws(":", F.lit(source), F.col("partner_id"))),
+        *base_fields(F.concat(F.lit(f"{source}:"), F.coalesce("partner_id", no_id))),
         *fields,
     )
 

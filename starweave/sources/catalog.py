@@ -6,13 +6,27 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 LISTING = "norder tinyint, npix bigint, path string"
 
 
+#: Row places leave this many bits to the row; the bits above number the files of a partition.
+ROW_BITS = 40
+
+
+def plain_path(file: Column) -> Column:
+    """A path as it is given to readers: listings and file metadata encode it as a URI."""
+    return F.url_decode(F.replace(file, F.lit("+"), F.lit("%2B")))
+
+
+def place_in_catalog(file: Column) -> Column:
+    """The end of a path that tells the files of a catalog apart, however its start is spelled."""
+    return F.regexp_extract(file, "Norder=.*$", 0)
+
+
 def partition_path(file: Column) -> Column:
     """The ``…/Npix=m.parquet`` part of a file path; a partition may also be a folder."""
     leaf = F.substring_index(F.substring_index(file, "/Npix=", -1), "/", 1)
@@ -57,6 +71,7 @@ class Catalog:
     url: str
     files: DataFrame  # (norder, npix, path), one row per partition
     schema: T.StructType
+    later: tuple[tuple[str, int], ...] = ()  # (file, number) of partitions' second and later files
 
     @classmethod
     def open(cls, spark: SparkSession, url: str) -> Catalog:
@@ -74,10 +89,13 @@ class Catalog:
                 raise
         table = cls._read_all(spark, base)
         listed = spark.createDataFrame([(f,) for f in sorted(table.inputFiles())], "file string")
-        path = partition_path(F.col("file"))
+        path = partition_path(plain_path(F.col("file")))
         order, pixel = cell_of_path(path)
-        files = listed.select(order.alias("norder"), pixel.alias("npix"), path.alias("path"))
-        return cls(spark, base, files.distinct(), table.schema)
+        files = listed.select(order.alias("norder"), pixel.alias("npix"), path.alias("path"), "file")
+        number = F.row_number().over(Window.partitionBy("path").orderBy("file")) - 1
+        later = files.withColumn("number", number).where("number > 0").select(place_in_catalog(plain_path(F.col("file"))), "number")
+        later = tuple(sorted(tuple(r) for r in later.collect()))
+        return cls(spark, base, files.drop("file").distinct(), table.schema, later)
 
     @staticmethod
     def _read_all(spark: SparkSession, base: str) -> DataFrame:
@@ -90,8 +108,9 @@ class Catalog:
             return spark.read.parquet(f"{base}/{tree}")
 
     def scan(self, columns: Sequence[str], files: Iterable[str] | None = None) -> DataFrame:
-        """Selected columns plus ``norder``, ``npix``, ``path`` and the row's place in its file.
+        """Selected columns plus ``norder``, ``npix``, ``path`` and the row's place in its partition.
 
+        In a partition of several files, places in later files are higher.
         With ``files`` only those partitions are opened at all.
         """
         if files is None:
@@ -101,15 +120,23 @@ class Catalog:
             if not chosen:
                 return self.empty(columns)
             table = self.spark.read.schema(self.schema).parquet(*chosen)
-        path = partition_path(F.col("_metadata.file_path"))
+        file = plain_path(F.col("_metadata.file_path"))
+        path = partition_path(file)
         order, pixel = cell_of_path(path)
-        return table.select(
+        rows = table.select(
             *project(table, columns),
             order.alias("norder"),
             pixel.alias("npix"),
             path.alias("path"),
             F.col("_metadata.row_index").alias("row_index"),
+            *([place_in_catalog(file).alias("_file")] if self.later else []),
         )
+        if not self.later:
+            return rows
+        # one row per file, as many as the driver has listed
+        numbers = F.broadcast(self.spark.createDataFrame(list(self.later), "_file string, _number long"))
+        place = F.col("row_index") + F.shiftleft(F.coalesce("_number", F.lit(0).cast("long")), ROW_BITS)
+        return rows.join(numbers, "_file", "left").withColumn("row_index", place).drop("_file", "_number")
 
     def empty(self, columns: Sequence[str]) -> DataFrame:
         return self.scan(columns).limit(0)

@@ -9,13 +9,14 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.ids import strip
 from ..operators.layout import (
-    MAX_SOURCES,
     bad_separation,
+    check_edges,
     partner_conflicts,
     quoted,
+    revisions_of,
     singleton_columns,
-    source_revisions,
     unpivot_edges,
     wide_sources,
 )
@@ -136,7 +137,8 @@ def _normal(table: DataFrame) -> DataFrame:
         F.col("anchor_pixel").cast("long").alias("npix"),
         F.col("anchor_id").cast("string").alias("anchor_id"),
         F.col("partner_source").cast("string").alias("source"),
-        F.col("partner_id").cast("string").alias("partner_id"),
+        # stripped as the adapters strip the ids of partner rows
+        strip(F.col("partner_id").cast("string")).alias("partner_id"),
         F.col("partner_order").cast("tinyint").alias("partner_norder"),
         F.col("partner_pixel").cast("long").alias("partner_npix"),
         "_row_at",
@@ -187,34 +189,12 @@ def _check_header(one: Row, version: int) -> tuple[str, str]:
     return str(one["anchor_source_low"]), str(one["anchor_revision_low"])
 
 
-def _revisions(edges: DataFrame) -> dict[str, str]:
-    rows = source_revisions(edges).limit(MAX_SOURCES + 1).collect()
-    if len(rows) > MAX_SOURCES:
-        raise ValueError(f"match index has more than {MAX_SOURCES} partner sources")
-    for row in rows:
-        if row["revision_low"] != row["revision_high"]:
-            raise ValueError(f"partner {row['partner_source']!r} mixes revisions")
-    return {str(row["partner_source"]): str(row["revision_low"]) for row in rows}
-
-
 def _from_edges(table: DataFrame) -> MatchIndex:
-    other_kind = ~F.col("join_kind").eqNullSafe(F.lit("positional"))
-    one = table.agg(
-        *singleton_columns(table),
-        F.min(F.when(other_kind, F.coalesce("join_kind", F.lit("NULL")))).alias("join_kind"),
-        F.count_if(bad_separation(F.col("separation_arcsec"), F.col("match_radius_arcsec"))).alias("bad"),
-    ).first()
-    header = _check_header(one, EDGE_VERSION)
-    if one["join_kind"] is not None:
-        raise ValueError(f"unknown join kind {one['join_kind']!r}")
-    if one["bad"]:
-        raise ValueError(f"invalid positional match-index row ({one['bad']} of them)")
-    revisions = _revisions(table)
+    header = _check_header(table.agg(*singleton_columns(table)).first(), EDGE_VERSION)
+    revisions = check_edges(table)
     clash = partner_conflicts(table).first()
     if clash is not None:
-        raise ValueError(
-            f"anchor {clash['anchor_id']!r} has multiple {clash['partner_source']!r} partners"
-        )
+        raise ValueError(f"multiple {clash['partner_source']!r} partners for anchor {clash['anchor_id']!r}")
     rows = _normal(table)
     edges = rows.select(*CELL, "anchor_id", "source", "partner_id").distinct()
     return _build(EDGE_VERSION, header, revisions, rows, edges, rows.select(*CELL).distinct())
@@ -244,7 +224,10 @@ def _from_wide(table: DataFrame) -> MatchIndex:
         if one[f"_{i}"] is not None:
             raise ValueError(f"invalid {s} match for anchor {one[f'_{i}']!r}")
     long = unpivot_edges(table, sources)
-    revisions = _revisions(long)
+    revisions = revisions_of(long)
+    clash = partner_conflicts(long).first()
+    if clash is not None:
+        raise ValueError(f"multiple {clash['partner_source']!r} partners for anchor {clash['anchor_id']!r}")
     rows = _normal(long)
     # an anchor without any spoke still makes its cell part of the corpus
     cells = table.select(

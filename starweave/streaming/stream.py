@@ -93,24 +93,29 @@ class Stream:
         position = state.get("position")
         return self.after(None if position is None else tuple(position))
 
-    def warn_missing(self, show: int = 20) -> int:
-        """Warn about edges whose partner is gone; their anchors stay without that spoke."""
+    def warn_missing(self, show: int | None = None) -> int:
+        """Warn about edges whose partner is gone; their anchors stay without that spoke.
+
+        One warning per source gives the count; single edges are named, all or the first ``show``.
+        """
         if self.missing is None:
             return 0
-        count = self.missing.count()
-        for row in self.missing.orderBy("norder", "npix", "anchor_id", "source").limit(show).collect():
+        counts = sorted(tuple(r) for r in self.missing.groupBy("source").count().collect())
+        for source, count in counts:
+            warnings.warn(f"{count} edges point to missing {source} rows", RuntimeWarning, stacklevel=2)
+        named = self.missing.orderBy("norder", "npix", "anchor_id", "source")
+        named = named if show is None else named.limit(show)
+        for row in named.toLocalIterator() if counts else ():
             warnings.warn(
-                f"match index points to missing {row['source']} id {row['partner_id']!r}; "
-                "skipping source attachment",
+                f"missing {row['source']} id {row['partner_id']!r}: anchor {row['anchor_id']!r} stays without it",
                 RuntimeWarning,
                 stacklevel=2,
             )
-        if count > show:
-            warnings.warn(f"… and {count - show} more missing partners", RuntimeWarning, stacklevel=2)
-        return count
+        return sum(count for _, count in counts)
 
     def __iter__(self) -> Iterator[Row]:
-        """Records in order, one partition at a time on the driver."""
+        """Records in order, one partition at a time on the driver; missing partners are counted in warnings."""
+        self.warn_missing(show=0)
         return self.ordered().toLocalIterator(prefetchPartitions=True)
 
 

@@ -9,24 +9,59 @@ exactly once.
 
 from __future__ import annotations
 
+import hashlib
+import json
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.cells import small
 from .stream import CELL_COLUMNS, CELL_SCHEMA, Stream
 
+_MARK = "key string, fingerprint string, cell_rank int"
+
+
 def write_cell_plan(stream: Stream, folder: str, *, cells_per_batch: int = 64) -> int:
-    """Write the plan, one file per micro-batch; file times follow the epoch's order."""
+    """Write the plan, one file per micro-batch; file times follow the epoch's order.
+
+    A plan that is there already is not written again, so a program may run again from its
+    start. Plans of other shards of the same stream may be added; one of another stream, or of cells
+    that are planned already, is refused. ``<folder>-plans`` remembers what was written.
+    """
     spark = stream.cells.sparkSession
     rows = sorted(stream.cells.collect(), key=lambda r: r["cell_rank"])
+    ranks = [r["cell_rank"] for r in rows]
+    told = json.dumps(stream.fingerprint, sort_keys=True, default=str)
+    key = hashlib.sha1(json.dumps([told, ranks, cells_per_batch]).encode()).hexdigest()
+    marks = f"{folder.rstrip('/')}-plans"
+    known = _written(spark, marks)
+    if key in {k for k, _, _ in known}:
+        return len(rows)
+    if any(other != told for _, other, _ in known):
+        raise ValueError(f"{folder} holds the plan of another stream")
+    if set(ranks) & {rank for _, _, rank in known}:
+        raise ValueError(f"{folder} holds a plan of some of these cells")
     for start in range(0, len(rows), cells_per_batch):
         group = [tuple(r[c] for c in CELL_COLUMNS) for r in rows[start : start + cells_per_batch]]
         spark.createDataFrame(group, CELL_SCHEMA).coalesce(1).write.mode("append").json(folder)
+    if rows:
+        marked = spark.createDataFrame([(key, told, rank) for rank in ranks], _MARK)
+        marked.coalesce(1).write.mode("append").json(marks)
     return len(rows)
 
 
+def _written(spark: SparkSession, marks: str) -> list[tuple[str, str, int]]:
+    """(key, fingerprint, cell) of all plans written so far; one row per cell, as the plan itself."""
+    try:
+        return [tuple(r) for r in spark.read.schema(_MARK).json(marks).collect()]
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" not in str(error):
+            raise
+        return []
+
+
 def stream_cells(stream: Stream, plan_folder: str, out: str, checkpoint: str) -> DataFrame:
     """Run all outstanding cells of a written plan and return the records written so far."""
     spark = stream.cells.sparkSession

@@ -140,6 +140,7 @@ def test_pair_stream(spark, corpus):
 def test_structured_streaming_restarts_without_loss(spark, corpus, stream, rows, tmp_path):
     plan, out, marks = (str(tmp_path / n) for n in ("plan", "out", "marks"))
     assert write_cell_plan(stream.shard(2, 0), plan, cells_per_batch=1) == 1
+    assert write_cell_plan(stream.shard(2, 0), plan, cells_per_batch=1) == 1  # not written again
     first = stream_cells(stream, plan, out, marks)
     assert sorted(ids(first.collect())) == sorted(ids(rows)[:5])
     write_cell_plan(stream.shard(2, 1), plan)

@@ -747,10 +747,19 @@ def positional_split(spark, sf):
     return parts[0].unionByName(parts[1])
 
 
-@register()
+_PERMUTED = plan.permutation(25, 7, 0)  # nation has 25 rows at every scale
+
+
+@register(
+    f"""SELECT CAST(4 AS TINYINT) AS norder, CAST(n_nationkey AS BIGINT) AS npix, CAST(list_position({_PERMUTED},
+ CAST(row_number() OVER (ORDER BY n_nationkey) - 1 AS BIGINT)) - 1 AS INT) AS cell_rank FROM nation"""
+)
 def permute_cells(spark, sf):
-    """The seeded permutation is numpy's; SQL has no twin of it."""
-    return plan.permute_cells(_cells(spark, sf), seed=7, epoch=0)
+    """One cell per nation, in a seeded order; the SQL twin holds numpy's permutation as a list."""
+    cells = table(spark, sf, "nation").select(
+        F.lit(4).cast("tinyint").alias("norder"), F.col("n_nationkey").cast("long").alias("npix")
+    )
+    return plan.permute_cells(cells, seed=7, epoch=0)
 
 
 @register(
