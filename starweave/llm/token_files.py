@@ -22,7 +22,6 @@ import uuid
 import zlib
 from array import array
 from collections.abc import Iterator
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +37,7 @@ from .hashing import text_bytes
 END_ID = 2
 NULL_ID = -(2**63)
 #: Units whose ids a task remembers at a time, and the longest that it remembers, in characters.
-REMEMBERED, LONGEST = 1_200_000, 64
+REMEMBERED, LONGEST = 1_400_000, 64
 #: Marks that are a unit of their own behind a letter.
 _MARKS = ",.;:!?"
 
@@ -97,8 +96,8 @@ class Encoder:
         found = [first + b"".join(map(look, tail)) for first, tail in zip(self._ids(heads), tails)]
         for unit in [u for u in asked if len(u) > LONGEST]:
             self.known.pop(unit)
-        if len(self.known) > REMEMBERED:  # those met first are the most frequent
-            self.known = dict(islice(self.known.items(), REMEMBERED // 2))
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
         return found
 
 
