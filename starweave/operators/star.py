@@ -74,6 +74,12 @@ def duplicate_partners(needed: DataFrame, ids: DataFrame) -> DataFrame:
     )
 
 
+def refuse_duplicates(needed: DataFrame, ids: DataFrame) -> None:
+    twice = duplicate_partners(needed, ids).first()
+    if twice is not None:
+        raise ValueError(f"duplicate {twice['source']} id {twice['partner_id']!r} in fetched partitions")
+
+
 def missing_partners(edges: DataFrame, needed: DataFrame, ids: DataFrame) -> DataFrame:
     """Edges whose partner is in none of the partitions of its anchor cell."""
     present = needed.join(ids.distinct(), ["source", *PARTNER_KEY], "left_semi")
@@ -98,11 +104,7 @@ def attach(
     hub = hub.withColumn("anchor_id", id_text(hub, hub_adapter.id_column))
     needed = pointers(edges, partner_cells)
     if check and spokes:
-        twice = duplicate_partners(needed, narrow_ids(spokes)).first()
-        if twice is not None:
-            raise ValueError(
-                f"duplicate {twice['source']} id {twice['partner_id']!r} in fetched partitions"
-            )
+        refuse_duplicates(needed, narrow_ids(spokes))
     hot_partners = hot_keys(needed, ["source", *PARTNER_KEY], hot_rows)
     hot_anchors = hot_keys(hub, ANCHOR_KEY, hot_rows)
 

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import warnings
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, replace
+from functools import cached_property
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -28,56 +29,84 @@ from ..sources.index import (
     resolve_match_index,
 )
 
-CELL_COLUMNS = ["norder", "npix", "path", "cell_rank"]
 CELL_SCHEMA = "norder tinyint, npix bigint, path string, cell_rank int"
 
 
+# Cells that iteration plans together: bounds what is shuffled before the first record.
+GROUP_CELLS = 64
+
+# A cell of the epoch on the driver: norder, npix, path, cell_rank.
+Cell = tuple[int, int, str, int]
+
+
 @dataclass(frozen=True)
 class Stream:
-    """A planned epoch. ``records`` is lazy; ``order`` names the columns that sort it."""
+    """A planned epoch. ``order`` names the columns that sort its records.
+
+    Records are planned from the cells that are wanted, so that a resumed stream, a shard, a page or
+    a micro-batch opens the files of its own cells only.
+    """
 
-    records: DataFrame
+    spark: SparkSession
+    assemble: Callable[[list[Cell]], DataFrame]  # all records of some cells
+    at_least: Callable[[list[Cell]], int]  # a number of records that these cells reach
     order: list[str]
-    cells: DataFrame  # norder, npix, path, cell_rank of this rank
+    chosen: tuple[Cell, ...]  # by rank; one per catalog file, so metadata
     fingerprint: dict
     missing: DataFrame | None = None
     position: tuple | None = None
-    n_shards: int = 0  # one per anchor cell
     shard_of: tuple[int, int] = (0, 1)
 
+    @property
+    def n_shards(self) -> int:
+        """One per anchor cell."""
+        return len(self.chosen)
+
+    @cached_property
+    def cells(self) -> DataFrame:
+        return _cell_table(self.spark, self.chosen)
+
+    @cached_property
+    def records(self) -> DataFrame:
+        """The records that are left, in no order."""
+        return self._of(self._outstanding())
+
+    def _outstanding(self) -> list[Cell]:
+        first = -1 if self.position is None else self.position[0]
+        return [c for c in self.chosen if c[3] >= first]
+
+    def _of(self, cells: list[Cell]) -> DataFrame:
+        return star.after(self.assemble(cells), self.position, self.order)
+
     def ordered(self) -> DataFrame:
         return self.records.orderBy(*self.order)
 
     def page(self, limit: int) -> DataFrame:
-        """The next ``limit`` records; a top-k, not a full sort."""
-        return self.ordered().limit(limit)
+        """The next ``limit`` records: a top-k over the leading cells that hold so many."""
+        cells, count = self._outstanding(), 1
+        while count < len(cells):
+            # all records of the cell that the position lies in may be behind it
+            whole = cells[:count] if self.position is None else cells[1:count]
+            if self.at_least(whole) >= limit:
+                break
+            count *= 2
+        return self._of(cells[:count]).orderBy(*self.order).limit(limit)
 
     def after(self, position: Row | tuple | None) -> Stream:
         """The rest of the stream behind a record's position."""
-        if position is None:
-            return self
-        return replace(
-            self,
-            records=star.after(self.records, tuple(position), self.order),
-            position=tuple(position),
-        )
+        return self if position is None else replace(self, position=tuple(position))
 
     def position_of(self, record: Row) -> tuple:
         return tuple(record[c] for c in self.order)
 
     def shard(self, num_shards: int, index: int) -> Stream:
         """Every ``num_shards``-th cell of this rank, starting at ``index``."""
-        rows = sorted(self.cells.collect(), key=lambda r: r["cell_rank"])
-        mine = [r["cell_rank"] for r in rows][index::num_shards]
-        ranks = self.cells.sparkSession.createDataFrame([(r,) for r in mine], "cell_rank int")
-        keep = plan.small(ranks, len(mine))
-        return replace(
-            self,
-            records=self.records.join(keep, "cell_rank", "left_semi"),
-            cells=self.cells.join(keep, "cell_rank", "left_semi"),
-            n_shards=len(mine),
-            shard_of=(index, num_shards),
-        )
+        return replace(self, chosen=self.chosen[index::num_shards], shard_of=(index, num_shards))
+
+    def only(self, ranks: Iterable[int]) -> Stream:
+        """The cells with these ranks."""
+        wanted = set(ranks)
+        return replace(self, chosen=tuple(c for c in self.chosen if c[3] in wanted))
 
     def state(self, position: Row | tuple | None = None) -> dict:
         """What a consumer has to store to continue behind ``position``."""
@@ -114,9 +143,22 @@ class Stream:
         return sum(count for _, count in counts)
 
     def __iter__(self) -> Iterator[Row]:
-        """Records in order, one partition at a time on the driver; missing partners are counted in warnings."""
+        """Records in order, one cell at a time on the driver; missing partners are counted in warnings.
+
+        Cells are planned in groups. A cell goes to the partition of its place in the group and is
+        sorted there, so nothing is sorted as a whole.
+        """
         self.warn_missing(show=0)
-        return self.ordered().toLocalIterator(prefetchPartitions=True)
+        cells = self._outstanding()
+        for start in range(0, len(cells), GROUP_CELLS):
+            group = cells[start : start + GROUP_CELLS]
+            place = F.array_position(F.array(*[F.lit(c[3]) for c in group]), F.col("cell_rank")) - 1
+            placed = self._of(group).repartitionById(len(group), place.cast("int"))
+            yield from placed.sortWithinPartitions(*self.order).toLocalIterator(prefetchPartitions=True)
+
+
+def _cell_table(spark: SparkSession, cells: Iterable[Cell]) -> DataFrame:
+    return spark.createDataFrame(list(cells), CELL_SCHEMA)
 
 
 def _listings(spark: SparkSession, catalogs: dict) -> DataFrame:
@@ -194,8 +236,8 @@ def open_stream(
 
 def _rank_cells(
     index: MatchIndex, anchors: Catalog, split: str, seed: int, epoch: int, shard: int, num_shards: int
-) -> tuple[DataFrame, list[str]]:
-    """This rank's cells with their place in the epoch, and their files.
+) -> tuple[Cell, ...]:
+    """This rank's cells with their files, by their place in the epoch.
 
     One row per anchor partition: metadata, so held on the driver.
     """
@@ -215,13 +257,11 @@ def _rank_cells(
     else:
         first = plan.reserved(len(rows))
         rows = rows[:first] if split == "val" else rows[first:]
-    ranked = [
+    return tuple(
         (rows[at]["norder"], rows[at]["npix"], rows[at]["path"], rank)
         for rank, at in enumerate(plan.permutation(len(rows), seed, epoch))
         if num_shards <= 1 or rank % num_shards == shard
-    ]
-    cells = index.anchor_cells.sparkSession.createDataFrame(ranked, CELL_SCHEMA)
-    return cells, [r[2] for r in ranked]
+    )
 
 
 def _graph_stream(spark, registry, index: MatchIndex, where, hub, adapters, check, fingerprint) -> Stream:
@@ -231,15 +271,14 @@ def _graph_stream(spark, registry, index: MatchIndex, where, hub, adapters, chec
         for source, revision in index.partner_revisions.items()
     }
     used = {s: adapter_for(s, adapters) for s in catalogs}
-    cells, files = _rank_cells(index, anchors, *where)
-    ranks = plan.small(cells.select("norder", "npix", "cell_rank"), len(files))
-    own_cells = ranks.drop("cell_rank")
+    cells = _rank_cells(index, anchors, *where)
+    ranks, own_cells = _ranks(spark, cells)
 
     refs = references(index.partner_cells, _listings(spark, catalogs))
     eligible = [s for s, a in used.items() if a.emits_unmatched]
     owners = cut_lineage(graph_owners(refs, where[0], eligible).join(ranks, ["norder", "npix"]))
     mine = cut_lineage(refs.join(own_cells, ["norder", "npix"], "left_semi"))
-    matched_files, owned_files = _paths(mine, owners)
+    edges = cut_lineage(index.edges.join(own_cells, ["norder", "npix"], "left_semi"))
 
     def spokes(paths: dict[str, list[str]]) -> dict[str, Spoke]:
         return {
@@ -247,50 +286,79 @@ def _graph_stream(spark, registry, index: MatchIndex, where, hub, adapters, chec
             for s, chosen in paths.items()
         }
 
-    attached = spokes({s: matched_files.get(s, []) for s in used})
-    edges = cut_lineage(index.edges.join(own_cells, ["norder", "npix"], "left_semi"))
-    records = star.assemble(
-        anchors.scan(hub.read_columns, files).drop("path").join(ranks, ["norder", "npix"]),
-        hub,
-        edges,
-        mine.drop("path"),
-        attached,
-        spokes(owned_files),
-        index.matched_ids(),
-        owners.select("source", "partner_norder", "partner_npix", "cell_rank"),
-        check=check,
-    )
-    missing = star.missing_partners(
-        edges, star.pointers(edges, mine.drop("path")), star.narrow_ids(attached)
-    )
-    return Stream(records, star.ORDER, cells, fingerprint, missing, n_shards=len(files))
+    def assemble(chosen: list[Cell]) -> DataFrame:
+        ranks, own_cells = _ranks(spark, chosen)
+        fetched = mine.join(own_cells, ["norder", "npix"], "left_semi")
+        owned = owners.join(own_cells, ["norder", "npix"], "left_semi")
+        matched_files, owned_files = _paths(fetched, owned)
+        return star.assemble(
+            anchors.scan(hub.read_columns, [c[2] for c in chosen]).drop("path").join(ranks, ["norder", "npix"]),
+            hub,
+            edges.join(own_cells, ["norder", "npix"], "left_semi"),
+            fetched.drop("path"),
+            spokes({s: matched_files.get(s, []) for s in used}),
+            spokes(owned_files),
+            index.matched_ids(),
+            owned.select("source", "partner_norder", "partner_npix", "cell_rank"),
+            check=False,  # all cells were checked when the stream was opened
+        )
+
+    def at_least(chosen: list[Cell]) -> int:
+        return anchors.scan([], [c[2] for c in chosen]).count()  # each anchor row is a record
+
+    (all_files,) = _paths(mine)
+    ids = star.narrow_ids(spokes({s: all_files.get(s, []) for s in used}))
+    needed = star.pointers(edges, mine.drop("path"))
+    if check and used:
+        star.refuse_duplicates(needed, ids)
+    missing = star.missing_partners(edges, needed, ids) if used else None
+    return Stream(spark, assemble, at_least, star.ORDER, cells, fingerprint, missing)
+
+
+def _ranks(spark: SparkSession, cells: Iterable[Cell]) -> tuple[DataFrame, DataFrame]:
+    """(norder, npix, cell_rank) of some cells, and the same without the rank."""
+    cells = list(cells)
+    ranks = plan.small(_cell_table(spark, cells).select("norder", "npix", "cell_rank"), len(cells))
+    return ranks, ranks.drop("cell_rank")
 
 
 def _pair_stream(spark, registry, index: MatchIndex, where, image_shape, fingerprint) -> Stream:
     edges, partner_cells = pair_view(index)
     anchors = registry.open(spark, index.anchor_source, index.anchor_revision)
     spectra = registry.open(spark, PAIR_SOURCE, index.partner_revisions[PAIR_SOURCE])
-    cells, files = _rank_cells(index, anchors, *where)
-    ranks = plan.small(cells.select("norder", "npix", "cell_rank"), len(files))
-    own_cells = ranks.drop("cell_rank")
+    cells = _rank_cells(index, anchors, *where)
+    ranks, own_cells = _ranks(spark, cells)
 
     refs = references(partner_cells, _listings(spark, {PAIR_SOURCE: spectra}))
     owners = cut_lineage(pair_owners(refs).join(ranks, ["norder", "npix"]))
     mine = cut_lineage(refs.join(own_cells, ["norder", "npix"], "left_semi"))
-    (fetched,) = _paths(mine)
-
-    images = anchors.scan(_own_columns(anchors), files).drop("path")
-    records = pair.pair_records(
-        images.join(ranks, ["norder", "npix"]),
-        cut_lineage(edges.join(own_cells, ["norder", "npix"], "left_semi")),
-        mine.select("norder", "npix", "partner_norder", "partner_npix"),
-        spectra.scan(_own_columns(spectra), fetched.get(PAIR_SOURCE, [])).drop("path"),
-        index.matched_ids(),
-        owners.select("partner_norder", "partner_npix", "norder", "npix", "cell_rank"),
-        images.groupBy("norder", "npix").agg(F.count("*").alias("rows")),
-        image_shape=image_shape,
-    )
-    return Stream(records, pair.ORDER, cells, fingerprint, n_shards=len(files))
+    edges = cut_lineage(edges.join(own_cells, ["norder", "npix"], "left_semi"))
+
+    def assemble(chosen: list[Cell]) -> DataFrame:
+        ranks, own_cells = _ranks(spark, chosen)
+        fetched = mine.join(own_cells, ["norder", "npix"], "left_semi")
+        (paths,) = _paths(fetched)
+        images = anchors.scan(_own_columns(anchors), [c[2] for c in chosen]).drop("path")
+        return pair.pair_records(
+            images.join(ranks, ["norder", "npix"]),
+            edges.join(own_cells, ["norder", "npix"], "left_semi"),
+            fetched.select("norder", "npix", "partner_norder", "partner_npix"),
+            spectra.scan(_own_columns(spectra), paths.get(PAIR_SOURCE, [])).drop("path"),
+            index.matched_ids(),
+            owners.join(own_cells, ["norder", "npix"], "left_semi").select(
+                "partner_norder", "partner_npix", "norder", "npix", "cell_rank"
+            ),
+            images.groupBy("norder", "npix").agg(F.count("*").alias("rows")),
+            image_shape=image_shape,
+        )
+
+    def at_least(chosen: list[Cell]) -> int:
+        # an image whose spectrum is gone is dropped, so only images without an edge are sure
+        _, own_cells = _ranks(spark, chosen)
+        images = anchors.scan([], [c[2] for c in chosen]).count()
+        return images - edges.join(own_cells, ["norder", "npix"], "left_semi").count()
+
+    return Stream(spark, assemble, at_least, pair.ORDER, cells, fingerprint)
 
 
 def _own_columns(catalog: Catalog) -> list[str]:

@@ -1,7 +1,7 @@
 """The same stream as a Structured Streaming query with a restartable checkpoint.
 
 The source is the cell plan: small files of cells, written in the epoch's order. A
-micro-batch takes the next file, assembles the records of its cells as ordinary Spark
+micro-batch takes the next file, plans the records of its cells alone as ordinary Spark
 work and writes them below its batch number. A restart continues with the first
 unfinished file; a repeated batch overwrites its own folder, so every record arrives
 exactly once.
@@ -15,10 +15,8 @@ from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from ..plans.cells import small
-from .stream import CELL_COLUMNS, CELL_SCHEMA, Stream
+from .stream import CELL_SCHEMA, Stream
 
 _MARK = "key string, fingerprint string, cell_rank int"
 
@@ -30,9 +28,9 @@ def write_cell_plan(stream: Stream, folder: str, *, cells_per_batch: int = 64) -
     start. Plans of other shards of the same stream may be added; one of another stream, or of cells
     that are planned already, is refused. ``<folder>-plans`` remembers what was written.
     """
-    spark = stream.cells.sparkSession
-    rows = sorted(stream.cells.collect(), key=lambda r: r["cell_rank"])
-    ranks = [r["cell_rank"] for r in rows]
+    spark = stream.spark
+    rows = stream.chosen
+    ranks = [rank for *_, rank in rows]
     told = json.dumps(stream.fingerprint, sort_keys=True, default=str)
     key = hashlib.sha1(json.dumps([told, ranks, cells_per_batch]).encode()).hexdigest()
     marks = f"{folder.rstrip('/')}-plans"
@@ -44,8 +42,8 @@ def write_cell_plan(stream: Stream, folder: str, *, cells_per_batch: int = 64) -
     if set(ranks) & {rank for _, _, rank in known}:
         raise ValueError(f"{folder} holds a plan of some of these cells")
     for start in range(0, len(rows), cells_per_batch):
-        group = [tuple(r[c] for c in CELL_COLUMNS) for r in rows[start : start + cells_per_batch]]
-        spark.createDataFrame(group, CELL_SCHEMA).coalesce(1).write.mode("append").json(folder)
+        group = rows[start : start + cells_per_batch]
+        spark.createDataFrame(list(group), CELL_SCHEMA).coalesce(1).write.mode("append").json(folder)
     if rows:
         marked = spark.createDataFrame([(key, told, rank) for rank in ranks], _MARK)
         marked.coalesce(1).write.mode("append").json(marks)
@@ -64,12 +62,11 @@ def _written(spark: SparkSession, marks: str) -> list[tuple[str, str, int]]:
 
 def stream_cells(stream: Stream, plan_folder: str, out: str, checkpoint: str) -> DataFrame:
     """Run all outstanding cells of a written plan and return the records written so far."""
-    spark = stream.cells.sparkSession
+    spark = stream.spark
 
     def write_batch(batch: DataFrame, number: int) -> None:
-        ranks = small(batch.select("cell_rank"), batch.count())
-        done = stream.records.join(ranks, "cell_rank", "left_semi")
-        done.write.mode("overwrite").parquet(f"{out}/batch={number}")
+        ranks = [r["cell_rank"] for r in batch.select("cell_rank").collect()]  # those of one plan file
+        stream.only(ranks).records.write.mode("overwrite").parquet(f"{out}/batch={number}")
 
     run_available(spark, plan_folder, CELL_SCHEMA, checkpoint, write_batch)
     return spark.read.parquet(out)
