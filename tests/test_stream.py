@@ -1,26 +1,27 @@
-"""End-to-end behaviour of both streams on the golden star."""
+"""End-to-end behaviour of both streams on the small sky."""
 
 import json
+import re
 
 import pytest
-from golden import star_edges, write_edges, write_star
+from small_sky import ANCHORS, SHAPE, Sky, flux, redshift
 
 from starweave.sources.index import MATCH_INDEX_ENV, resolve_match_index
+from starweave.streaming import stream as module
 from starweave.streaming.stream import open_stream
 from starweave.streaming.structured import stream_cells, write_cell_plan
 
+TRAIN = [8, 21, 50]
+
 
 @pytest.fixture(scope="module")
-def corpus(tmp_path_factory):
-    root = tmp_path_factory.mktemp("star")
-    registry = write_star(root)
-    return root, registry, write_edges(root / "index" / "edges.parquet", star_edges())
+def sky(tmp_path_factory):
+    return Sky(tmp_path_factory.mktemp("sky")).write()
 
 
 @pytest.fixture(scope="module")
-def stream(spark, corpus):
-    _, registry, index = corpus
-    return open_stream(spark, registry, split="train", match_index=index)
+def stream(spark, sky):
+    return open_stream(spark, sky.registry, match_index=sky.index("star"), image_shape=SHAPE)
 
 
 @pytest.fixture(scope="module")
@@ -32,120 +33,131 @@ def ids(rows):
     return [r["object_id"] for r in rows]
 
 
-def test_star_attaches_spokes_and_emits_eligible_unmatched(rows):
-    by_id = {r["object_id"]: r for r in rows}
-    assert len(rows) == 10
-    assert {k for k in by_id if ":" in k} == {"desi:d03", "desi:d13", "sdss:s02", "sdss:s12"}
-    full = by_id["a01"]
-    assert full["spectrum"]["flux"] == [1.0, 2.0] and full["sdss_Z"] == pytest.approx(0.3)
-    assert full["provabgs_LOG_MSTAR"] == 10.0 and full["image"]["band"] == ["des-g", "des-r", "des-z"]
-    assert full["psf_fwhm"] == {"des-g": 1.2, "des-r": 1.1, "des-z": 1.0}
-    assert by_id["a02"]["spectrum"] is not None and by_id["a02"]["sdss_spectrum"] is None
-    assert by_id["a03"]["image"] is not None and by_id["a03"]["spectrum"] is None
-    assert by_id["desi:d03"]["image"] is None and by_id["desi:d03"]["Z"] == pytest.approx(0.2)
-    assert "ivar" not in full["spectrum"].asDict()
+def pixels(stream):
+    return [cell[1] for cell in stream.chosen]
+
+
+def opened(df):
+    """The cells of all catalog files that a plan reads."""
+    return {int(p) for f in df.inputFiles() for p in re.findall(r"Npix=(\d+)", f)}
+
+
+def test_records_follow_the_rule(sky, stream, rows):
+    assert sorted(pixels(stream)) == TRAIN and stream.n_shards == 3
+    wanted = {}
+    for pixel in pixels(stream):
+        wanted |= sky.cell_records(pixel)
+    assert ids(rows) == list(wanted)
+    field = {"desi": "spectrum", "sdss": "sdss_spectrum", "provabgs": "provabgs_LOG_MSTAR"}
+    for row in rows:
+        assert {s for s, f in field.items() if row[f] is not None} == wanted[row["object_id"]]
+        if row["object_id"].startswith("hub-"):
+            pixel, n = map(int, row["object_id"].split("-")[1:])
+            assert row["image"]["flux"] == flux(pixel, n)
+            assert row["psf_fwhm"]["des-g"] == pytest.approx(1 + n / 4)
+            if row["spectrum"] is not None:
+                assert row["Z"] == pytest.approx(redshift(pixel, n)) and row["ZWARN"] == (pixel == 50)
+                assert row["spectrum"]["flux"][0] == pixel and "ivar" not in row["spectrum"].asDict()
+        else:
+            assert row["image"] is None
+
+
+def test_resume_opens_only_what_is_left(stream, rows):
+    keys = [stream.position_of(r) for r in rows]
+    assert len(set(keys)) == len(rows) and keys == sorted(keys)
+    first = len([r for r in rows if r["cell_rank"] == 0])
+    at_hub = ids(rows).index("hub-8-2")  # the last row of a partition's first file
+    for k in {0, first - 1, at_hub, len(rows) - 1}:
+        rest = stream.resume(json.loads(json.dumps(stream.state(keys[k]))))
+        assert ids(rest.ordered().collect()) == ids(rows)[k + 1 :]
+        assert opened(rest.records) == set(pixels(stream)[rows[k]["cell_rank"] :])
+    page = stream.after(keys[1]).page(2)
+    assert ids(page.collect()) == ids(rows)[2:4] and len(opened(page)) < 3
+    with pytest.raises(ValueError, match="seed"):
+        stream.resume({**stream.state(), "seed": 1})
 
 
-def test_order_is_unmatched_first_then_file_order(stream, rows):
-    blocks = {0: ["desi:d03", "sdss:s02", "a01", "a02", "a03"], 1: ["desi:d13", "sdss:s12", "a11", "a12", "a13"]}
-    ranks = {r["npix"]: r["cell_rank"] for r in stream.cells.collect()}
-    assert ids(rows) == [i for cell in sorted(blocks, key=ranks.get) for i in blocks[cell]]
+def test_shards_are_disjoint_complete_and_read_their_cells(stream, rows):
+    found = []
+    for i in range(2):
+        part = stream.shard(2, i)
+        assert pixels(part) == pixels(stream)[i::2] and opened(part.records) == set(pixels(part))
+        found += ids(part.records.collect())
+    assert sorted(found) == sorted(ids(rows))
 
 
-def test_resume_is_exact_from_every_record(stream, rows):
-    for k in (0, 3, 7, 9):
-        state = json.loads(json.dumps(stream.state(stream.position_of(rows[k]))))
-        rest = stream.resume(state)
-        assert ids(rest.ordered().collect()) == ids(rows)[k + 1 :]
-    assert ids(stream.after(stream.position_of(rows[2])).page(4).collect()) == ids(rows)[3:7]
-    with pytest.raises(ValueError, match="seed"):
-        stream.resume({**stream.state(), "seed": 1})
+def test_iteration_plans_in_groups(stream, rows, monkeypatch):
+    monkeypatch.setattr(module, "GROUP_CELLS", 2)
+    assert ids(stream.after(stream.position_of(rows[3]))) == ids(rows)[4:]
 
 
-def test_shards_are_disjoint_and_complete(spark, corpus, stream, rows):
-    assert stream.n_shards == 2
-    parts = [set(ids(stream.shard(2, i).records.collect())) for i in range(2)]
-    assert parts[0] and parts[1] and parts[0].isdisjoint(parts[1])
-    assert parts[0] | parts[1] == set(ids(rows))
-    _, registry, index = corpus
-    deals = [
-        ids(open_stream(spark, registry, match_index=index, shard=i, num_shards=2).records.collect())
-        for i in range(2)
-    ]
-    assert sorted(deals[0] + deals[1]) == sorted(ids(rows))
+def test_ranks_deal_the_cells(spark, sky, stream):
+    where = {"match_index": sky.index("star"), "image_shape": SHAPE, "num_shards": 2}
+    deals = [pixels(open_stream(spark, sky.registry, shard=i, **where)) for i in range(2)]
+    assert deals == [pixels(stream)[0::2], pixels(stream)[1::2]]
 
 
-def test_other_split_is_empty(spark, corpus):
-    _, registry, index = corpus
-    assert open_stream(spark, registry, split="val", match_index=index).records.count() == 0
+def test_validation_split(spark, sky):
+    val = open_stream(spark, sky.registry, split="val", match_index=sky.index("star"), image_shape=SHAPE)
+    assert ids(val) == list(sky.cell_records(25))
     with pytest.raises(ValueError, match="split"):
-        open_stream(spark, registry, split="test", match_index=index)
-
-
-def test_missing_partner_warns_and_keeps_the_anchor(spark, corpus):
-    root, registry, _ = corpus
-    edges = star_edges()
-    for e in edges:
-        if e["partner_id"] == "s01":
-            e["partner_id"] = "missing"
-    index = write_edges(root / "dangling" / "edges.parquet", edges)
-    stream = open_stream(spark, registry, match_index=index)
-    with pytest.warns(RuntimeWarning, match="missing sdss id 'missing'"):
+        open_stream(spark, sky.registry, split="test", match_index=sky.index("star"))
+
+
+def test_missing_partner_warns_and_keeps_the_anchor(spark, sky):
+    torn = Sky(sky.root, renamed={"sdss-21-3": "gone"}, registry=sky.registry)
+    stream = open_stream(spark, sky.registry, match_index=torn.index("torn"), image_shape=SHAPE)
+    with pytest.warns(RuntimeWarning, match="missing sdss id 'gone'"):
         assert stream.warn_missing() == 1
-    by_id = {r["object_id"]: r for r in stream.records.collect()}
-    assert by_id["a01"]["sdss_spectrum"] is None and by_id["a01"]["spectrum"] is not None
+    with pytest.warns(RuntimeWarning, match="1 edges point to missing sdss rows"):
+        by_id = {r["object_id"]: r for r in stream.only([c[3] for c in stream.chosen if c[1] == 21])}
+    assert list(by_id) == list(torn.cell_records(21))
     # no longer pointed to, so it is unmatched now
-    assert "sdss:s01" in by_id
+    assert by_id["hub-21-3"]["sdss_spectrum"] is None and "sdss:sdss-21-3" in by_id
 
 
-def test_duplicate_partner_is_an_error(spark, corpus, tmp_path):
-    from golden import cell_file, place, spectrum, write
-
-    registry = write_star(tmp_path)
-    twice = [
-        {"object_id": "d01", **place(0, n), "spectrum": spectrum(), "Z": 0.1 * n, "ZERR": 0.01, "ZWARN": False}
-        for n in (1, 2)
-    ]
-    write(cell_file(tmp_path / "desi", 0), twice)
-    index = write_edges(tmp_path / "index" / "e.parquet", star_edges())
-    with pytest.raises(ValueError, match="duplicate desi id 'd01'"):
-        open_stream(spark, registry, match_index=index)
+def test_duplicate_partner(spark, tmp_path):
+    sky = Sky(tmp_path, twice=("desi-50-0",), renamed={"desi-8-2": "gone"}).write()
+    with pytest.raises(ValueError, match="duplicate desi id 'desi-50-0'"):
+        open_stream(spark, sky.registry, match_index=sky.index("star"), image_shape=SHAPE)
     # the pair stream takes the last one instead, and drops images whose spectrum is gone
-    pair = write_edges(tmp_path / "pair" / "e.parquet", star_edges(("desi",)))
-    by_id = {
-        r["object_id"]: r
-        for split in ("train", "val")
-        for r in open_stream(spark, registry, split=split, match_index=pair).records.collect()
-    }
-    assert by_id["a01"]["Z"] == pytest.approx(0.2)
-    assert "a02" not in by_id and "a03" in by_id
-
-
-def test_pair_stream(spark, corpus):
-    root, registry, _ = corpus
-    index = write_edges(root / "pair" / "edges.parquet", star_edges(("desi",)))
-    val = open_stream(spark, registry, split="val", match_index=index)
-    train = open_stream(spark, registry, split="train", match_index=index)
-    assert val.fingerprint["assembly"] == "crossmatch_only_v3"
-    # one unmatched spectrum (stride 3) leads each cell and keeps its bare id
-    assert ids(val) == ["d03", "a01", "a02", "a03"]
-    assert ids(train) == ["d13", "a11", "a12", "a13"]
-    rows = {r["object_id"]: r for r in val.records.collect()}
-    assert rows["a01"]["spectrum"] is not None and rows["a03"]["spectrum"] is None
-    assert rows["d03"]["image"] is None and rows["d03"]["Z"] == pytest.approx(0.2)
-    k = list(val)[1]
-    assert ids(val.after(val.position_of(k)).ordered().collect()) == ["a02", "a03"]
+    pair, by_id = sky.index("pair", ("desi",)), {}
+    for split in ("train", "val"):
+        part = open_stream(spark, sky.registry, split=split, match_index=pair, image_shape=SHAPE)
+        by_id |= {r["object_id"]: r for r in part.records.collect()}
+    assert by_id["hub-50-0"]["Z"] == pytest.approx(redshift(50, 0) + 0.5)
+    assert "hub-8-2" not in by_id and "hub-8-1" in by_id and "desi-8-2" in by_id
 
 
-def test_structured_streaming_restarts_without_loss(spark, corpus, stream, rows, tmp_path):
+def test_pair_stream(spark, sky):
+    index = sky.index("pair", ("desi",))
+    val, train = (open_stream(spark, sky.registry, split=s, match_index=index, image_shape=SHAPE) for s in ("val", "train"))
+    assert val.fingerprint["assembly"] == "crossmatch_only_v3"
+    assert pixels(val) == [8] and sorted(pixels(train)) == [21, 25, 50]
+    # one unmatched spectrum leads each cell and keeps its bare id
+    wanted = [i for p in pixels(train) for i in (f"desi-{p}-x0", *(f"hub-{p}-{n}" for n in range(ANCHORS[p])))]
+    rows = list(train)
+    assert ids(rows) == wanted
+    for row in rows:
+        paired = not row["object_id"].startswith("hub-") or int(row["object_id"][-1]) % 2 == 0
+        assert (row["spectrum"] is not None) == paired
+        assert (row["image"] is None) == row["object_id"].startswith("desi-")
+    rest = train.after(train.position_of(rows[6]))
+    assert ids(rest.ordered().collect()) == wanted[7:] and opened(rest.records) < {21, 25, 50}
+    assert ids(rest.page(3).collect()) == wanted[7:10]
+
+
+def test_structured_streaming_restarts_without_loss(stream, rows, tmp_path):
     plan, out, marks = (str(tmp_path / n) for n in ("plan", "out", "marks"))
-    assert write_cell_plan(stream.shard(2, 0), plan, cells_per_batch=1) == 1
-    assert write_cell_plan(stream.shard(2, 0), plan, cells_per_batch=1) == 1  # not written again
-    first = stream_cells(stream, plan, out, marks)
-    assert sorted(ids(first.collect())) == sorted(ids(rows)[:5])
-    write_cell_plan(stream.shard(2, 1), plan)
-    second = stream_cells(stream, plan, out, marks)
-    assert sorted(ids(second.collect())) == sorted(ids(rows))
+    first, second = stream.shard(2, 0), stream.shard(2, 1)
+    for _ in range(2):  # a program that is run again writes and emits nothing twice
+        assert write_cell_plan(first, plan, cells_per_batch=1) == 2
+        done = ids(stream_cells(stream, plan, out, marks).collect())
+        assert sorted(done) == sorted(r["object_id"] for r in rows if r["cell_rank"] % 2 == 0)
+    with pytest.raises(ValueError, match="some of these cells"):
+        write_cell_plan(stream, plan)
+    write_cell_plan(second, plan)
+    assert sorted(ids(stream_cells(stream, plan, out, marks).collect())) == sorted(ids(rows))
 
 
 def test_index_resolution(monkeypatch, spark):
@@ -153,6 +165,6 @@ def test_index_resolution(monkeypatch, spark):
     assert resolve_match_index() is None
     with pytest.raises(ValueError, match="match_index"):
         open_stream(spark, None)
-    monkeypatch.setenv(MATCH_INDEX_ENV, "/from-env.parquet")
-    assert resolve_match_index() == "/from-env.parquet"
-    assert resolve_match_index("/explicit.parquet") == "/explicit.parquet"
+    monkeypatch.setenv(MATCH_INDEX_ENV, "/set/in/env.parquet")
+    assert resolve_match_index() == "/set/in/env.parquet"
+    assert resolve_match_index("/given.parquet") == "/given.parquet"
