@@ -43,10 +43,18 @@ _MARKS = ",.;:!?"
 
 RUN_BYTES = 3_000_000
 
-_ODD = re.compile(r" \s|\s ")
+#: New units that the library encodes in one text.
+TOGETHER = 64
+
+_WHITE = [c for c in map(chr, range(0x3001)) if c.isspace() and c != " "]
 _CUT = re.compile(r"(?<=\S)(?= \S)")
 
 
+def _odd(text: str) -> bool:
+    """A space of ``text`` stands next to white space."""
+    return "  " in text or any(w in text and (f" {w}" in text or f"{w} " in text) for w in _WHITE)
+
+
 class Encoder:
     """Encodes texts with the tokenizers library, remembering the ids of units."""
 
@@ -56,6 +64,8 @@ class Encoder:
         self.tool = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
         self.marks = {m: self._ids([m])[0] for m in _MARKS}
+        first, gap, second = self._ids(["a", "\n", " b"])
+        self.gap = int.from_bytes(gap, "little") if len(gap) == 4 and self._ids(["a\n b"])[0] == first + gap + second else None
 
     @classmethod
     def of(cls, path: str) -> Encoder:
@@ -71,13 +81,32 @@ class Encoder:
         found = self.tool.encode_batch_fast(units, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
 
+    def _behind_space(self, units: list[str]) -> list[bytes]:
+        """The ids of each unit behind a space. ``units`` hold no white space.
+
+        Units are encoded together with line breaks between them, which become a token of their own
+        each; where the count of those is not as it should be, one by one.
+        """
+        found = []
+        runs = [units[at : at + TOGETHER] for at in range(0, len(units), TOGETHER)] if self.gap is not None else [[u] for u in units]
+        for run, data in zip(runs, self._ids([" " + "\n ".join(run) for run in runs])):
+            cuts = 4 * np.flatnonzero(np.frombuffer(data, np.uint32) == self.gap) if len(run) > 1 else np.zeros(0, int)
+            if len(cuts) == len(run) - 1:
+                found += [data[a:b] for a, b in zip([0, *(cuts + 4).tolist()], [*cuts.tolist(), len(data)])]
+            else:
+                found += self._ids([" " + u for u in run])
+        return found
+
     def _learn(self, asked: set[str]) -> None:
         """Get to know units that stand behind a space; a mark behind a letter is split off."""
         known, marks = self.known, self.marks
         new = asked.difference(known)
         marked = [u for u in new if u[-1:] in marks and u[-2:-1].isalpha()]
         bare = list(new.difference(marked).union([u[:-1] for u in marked]).difference(known))
-        known.update(zip(bare, self._ids([" " + u for u in bare])))
+        plain = [u for u in bare if u.split(None, 1) == [u]]
+        known.update(zip(plain, self._behind_space(plain)))
+        rest = list(set(bare).difference(plain))
+        known.update(zip(rest, self._ids([" " + u for u in rest])))
         known.update((u, known[u[:-1]] + marks[u[-1]]) for u in marked)
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -85,7 +114,7 @@ class Encoder:
         heads, tails = [], []
         for text in texts:
             # units behind a space, spelled without it
-            units = [u.removeprefix(" ") for u in _CUT.split(text)] if _ODD.search(text) else text.split(" ")
+            units = [u.removeprefix(" ") for u in _CUT.split(text)] if _odd(text) else text.split(" ")
             if text.startswith(" "):
                 units = ["", *units] if units[0] else units
             heads.append(units[0])

@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import zlib
+from array import array
 
 import numpy as np
 import pytest
@@ -398,3 +399,16 @@ def test_pipeline(spark):
             assert sum(len(_words(r.text)) for r in after) == pytest.approx(1.5 * sum(len(_words(t)) for t in before.values()), abs=30)
             number = len(after)
     assert len(after) == number and pipeline.ORACLE_SQL is None
+
+
+def test_units_encoded_together_equal_whole_texts():
+    tool = token_files.Encoder(tokenizer_path())
+    parts = [" ", "  ", "\n", "\t", "\r\n", "\xa0", "\x85", "\x1c", "a", "'s", "don't", "!", "??", "é", "日本", "́"]
+    parts += ["<|endoftext|>", "1", "_", "\0", "x" * 70, ",", "b."]
+    draw = random.Random(1)
+    texts = ["".join(draw.choices(parts, k=draw.randrange(25))) for _ in range(3000)]
+    whole = [array("I", tool.tool.encode(t, add_special_tokens=False).ids).tobytes() for t in texts]
+    assert tool.encode(texts) == whole
+    tool.gap = None  # a tokenizer without such a token
+    tool.known.clear()
+    assert tool.encode(texts) == whole
