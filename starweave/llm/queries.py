@@ -160,7 +160,7 @@ def op8_water_filling(spark, sf):
 
 @register()
 def op9_spotsigs(spark, sf):
-    found = spotsigs.edited_fingerprints(table(spark, sf, "documents"))
+    found = spotsigs.edited_fingerprints(table(spark, sf, "documents"), spotsigs.STRETCH)
     return found.select(
         "doc_id",
         "n_chars",

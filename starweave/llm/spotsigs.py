@@ -1,8 +1,12 @@
 """SpotSigs document fingerprints: what follows the common words of a text.
 
 Each occurrence of an anchor, a common word of its language, heads a chain of the next ``CHAIN`` content words
-(words that are no anchors); anchor and chain form a spot signature. A text without anchors has a
-chain at every word. The fingerprint is the sorted set of signatures, 8 hex digits each, so two
+(words that are no anchors); anchor and chain form a spot signature. With ``stretch``, as the query has it, a
+chain of the next ``CHAIN`` words also starts at each word from which ``stretch`` words, or all up to the end of the
+text, are all anchors or all none. So what a text is signed by depends on the place alone: an edit
+changes the signatures that reach into it and, at the old end of the text, ``stretch`` words at most.
+Without ``stretch`` only spot signatures count, and a text that has none has a chain at every word.
+The fingerprint is the sorted set of signatures, 8 hex digits each, so two
 fingerprints can be compared without their texts. Likeness is the Jaccard similarity of
 the sets, pruned: sets whose lengths alone rule out the demanded similarity are not intersected,
 and ``matches`` brings together only sets in the same or a neighbouring partition of lengths.
@@ -21,6 +25,8 @@ from pyspark.sql import functions as F
 from .common import identified
 
 CHAIN = 2
+#: As many words in a row without an anchor, or of anchors alone, head a chain of their own.
+STRETCH = 8
 #: Common words of English, German, French and Spanish.
 ANCHORS = (
     "the of and to in is it that for as with on by at be this are from or an a was he not "
@@ -35,14 +41,16 @@ def _let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def signatures(text: Column) -> Column:
-    """The sorted set of spot signatures of a text, as array<int>."""
+def signatures(text: Column, stretch: int | None = None) -> Column:
+    """The sorted set of spot signatures of a text, as array<int>; with ``stretch`` also those of even stretches."""
     words = F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), _BETWEEN), "")
     anchors = sorted(set(ANCHORS))
 
     def split_up(w: Column) -> Column:
         at = F.filter(F.transform(w, lambda x, i: F.when(x.isin(anchors), i)), lambda i: i.isNotNull())
-        return F.struct(w.alias("w"), at.alias("at"), F.filter(w, lambda x: ~x.isin(anchors)).alias("content"))
+        between = F.filter(F.transform(w, lambda x, i: F.when(~x.isin(anchors), i)), lambda i: i.isNotNull())
+        fields = [w.alias("w"), at.alias("at"), F.filter(w, lambda x: ~x.isin(anchors)).alias("content")]
+        return F.struct(*fields, *([between.alias("between")] if stretch else []))
 
     def chains(s: Column) -> Column:
         # the k-th anchor at word i has i - k content words before it
@@ -52,12 +60,26 @@ def signatures(text: Column) -> Column:
             lambda i, k: F.when(i - k + CHAIN <= F.size(s["content"]), F.hash(F.get(s["w"], i), *chain(i, k))),
         )
         spot = F.filter(spot, lambda x: x.isNotNull())
-        plain = F.transform(s["w"], lambda x, i: F.hash(x, *(F.get(s["w"], i + j) for j in range(1, CHAIN + 1))))
+        following = lambda i: F.hash(*(F.get(s["w"], i + j) for j in range(CHAIN + 1)))
+        if stretch:
+            even = F.concat(_stretched(s["between"], F.size(s["w"]), stretch), _stretched(s["at"], F.size(s["w"]), stretch))
+            return F.concat(spot, F.transform(even, following))
+        plain = F.transform(s["w"], lambda x, i: following(i))
         return _let(spot, lambda found: F.when(F.size(found) > 0, found).otherwise(plain))
 
     return F.array_sort(F.array_distinct(_let(_let(words, split_up), chains)))
 
 
+def _stretched(at: Column, n: Column, stretch: int) -> Column:
+    """Those of the ascending word places ``at`` from which ``stretch`` places, or all up to the ``n`` of the text, are in it."""
+
+    def holds(i: Column, k: Column) -> Column:
+        steps = F.least(F.lit(stretch - 1), n - 1 - i)
+        return F.coalesce(F.get(at, k + steps) == i + steps, F.lit(False))
+
+    return F.filter(at, holds)
+
+
 def spelled(signs: Column) -> Column:
     """A fingerprint as a string."""
     return F.array_join(F.transform(signs, lambda x: F.lpad(F.hex(x.cast("long").bitwiseAND(0xFFFFFFFF)), 8, "0")), "")
@@ -108,20 +130,20 @@ def _range_of(value: Column, bounds: list[int]) -> Column:
     return _let(block, lambda k: k * width + below(F.array(*(F.array(*(F.lit(x).cast("long") for x in b)) for b in blocks))[k])).cast("int")
 
 
-def edited_fingerprints(docs: DataFrame) -> DataFrame:
+def edited_fingerprints(docs: DataFrame, stretch: int | None = None) -> DataFrame:
     """Fingerprints of texts and of their edited forms, and how alike they are.
 
     The edited text ends, in place of its last quarter, with as many first characters of the next
     text (or all of it). Columns: doc_id, n_chars, edited, signs, edited_signs, near_edited, near_next.
     """
     texts = identified(docs).select("rid", "doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    rows = followed(texts.withColumn("signs", signatures(F.col("text"))))
+    rows = followed(texts.withColumn("signs", signatures(F.col("text"), stretch)))
     n = F.char_length("text")
     quarter = F.floor(n / 4).cast("int")
     edited = F.concat(F.left("text", n - quarter), F.left(F.col("next.text"), quarter))
     made = rows.select("doc_id", n.cast("long").alias("n_chars"), edited.alias("edited"), "signs", "next.signs")
     made = made.toDF("doc_id", "n_chars", "edited", "signs", "next_signs")
-    made = made.withColumn("edited_signs", signatures(F.col("edited")))
+    made = made.withColumn("edited_signs", signatures(F.col("edited"), stretch))
     return made.withColumns(
         {
             "near_edited": likeness(F.col("signs"), F.col("edited_signs")),

@@ -331,6 +331,42 @@ def test_fingerprints(docs, rows, odd, none):
     assert spotsigs.edited_fingerprints(odd).count() == 14 and spotsigs.edited_fingerprints(none).count() == 0
 
 
+def _stretch_signs(text, stretch):
+    w = [x for x in re.split(r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", (text or "").lower()) if x]
+    stop = set(spotsigs.ANCHORS)
+    found = set()
+    for i, x in enumerate(w):
+        chain = [y for y in w[i:] if y not in stop][:2]
+        if x in stop and len(chain) == 2:
+            found.add((x, *chain))
+        if len({y in stop for y in w[i : i + stretch]}) == 1:
+            found.add(tuple((w + [None, None])[i : i + 3]))
+    return found
+
+
+def test_fingerprints_of_the_query(spark, docs, rows):
+    """Anchorless texts, texts with few anchors and texts of anchors alone keep their signatures when an anchor comes in."""
+    bare = " ".join(f"cell{k} {k * k}" for k in range(100))
+    dense = " ".join(f"the p{k} of q{k}" for k in range(100))
+    sparse = "the " + " ".join(f"v{k}" for k in range(200)) + " of " + " ".join(f"u{k}" for k in range(200))
+    texts = [bare, dense, sparse, dense + " x", "a " * 90, dense, "the", "", None, "日本 語 " * 3, *(r[1] for r in rows)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r for r in spotsigs.edited_fingerprints(df, spotsigs.STRETCH).collect()}
+    assert len(got) == len(texts)
+    like = lambda x, y: 1.0 if x == y else len(x & y) / len(x | y)
+    for k, text in enumerate(texts):
+        text, follower = text or "", texts[(k + 1) % len(texts)] or ""
+        q = len(text) // 4
+        a, b, c = (_stretch_signs(t, spotsigs.STRETCH) for t in (text, text[: len(text) - q] + follower[:q], follower))
+        r = got[k]
+        assert len(r.signs) == len(a) and len(r.edited_signs) == len(b) and r.signs == sorted(r.signs)
+        assert bool(a) == bool(_signs(text))
+        assert r.near_edited == pytest.approx(like(a, b)) and r.near_next == pytest.approx(like(a, c))
+    assert got[0].near_edited > 0.5 and got[2].near_edited > 0.5 and got[4].near_edited > 0
+    assert len(got[2].signs) > 300
+    assert like(_signs(bare), _signs(bare[: -len(bare) // 4] + dense[: len(bare) // 4])) == 0  # what the plain rule gives
+
+
 def test_fingerprint_matches(docs, rows):
     signed = docs.select(F.col("doc_id").alias("rid"), spotsigs.signatures(F.col("text")).alias("signs")).cache()
     got = {(r.query, r.rid) for r in spotsigs.matches(signed.where("rid % 2 = 0"), signed, 0.6).collect()}
