@@ -168,6 +168,29 @@ def test_hilbert(docs, rows, odd):
     assert hilbert.spans(hilbert.shards(docs, 6)).count() == 6
 
 
+def test_hilbert_sees_whole_names(spark):
+    """Names that begin alike are placed like short names in the same order."""
+    rows = [(k, "x" * (k // 8 * 3), f"s{k % 8}") for k in range(512)]
+    short = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("lang", F.lit("en"))
+    long = short.withColumn("source", F.concat(F.lit("https://www.example.org/"), "source"))
+    placed = [{r.doc_id: (r.shard, r.slot) for r in hilbert.shards(df, 64).collect()} for df in (short, long)]
+    assert placed[0] == placed[1]
+    sources = hilbert.shards(long, 64).groupBy("shard").agg(F.countDistinct("source").alias("n")).agg(F.avg("n"))
+    assert sources.first()[0] < 5  # by size alone every shard has all eight
+
+
+def test_cuts_of_names(spark):
+    rng = random.Random(6)
+    names = [rng.choice([None, "", "https://é", *(f"https://{k}" for k in range(rng.randrange(1, 200)))]) for _ in range(999)]
+    order = sorted(names, key=lambda v: (v is not None, v or ""))
+    cuts = hilbert.name_cuts(spark.createDataFrame([(n,) for n in names], "source string").repartition(3), "source", 4)
+    want = {order[-(-k * 999 // 16) - 1] for k in range(1, 16)}
+    assert cuts == sorted(want, key=lambda v: (v is not None, v or ""))
+    got = spark.createDataFrame([(n,) for n in names], "source string").select("source", hilbert.name_cell("source", cuts).alias("cell"))
+    key = lambda v: (v is not None, v or "")
+    assert all(r.cell == sum(key(c) <= key(r.source) for c in cuts) for r in got.collect())
+
+
 def test_curve_is_a_walk():
     bits = 3
     cells = np.array(np.meshgrid(*[range(1 << bits)] * 3, indexing="ij")).reshape(3, -1)
