@@ -15,7 +15,7 @@ Archive names carry a random part; only those of finished tasks are listed, so t
 Defined results: null html is an empty payload; a null url has no target header; a null page id stays null.
 Rows that repeat a page id are records of their own, the last in order of payload digest being the
 response of equal payloads. Extra columns are ignored. A record that lacks a segment has
-``complete`` false and no payload.
+``complete`` false and no payload; where that is the first one, its id is known and its other fields are null.
 """
 
 from __future__ import annotations
@@ -240,9 +240,9 @@ def reassembled(found: DataFrame) -> DataFrame:
     )
     numbers = F.transform("parts", lambda p: p["number"]) == F.sequence(F.lit(1), F.size("parts"))
     fits = numbers & F.coalesce(F.col("total") == F.col("length"), F.lit(False))
-    joined = grouped.where("head is not null").select(
-        "head.*", fits.alias("complete"), F.transform("parts", lambda p: p["block"]).alias("blocks")
-    )
+    # without segment 1 only the id is known
+    own = [F.coalesce("head.id", "key").alias("id") if f == "id" else F.col(f"head.{f}") for f in fields]
+    joined = grouped.select(*own, fits.alias("complete"), F.transform("parts", lambda p: p["block"]).alias("blocks"))
     return single.union(joined)
 
 

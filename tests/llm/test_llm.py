@@ -422,6 +422,26 @@ def test_warc(spark, tmp_path):
     assert not all(r.complete for r in warc_segments.reassembled(lost).collect())
 
 
+def test_warc_without_first_segments(spark, tmp_path, monkeypatch):
+    rows = [(k, f"http://h/{k}", chr(97 + k) * size) for k, size in enumerate([100, 2000, 3000, 2000])]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(2)
+    folder = str(tmp_path / "warc")
+    paths = warc_segments.write(pages, folder, segment=700)
+    whole = warc_segments.records(paths, folder)
+    lost = whole.where("number is null or number > 1 or page_id not in (1, 2)")
+    got = {r.id: r for r in warc_segments.reassembled(lost).collect()}
+    ids = {r.page_id: r.id for r in warc_segments.reassembled(whole).collect()}
+    assert set(got) == set(ids.values())
+    for page, name in ids.items():
+        r = got[name]
+        assert r.complete == (page in (0, 3)) and r.page_id == (page if r.complete else None)
+        assert r.complete or (r.kind, r.url, r.digest, r.refers) == (None,) * 4
+    monkeypatch.setattr(warc_segments, "records", lambda *_: lost)
+    read = warc_segments.read(paths, folder).collect()
+    assert len(read) == 4 and sum(r.complete for r in read) == 2
+    assert all(r.payload is None and r.payload_bytes is None for r in read if not r.complete)
+
+
 def test_warc_repeats(spark):
     rows = [(1, "u", "y" * 2000)] * 3 + [(None, None, None), (0, "u", "y" * 2000)]
     got = warc_segments.round_trip(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
