@@ -157,7 +157,8 @@ def matches(asked: DataFrame, corpus: DataFrame, at_least: float) -> DataFrame:
 
     Lengths fall into partitions whose bounds grow by 1 / ``at_least``, so a match lies in the
     same or a neighbouring one. A pair must share one of the first signatures of each, as many
-    as can all be missed by no match; signatures are ordered by their hash.
+    as can all be missed by no match; signatures are ordered by their hash. Empty fingerprints share none
+and match nothing, not even each other.
     """
     part = F.floor(F.log(F.size("signs").cast("double")) / math.log(1 / at_least) + 1e-9)
     few = F.size("signs") - F.ceil(F.size("signs") * at_least - 1e-9) + 1
