@@ -491,3 +491,86 @@ def test_units_encoded_together_equal_whole_texts():
     tool.gap = None  # a tokenizer without such a token
     tool.known.clear()
     assert tool.encode(texts) == whole
+
+
+def _clean(texts, items):
+    """Which texts the benchmark windows cover by less than a twentieth of their words."""
+    phrases = {}
+    for item in items:
+        t = _terms(item)
+        n = min(13, len(t))
+        for k in range(len(t) - n + 1 if t else 0):
+            phrases.setdefault(n, set()).add(tuple(t[k : k + n]))
+    clean = set()
+    for doc, text in texts.items():
+        w, hit = _terms(text), set()
+        for n, known in phrases.items():
+            for i in range(len(w) - n + 1):
+                if tuple(w[i : i + n]) in known:
+                    hit.update(range(i, i + n))
+        if not hit or 20 * len(hit) < len(w):
+            clean.add(doc)
+    return clean
+
+
+def _mixed(rows):
+    """(doc_id, text, source) of the mix of ``rows`` alike, ids being unique."""
+    size = {}
+    for _, text, source in rows:
+        size[source] = size.get(source, 0) + len(_words(text))
+    weight = dict(zip(sorted(size, key=lambda s: (s is None, s or "")), [5, 2, 1] * len(size)))
+    target, left, total = {}, set(size), 1.5 * sum(size.values())
+    while left:
+        level = (total - sum(target.values())) / sum(weight[s] for s in left)
+        full = {s for s in left if weight[s] * level > 2 * size[s]}
+        if not full:
+            target |= {s: weight[s] * level for s in left}
+            break
+        target |= {s: 2 * size[s] for s in full}
+        left -= full
+    out = []
+    for source, n in size.items():
+        whole = int(target[source] // n) if n else 0
+        rest = int(target[source] + 0.5) - whole * n if n else 0
+        own = [r for r in rows if r[2] == source]
+        for doc, text, _ in sorted(own, key=lambda r: (hashlib.md5(f"mix|{r[0]}".encode()).hexdigest(), r[0])):
+            words = (text or "").encode().split()
+            part = max(0, min(len(words), rest))
+            rest -= part
+            if words:
+                out += [(doc, text, source)] * (whole + (part == len(words)))
+            if 0 < part < len(words):
+                out.append((doc, b" ".join(words[:part]).decode(), source))
+    return out
+
+
+def test_pipeline_rows(spark):
+    """The ids after decontamination, the rows of the mix and the tokens of each row against plain versions on the same rows."""
+    from tokenizers import Tokenizer
+
+    import corpus_pipeline as pipeline
+    from starweave.llm.common import keep, table
+
+    sf, tool = "/root/testdata/sf0.001", Tokenizer.from_file(tokenizer_path())
+    docs, items = table(spark, sf, "documents"), [r.text for r in table(spark, sf, "benchmark").collect()]
+    found = {}
+    for name, stage in pipeline.STAGES:
+        before = docs.collect()
+        docs = keep(stage(spark, docs, sf), name)
+        found[name] = (before, docs.collect())
+    before, after = found["decontamination"]
+    want = _clean({r.doc_id: r.text for r in before}, items)
+    assert sorted(r.doc_id for r in after) == sorted(want) and len(want) < len(before)
+    before, after = found["mixing"]
+    key = lambda r: tuple(map(str, r))
+    got = [(r.doc_id, r.text, r.source) for r in after]
+    assert sorted(got, key=key) == sorted(_mixed([(r.doc_id, r.text, r.source) for r in before]), key=key)
+    assert all(r.n_chars == len(r.text) for r in after)
+    before, after = found["tokens"]
+    ids = [(r.doc_id, np.array([*tool.encode(r.text or "", add_special_tokens=False).ids, 2], "<u4")) for r in before]
+    assert sorted((r.doc_id, r.n_tokens, r.ids_crc32) for r in after) == sorted((d, len(x), zlib.crc32(x.tobytes())) for d, x in ids)
+    start, placed = 0, sorted(after, key=lambda r: r.start)
+    for r in placed:
+        assert r.start == start
+        start += r.n_tokens
+    assert [r.doc_id for r in placed] == sorted(r.doc_id for r in before)
