@@ -32,6 +32,11 @@ def lower_ascii(text: Column) -> Column:
     return F.when(plain, F.lower(text)).otherwise(F.translate(text, upper, upper.lower()))
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once, although ``body`` uses it within loops."""
+    return F.transform(F.array(value), body)[0]
+
+
 def ranked(df: DataFrame, keys: Sequence[str], into: str) -> DataFrame:
     """``df`` with the position of each row in the order of ``keys``, from 0.
 

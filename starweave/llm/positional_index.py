@@ -22,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import identified, keep, lower_ascii
+from .common import identified, keep, let, lower_ascii
 
 WIDTH = 13
 #: A document is contaminated if at least one in this many of its words is hit.
@@ -124,7 +124,7 @@ def contamination(docs: DataFrame, items: DataFrame, width: int = WIDTH, more: S
     def judged(row: Column) -> Column:
         words = row["words"]
         fits = lambda p: F.slice(words, p["start"] + 1, F.size(p["phrase"])) == p["phrase"]
-        return _let(
+        return let(
             F.filter(row["places"], fits),
             lambda true: F.struct(
                 F.size(words).cast("long").alias("n_words"),
@@ -135,7 +135,7 @@ def contamination(docs: DataFrame, items: DataFrame, width: int = WIDTH, more: S
 
     none = F.array().cast(listed.schema["places"].dataType)
     given = F.struct(terms(F.col("text")).alias("words"), F.coalesce("places", none).alias("places"))
-    found = docs.join(listed, "rid", "left").select("doc_id", "text", *more, _let(given, judged).alias("j"))
+    found = docs.join(listed, "rid", "left").select("doc_id", "text", *more, let(given, judged).alias("j"))
     return found.select("doc_id", "text", *more, "j.*").withColumn(
         "contaminated", (F.col("n_hit") > 0) & (ONE_IN * F.col("n_hit") >= F.col("n_words"))
     )
@@ -143,8 +143,3 @@ def contamination(docs: DataFrame, items: DataFrame, width: int = WIDTH, more: S
 
 def _covered(place: Column) -> Column:
     return F.sequence(place["start"], place["start"] + F.size(place["phrase"]) - 1)
-
-
-def _let(value: Column, body) -> Column:
-    """``body(value)`` with ``value`` computed once, although ``body`` uses it within loops."""
-    return F.transform(F.array(value), body)[0]

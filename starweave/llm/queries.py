@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
+    block_names,
     hilbert,
     nb_linear,
     odd_sketches,
@@ -224,3 +225,13 @@ def op10_warc_segments(spark, sf):
     return warc_segments.round_trip(table(spark, sf, "pages")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
+
+
+@register(
+    """
+WITH t AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS x FROM documents)
+SELECT doc_id, max(doc_id) OVER (PARTITION BY x) AS keep_id, count(*) OVER (PARTITION BY x)::BIGINT AS group_size,
+ doc_id = max(doc_id) OVER (PARTITION BY x) AS kept, sha256(x) AS text_sha256 FROM t"""
+)
+def op12_block_names(spark, sf):
+    return block_names.deduplicated(table(spark, sf, "documents")).drop("rid")

@@ -22,7 +22,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import identified
+from .common import identified, let
 
 CHAIN = 2
 #: As many words in a row without an anchor, or of anchors alone, head a chain of their own.
@@ -37,10 +37,6 @@ ANCHORS = (
 _BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
-def _let(value: Column, body) -> Column:
-    return F.transform(F.array(value), body)[0]
-
-
 def signatures(text: Column, stretch: int | None = None) -> Column:
     """The sorted set of spot signatures of a text, as array<int>; with ``stretch`` also those of even stretches."""
     words = F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), _BETWEEN), "")
@@ -65,9 +61,9 @@ def signatures(text: Column, stretch: int | None = None) -> Column:
             even = F.concat(_stretched(s["between"], F.size(s["w"]), stretch), _stretched(s["at"], F.size(s["w"]), stretch))
             return F.concat(spot, F.transform(even, following))
         plain = F.transform(s["w"], lambda x, i: following(i))
-        return _let(spot, lambda found: F.when(F.size(found) > 0, found).otherwise(plain))
+        return let(spot, lambda found: F.when(F.size(found) > 0, found).otherwise(plain))
 
-    return F.array_sort(F.array_distinct(_let(_let(words, split_up), chains)))
+    return F.array_sort(F.array_distinct(let(let(words, split_up), chains)))
 
 
 def _stretched(at: Column, n: Column, stretch: int) -> Column:
@@ -89,7 +85,7 @@ def likeness(a: Column, b: Column, at_least: float = 0.0) -> Column:
     """Jaccard similarity of two signature sets; 0 where their lengths prune it below ``at_least``."""
     small, large = F.least(F.size(a), F.size(b)), F.greatest(F.size(a), F.size(b))
     both = F.size(F.array_intersect(a, b))
-    jaccard = _let(both, lambda n: n / (F.size(a) + F.size(b) - n))
+    jaccard = let(both, lambda n: n / (F.size(a) + F.size(b) - n))
     pruned = (small == 0) | (small < at_least * large)
     return F.when(a == b, 1.0).when(pruned, 0.0).otherwise(jaccard)
 
@@ -127,7 +123,7 @@ def _range_of(value: Column, bounds: list[int]) -> Column:
     heads = F.array(*(F.lit(b[0]).cast("long") for b in blocks))
     below = lambda xs: F.size(F.filter(xs, lambda x: x < value))
     block = F.greatest(below(heads) - 1, F.lit(0))
-    return _let(block, lambda k: k * width + below(F.array(*(F.array(*(F.lit(x).cast("long") for x in b)) for b in blocks))[k])).cast("int")
+    return let(block, lambda k: k * width + below(F.array(*(F.array(*(F.lit(x).cast("long") for x in b)) for b in blocks))[k])).cast("int")
 
 
 def edited_fingerprints(docs: DataFrame, stretch: int | None = None) -> DataFrame:
