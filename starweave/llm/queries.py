@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
+    alignment,
     block_names,
     hilbert,
     nb_linear,
     odd_sketches,
     positional_index,
     recompression,
+    spelling,
     spotsigs,
     token_files,
     url_rules,
@@ -173,8 +175,8 @@ def op9_spotsigs(spark, sf):
     )
 
 
-#: The vocabulary file, in the place where the environment keeps public tokenizers.
-TOKENIZER = "byte_bpe_50k.json"
+#: The vocabulary files, in the place where the environment keeps public tokenizers.
+TOKENIZER, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
 def tokenizer_path() -> str:
@@ -183,6 +185,12 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+def piece_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(PIECES)
+
+
 @register()
 def op2_token_files(spark, sf):
     return token_files.tokenized(table(spark, sf, "documents"), tokenizer_path())
@@ -235,3 +243,41 @@ SELECT doc_id, max(doc_id) OVER (PARTITION BY x) AS keep_id, count(*) OVER (PART
 )
 def op12_block_names(spark, sf):
     return block_names.deduplicated(table(spark, sf, "documents")).drop("rid")
+
+
+def _crc32(text: str) -> str:
+    """SQL for the CRC-32 of a string of code points below 2048, in UTF-8."""
+    step = "CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END"
+    bits = f"list_reduce(list_prepend(xor(c, b), [0::BIGINT, 1, 2, 3, 4, 5, 6, 7]), lambda a, i: {step})"
+    codes = f"list_transform(string_split({text}, ''), lambda ch: ord(ch)::BIGINT)"
+    data = f"flatten(list_transform({codes}, lambda o: CASE WHEN o < 128 THEN [o] ELSE [192 + (o >> 6), 128 + (o & 63)] END))"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {data}), lambda c, b: {bits}), 4294967295)"
+
+
+#: Letters of two bytes, and a letter of one byte for each: DuckDB counts edits by bytes.
+_WIDE = "".join(map(chr, range(0xC0, 0x100)))
+_NARROW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789!#$%&()*+,-./:;<=>?@[]^_{|}~"
+
+
+@register(
+    rf"""
+WITH RECURSIVE r AS (SELECT doc_id, unnest(regexp_extract_all({_LOWER}, '[A-Za-z{_WIDE[0]}-{_WIDE[-1]}]+')) AS run FROM documents),
+c AS (SELECT doc_id, run, count(*) AS k FROM r WHERE length(run) >= 5 GROUP BY ALL),
+h AS (SELECT run, k, {_crc32("doc_id || ':' || run")} AS h FROM c),
+w AS (SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, k FROM h),
+v AS MATERIALIZED (SELECT word, sum(k)::BIGINT AS n, translate(word, '{_WIDE}', '{_NARROW}') AS t FROM w WHERE length(word) >= 5 GROUP BY word HAVING sum(k) >= 3),
+near AS MATERIALIZED (SELECT a.word, b.word AS near, a.n, b.n AS m FROM v a JOIN v b ON length(b.t) BETWEEN length(a.t) - 1 AND length(a.t) + 1 AND a.t <> b.t AND levenshtein(a.t, b.t) = 1),
+f AS MATERIALIZED (SELECT word, near AS form, m AS form_n FROM (SELECT *, row_number() OVER (PARTITION BY word ORDER BY m DESC, near) AS place FROM near) WHERE place = 1 AND m >= 2 * n),
+walk(word, here, steps) AS (SELECT word, word, 0 FROM v UNION ALL SELECT walk.word, form, steps + 1 FROM walk JOIN f ON f.word = walk.here),
+last AS (SELECT word, max_by(here, steps) AS root FROM walk GROUP BY word),
+many AS (SELECT word, count(*) AS n_near FROM near GROUP BY word)
+SELECT word, form, root, n, coalesce(n_near, 0)::BIGINT AS n_near, form_n
+FROM v JOIN last USING (word) LEFT JOIN f USING (word) LEFT JOIN many USING (word)"""
+)
+def op11_spelling(spark, sf):
+    return spelling.variants(spelling.vocabulary(table(spark, sf, "documents")))
+
+
+@register()
+def op13_alignment(spark, sf):
+    return alignment.aligned(table(spark, sf, "documents"), tokenizer_path(), piece_path())
