@@ -20,10 +20,9 @@ from __future__ import annotations
 
 import re
 import zlib
-from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
-from itertools import groupby
+from itertools import groupby, product
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -38,7 +37,7 @@ DAMAGED = 97
 #: A form is at least so many times as frequent as the word.
 TIMES = 2
 #: Groups of more words are halved.
-CROWD = 1000
+CROWD = 200
 #: Words that a task counts before it hands them on.
 HELD = 400_000
 
@@ -78,56 +77,62 @@ def vocabulary(docs: DataFrame, length: int = LEAST_LENGTH, least: int = LEAST_C
     return counted.where(F.col("n") >= least)
 
 
-def close_pairs(words: list[str]) -> Iterator[tuple[int, int]]:
-    """The index pairs, smaller first, of sorted distinct ``words`` that are exactly one edit apart.
+def _rows() -> list[int]:
+    """What follows each row of the banded matrix: by row and by which of the three query letters the next letter equals.
 
-    A row of the banded matrix belongs to a prefix of d code points of the list's word and holds the costs of
-    turning it into the first d - 1, d and d + 1 of the query; 2 stands for more than one edit.
+    A row belongs to a prefix of d code points of the list's word and holds the costs of turning it into the first
+    d - 1, d and d + 1 of the query, 2 being more than one edit. Its number is 8 * (9 * first + 3 * second + third).
     """
-    shared = [0] * len(words)
-    for k in range(1, len(words)):
+    following = []
+    for left, middle, right in product(range(3), repeat=3):
+        for equal in range(8):
+            first = min(left + 1 - (equal & 1), middle + 1, 2)
+            second = min(middle + 1 - (equal >> 1 & 1), right + 1, first + 1, 2)
+            third = min(right + 1 - (equal >> 2), second + 1, 2)
+            following.append(8 * (9 * first + 3 * second + third))
+    return following
+
+
+_NEXT = _rows()
+_START, _LOST = 8 * (9 * 2 + 3 * 0 + 1), 8 * 26
+
+
+def close_pairs(words: list[str]) -> Iterator[tuple[int, int]]:
+    """The index pairs, smaller first, of sorted distinct ``words`` that are exactly one edit apart."""
+    number, following = len(words), _NEXT
+    shared = [0] * number  # code points in common with the word before
+    for k in range(1, number):
         one, two = words[k - 1], words[k]
-        most = min(len(one), len(two))
-        while shared[k] < most and one[shared[k]] == two[shared[k]]:
+        while shared[k] < min(len(one), len(two)) and one[shared[k]] == two[shared[k]]:
             shared[k] += 1
-    for number, query in enumerate(words):
-        size = len(query)
-        rows = [(2, 0, 1 if size else 2)]
-        at, depth = number + 1, 0
-        while at < len(words):
+    past = [number] * number  # the next word that shares less with the one before it
+    for k in range(number - 2, 0, -1):
+        past[k] = k + 1
+        while past[k] < number and shared[past[k]] >= shared[k]:
+            past[k] = past[past[k]]
+    width = max(map(len, words), default=0)
+    rows = [_START] * (width + 1)
+    for start, query in enumerate(words):
+        # cells beyond the query's end meet no letter, and none before it depends on them
+        padded = "\0" + query + "\0" * (width + 2)
+        at, depth = start + 1, 0
+        while at < number:
             word = words[at]
-            depth = min(depth, shared[at]) if at > number + 1 else 0
-            del rows[depth + 1 :]
-            alive = True
-            while depth < len(word):
-                row = _next_row(rows[depth], query, size, word[depth], depth)
-                rows.append(row)
+            if depth > shared[at]:
+                depth = shared[at]
+            row = rows[depth]
+            for letter in word[depth:]:
+                row = following[row + (padded[depth] == letter) + 2 * (padded[depth + 1] == letter) + 4 * (padded[depth + 2] == letter)]
                 depth += 1
-                if min(row) > 1:
-                    alive = False
+                if row == _LOST:
                     break
-            if alive:
-                cell = size - depth + 1
-                if 0 <= cell <= 2 and rows[depth][cell] == 1:
-                    yield number, at
-                at += 1
-            else:
-                at = bisect_left(words, word[:depth] + "\U0010ffff", at + 1)
-
-
-def _next_row(row: tuple[int, int, int], query: str, size: int, letter: str, d: int) -> tuple[int, int, int]:
-    left, middle, right = row
-    a = middle + 1 if d <= size else 2
-    if 0 < d <= size and query[d - 1] == letter and left < a:
-        a = left
-    elif 0 < d <= size and left + 1 < a:
-        a = left + 1
-    b = c = 2
-    if d < size:
-        b = min(middle + (query[d] != letter), right + 1, a + 1)
-        if d + 1 < size:
-            c = min(right + (query[d + 1] != letter), b + 1)
-    return min(a, 2), min(b, 2), min(c, 2)
+                rows[depth] = row
+            at += 1
+            if row == _LOST:
+                while at < number and shared[at] >= depth:
+                    at = past[at]
+            elif abs(len(query) - len(word)) < 2 and row // 8 // 3 ** (len(word) - len(query) + 1) % 3 == 1:
+                yield start, at - 1
 
 
 _GROUP = ["m", "lo", "hi", "head", "tail"]
