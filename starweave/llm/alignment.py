@@ -11,11 +11,13 @@ radix a k-way heap merge over the distinct pairs of the runs, ``FAN`` at a time,
 so their maximum is known when the next id begins. The totals of a radix then meet the spilled segments again, and each segment
 streams its contributions back to its documents.
 
-A merge holds the distinct pairs of one radix, which the vocabularies bound; documents pass only through their own run.
+A merge holds the distinct pairs of one radix, which the vocabularies bound; answers go back to a run, one for each of its distinct pairs, and
+documents pass only through their own run.
 A pair that every document holds is one entry per run, however many documents there are.
 
 Both tokenizers split in front of a space that has other characters on both sides, so texts are cut there and the
-alignment of such a unit is looked up. Whether the vocabularies allow it is tested once, else whole texts are encoded.
+alignment of such a unit is looked up; a mark at its end is looked up by itself. Whether the vocabularies allow it is tested once, else whole
+texts are encoded.
 
 Defined results: null and empty texts, and texts whose tokens do not spell their bytes, have zeros and an empty string. Rows that repeat an id are
 documents of their own, each counted. An empty table gives no rows. Extra columns are ignored, whatever their names.
@@ -45,10 +47,15 @@ _DOC_BITS = 22
 #: Runs that a merge has open at a time.
 FAN = 64
 #: Units whose alignment a task remembers, and the longest that it remembers, in characters.
-REMEMBERED, LONGEST = 300_000, 64
+REMEMBERED, LONGEST = 500_000, 64
 #: Bytes of text whose units are looked up together.
 SLICE_BYTES = 2_000_000
 
+#: Marks that may be looked up by themselves behind a letter.
+_MARKS = ",.;:!?"
+#: Units that tokenizer A encodes in one text.
+TOGETHER = 64
+
 _CUT = re.compile(r" (?<=\S )(?=\S)")
 
 
@@ -79,8 +86,13 @@ class Aligner:
         width = -(-size_a // radices)
         self.place = [k % radices * width + k // radices for k in range(size_a)]
         self.size_b, self.span = len(pieces), width * len(pieces)
+        self.names_a, self.names_b = [str(k) for k in range(size_a)], [str(k) for k in range(len(pieces))]
         self.known: dict[str, tuple | None] = {}
         self.cuts = self._allows_cuts(pieces)
+        self.marks = self._split_marks(pieces) if self.cuts else {}
+        first, gap, second = (self.a.encode(t, add_special_tokens=False).ids for t in (" a", "\n", " b"))
+        both = self.a.encode(" a\n b", add_special_tokens=False).ids
+        self.gap = gap[0] if self.cuts and len(gap) == 1 and both == first + gap + second else None
 
     @classmethod
     def of(cls, a_path: str, b_path: str, radices: int) -> Aligner:
@@ -108,35 +120,81 @@ class Aligner:
         """The units of ``text``, each without the space in front of it."""
         return _CUT.split(text) if self.cuts else [text]
 
+    def _split_marks(self, pieces: list[str]) -> dict[str, tuple]:
+        """The alignment of each mark that B, as A, never joins with a letter before it."""
+        joined = {two for p in pieces for one, two in zip(p, p[1:]) if one.isalpha()}
+        found, before = {}, self.b.encode("a")
+        for mark in set(_MARKS) - joined:
+            a, b = self.a.encode(mark, add_special_tokens=False).ids, self.b.encode("a" + mark)
+            made = self.align(a, b[len(before) :], mark.encode()) if b[: len(before)] == before else None
+            if made is not None:
+                found[mark] = made
+        return found
+
     def learn(self, asked: set[str]) -> None:
-        new = [u for u in asked if u not in self.known]
-        for at in range(0, len(new), 2000):
-            some = new[at : at + 2000]
-            ids_a = [e.ids for e in self.a.encode_batch_fast([" " + u for u in some], add_special_tokens=False)]
-            for unit, a, b in zip(some, ids_a, self.b.encode(some, num_threads=1)):
-                self.known[unit] = self.align(a, b, b" " + unit.encode())
+        """Get to know units; one that ends in a mark behind a letter is put together from both."""
+        known, marks = self.known, self.marks
+        new = asked.difference(known)
+        marked = [u for u in new if u[-1:] in marks and u[-2:-1].isalpha()]
+        bare = list(new.difference(marked).union([u[:-1] for u in marked]).difference(known))
+        for at in range(0, len(bare), 4096):
+            some = bare[at : at + 4096]
+            for unit, a, b in zip(some, self._encode_a(some), self.b.encode(some, num_threads=1)):
+                known[unit] = self.align(a, b, b" " + unit.encode())
+        for unit in marked:
+            word, mark = known[unit[:-1]], marks[unit[-1]]
+            known[unit] = word and (word[0] + mark[0], word[1] + mark[1], word[2] + mark[2], word[3] + mark[3], f"{word[4]};{mark[4]}")
+
+    def _encode_a(self, units: list[str]) -> list[list[int]]:
+        """A's ids of each unit behind a space.
+
+        Units without white space are encoded together with line breaks between them, which become a token of their own
+        each; where the count of those is not as it should be, one by one.
+        """
+        found: dict[str, list[int]] = {}
+        if self.gap is not None:
+            plain = [u for u in units if u.split(None, 1) == [u]]
+            runs = [plain[at : at + TOGETHER] for at in range(0, len(plain), TOGETHER)]
+            texts = [" " + "\n ".join(run) for run in runs]
+            for run, made in zip(runs, self.a.encode_batch_fast(texts, add_special_tokens=False)):
+                ids = made.ids
+                cuts = [k for k, token in enumerate(ids) if token == self.gap]
+                if len(cuts) == len(run) - 1:
+                    found.update((u, ids[a + 1 : b]) for u, a, b in zip(run, [-1, *cuts], [*cuts, len(ids)]))
+        rest = [u for u in units if u not in found]
+        made = self.a.encode_batch_fast([" " + u for u in rest], add_special_tokens=False)
+        found.update((u, e.ids) for u, e in zip(rest, made))
+        return [found[u] for u in units]
 
     def align(self, a: list[int], b: list[int], data: bytes) -> tuple | None:
         """(n_a, n_b, n_groups, pairs, groups) of two encodings of ``data``, or None if one does not spell it."""
         bytes_a, bytes_b = self.bytes_a, self.bytes_b
         if b"".join([bytes_a[k] for k in a]) != data or b"".join([bytes_b[k] for k in b]) != data:
             return None
+        place, size_b = self.place, self.size_b
+        names_a, names_b = [self.names_a[k] for k in a], [self.names_b[k] for k in b]
+        if len(a) == 1 or len(b) == 1:
+            pairs = array("q", [place[k] * size_b + m for k in a for m in b])
+            return len(a), len(b), 1, pairs.tobytes(), ",".join(names_a) + "|" + ",".join(names_b)
         pairs, groups = array("q"), []
-        i = j = end_a = end_b = 0
-        while i < len(a):
-            first_a, first_b = i, j
-            while True:
-                pairs.append(self.place[a[i]] * self.size_b + b[j])
-                # the token that ends first makes room for the next one of its side
-                ahead_a, ahead_b = end_a + len(bytes_a[a[i]]), end_b + len(bytes_b[b[j]])
-                if ahead_a <= ahead_b:
-                    end_a, i = ahead_a, i + 1
-                if ahead_b <= ahead_a:
-                    end_b, j = ahead_b, j + 1
-                if ahead_a == ahead_b:
-                    break
-            groups.append(",".join(map(str, a[first_a:i])) + "|" + ",".join(map(str, b[first_b:j])))
-        return len(a), len(b), len(groups), pairs.tobytes(), ";".join(groups)
+        i = j = first_a = first_b = 0
+        end_a, end_b = len(bytes_a[a[0]]), len(bytes_b[b[0]])
+        while True:
+            pairs.append(place[a[i]] * size_b + b[j])
+            # the token that ends first makes room for the next one of its side
+            if end_a < end_b:
+                i += 1
+                end_a += len(bytes_a[a[i]])
+            elif end_b < end_a:
+                j += 1
+                end_b += len(bytes_b[b[j]])
+            else:
+                i, j = i + 1, j + 1
+                groups.append(",".join(names_a[first_a:i]) + "|" + ",".join(names_b[first_b:j]))
+                if i == len(a):
+                    return len(a), len(b), len(groups), pairs.tobytes(), ";".join(groups)
+                first_a, first_b = i, j
+                end_a, end_b = end_a + len(bytes_a[a[i]]), end_b + len(bytes_b[b[j]])
 
     def forget(self, asked: set[str]) -> None:
         for unit in [u for u in asked if len(u) > LONGEST]:
@@ -294,30 +352,56 @@ def totals(segments: DataFrame, radices: int, size_b: int, fan: int = FAN) -> Da
     return dealt.mapInArrow(emit, "radix int, all_codes binary, counts binary, best binary")
 
 
-def contributions(segments: DataFrame, sums: DataFrame) -> DataFrame:
-    """(run, local, n_best, count_sum): what the pairs of each segment add to the documents of its run."""
+def answers(segments: DataFrame, sums: DataFrame) -> DataFrame:
+    """(run, radix, counts, best) of each segment: the totals of its distinct pairs, in their order."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                run, codes, holders, docs, links, all_codes, counts, best = (c[row].as_py() for c in batch.columns)
+                run, radix, codes, all_codes, counts, best = (c[row].as_py() for c in batch.columns)
                 at = np.searchsorted(np.cumsum(unpack(all_codes, "<i8")), np.cumsum(unpack(codes, "<i8")))
-                at = np.repeat(at, unpack(holders, "<u4"))
+                out = {"run": [run], "radix": pa.array([radix], pa.int32())}
+                out |= {"counts": [pack(unpack(counts, "<i8")[at])], "best": [pack(unpack(best, "u1")[at])]}
+                yield pa.RecordBatch.from_pydict(out)
+
+    met = segments.select("run", "radix", "codes").join(sums, "radix")
+    return met.select("run", "radix", "codes", "all_codes", "counts", "best").mapInArrow(emit, "run long, radix int, counts binary, best binary")
+
+
+def contributions(segments: DataFrame, sums: DataFrame) -> DataFrame:
+    """(run, local, n_best, count_sum) of the documents of each run: what its segments, all in one task, add up to."""
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, best_sum, count_sum = None, np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+        def closed() -> pa.RecordBatch:
+            local = np.flatnonzero(count_sum)
+            out = {"run": np.full(len(local), now, np.int64), "local": local.astype(np.int32)}
+            return pa.RecordBatch.from_pydict(out | {"n_best": best_sum[local], "count_sum": count_sum[local]})
+
+        for batch in batches:
+            for row in range(batch.num_rows):
+                run, holders, docs, links, counts, best = (c[row].as_py() for c in batch.columns)
+                if run != now:
+                    if now is not None:
+                        yield closed()
+                    now, best_sum, count_sum = run, np.zeros(0, np.int64), np.zeros(0, np.int64)
+                pair = np.repeat(np.arange(len(holders := unpack(holders, "<u4"))), holders)
                 docs, links = unpack(docs, "<u4"), unpack(links, "<u4").astype(np.int64)
                 order = np.argsort(docs, kind="stable")
-                docs, links, at = docs[order], links[order], at[order]
+                docs, links, pair = docs[order], links[order], pair[order]
                 heads = np.flatnonzero(np.diff(docs.astype(np.int64), prepend=-1))
-                out = {
-                    "run": np.full(len(heads), run, np.int64),
-                    "local": docs[heads].astype(np.int32),
-                    "n_best": np.add.reduceat(links * unpack(best, "u1")[at], heads),
-                    "count_sum": np.add.reduceat(links * unpack(counts, "<i8")[at], heads),
-                }
-                yield pa.RecordBatch.from_pydict(out)
+                more = max(0, int(docs[-1]) + 1 - len(count_sum))
+                best_sum, count_sum = (np.append(x, np.zeros(more, np.int64)) for x in (best_sum, count_sum))
+                best_sum[docs[heads]] += np.add.reduceat(links * unpack(best, "u1")[pair], heads)
+                count_sum[docs[heads]] += np.add.reduceat(links * unpack(counts, "<i8")[pair], heads)
+        if now is not None:
+            yield closed()
 
-    met = segments.join(sums, "radix").select("run", "codes", "holders", "docs", "links", "all_codes", "counts", "best")
-    found = met.mapInArrow(emit, "run long, local int, n_best long, count_sum long")
-    return found.groupBy("run", "local").agg(F.sum("n_best").alias("n_best"), F.sum("count_sum").alias("count_sum"))
+    # rows of a run meet in one partition on both sides, which the join by run and radix leaves as it is
+    own = segments.select("run", "radix", "holders", "docs", "links").repartition("run")
+    met = own.join(answers(segments, sums).repartition("run"), ["run", "radix"]).sortWithinPartitions("run")
+    return met.select("run", "holders", "docs", "links", "counts", "best").mapInArrow(emit, "run long, local int, n_best long, count_sum long")
 
 
 def aligned(docs: DataFrame, a_path: str, b_path: str, radices: int | None = None, run_links: int = RUN_LINKS, fan: int = FAN) -> DataFrame:
