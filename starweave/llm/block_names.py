@@ -1,9 +1,10 @@
 """Exact deduplication by deterministic block naming.
 
 Texts are lower-cased (A-Z only) and cut into blocks of ``BLOCK_BYTES`` bytes. The distinct blocks are
-sorted, and the place of a block in that order is its integer name. Then adjacent names are paired, the
-distinct pairs are sorted and named likewise, and so on, until each document has one name. A last name
-without a partner is paired with null. No name comes from a hash, so documents of one level have the same
+sorted, by a hash and then by themselves, and the place of a block in that order is its integer name. Then adjacent names are
+paired, the distinct pairs are sorted and named likewise, and so on, until each document has one name. A last name
+without a partner is paired with null. The hash only deals the order out evenly, whatever texts begin with; blocks that share
+it are told apart. So documents of one level have the same
 name exactly if their texts are equal, and documents of different levels differ in length.
 
 Rows that hold equal blocks meet in two steps: first within ``salts`` slices of the rows, each of which
@@ -46,14 +47,15 @@ def blocks(docs: DataFrame, size: int = BLOCK_BYTES) -> DataFrame:
 
 
 def named(rows: DataFrame, key: Sequence[str], salts: int) -> DataFrame:
-    """(rid, pos, n, name) of ``rows`` (rid, pos, n, *key): equal keys get equal integers, in the order of the keys."""
+    """(rid, pos, n, name) of ``rows`` (rid, pos, n, *key): equal keys get equal integers, in the order of hash and key."""
     place = F.struct("rid", "pos", "n")
     spread = rows.select(*key, place.alias("place"), F.pmod(F.xxhash64("rid", "pos"), F.lit(salts)).alias("salt"))
     marked = spread.withColumn("first", F.min("place").over(Window.partitionBy(*key, "salt")))
     heads = marked.where("place = first").select(*key, "first")
-    ordered = heads.repartitionByRange(*key).sortWithinPartitions(*key)
+    heads = heads.withColumn("hash", F.xxhash64(*key))
+    ordered = heads.repartitionByRange("hash").sortWithinPartitions("hash", *key)
     placed = ordered.withColumn("at", F.monotonically_increasing_id())
-    names = placed.select("first", F.min("at").over(Window.partitionBy(*key)).alias("name"))
+    names = placed.select("first", F.min("at").over(Window.partitionBy("hash", *key)).alias("name"))
     return marked.select("place", "first").join(names, "first").select("place.*", "name")
 
 
