@@ -1,21 +1,23 @@
 """MinHash near-dedup with odd sketches.
 
-Each text becomes its set of word shingles, ``BANDS * ROWS`` MinHash samples of the set, and an
-odd sketch: a bitmap in which every sample flips one bit. Samples that two texts share cancel
-in the XOR of their bitmaps, so its population count tells how many differ, most precisely
-where few do, at 64 bytes a text.
+Each text becomes its set of word shingles, ``BANDS * ROWS`` MinHash samples of the set, and two
+odd sketches: bitmaps in which every sample, or every shingle, flips one bit. What two texts share cancels
+in the XOR of their bitmaps. For the samples its population count estimates how many differ, most precisely
+where few do; for the whole sets it is never more than the shingles that only one text has, so
+a pair of short texts is mostly decided by it. A bitmap takes 64 bytes a text.
 
 Texts with equal sets collapse first. Bands of samples then name buckets, and
 
-1. every member of a bucket is paired with the bucket's centre (a pick by one of ``CENTRES``
-   seeds) and pairs whose sketches differ too much are dropped. In four steps each text's
-   nearest pairs that still join two components are confirmed on the full sets, and components are drawn again;
+1. in steps, every member of a bucket outside its centre's component is paired with the centre, which a seed picks, and
+   pairs whose sketches differ too much are dropped. Each text's nearest pairs are confirmed on the full sets first, then
+   those that still join two components. Buckets whose members lie in one component take no further part;
 2. texts in buckets that still hold several components are posted under their rarest shingles, so many
    that any two linked texts share one; pairs across components that meet there, and whose sizes,
    places in the lists and sketches allow a link, are confirmed on the full sets, and components are drawn again.
 
-So a group costs pairs in proportion to its members, and no link between members of one bucket
-is lost, whatever the bucket's size: what differs from a large group of copies has rare shingles of its own.
+So no link between members of one bucket is lost, whatever the bucket's size, and a member of a large group meets one
+centre per seed and bucket, mostly the same. What the second part compares are texts that no centre joined: it takes pairs of
+their components that the sketches cannot tell apart, which for texts of a few hundred words are hardly more than the links.
 Two texts at the threshold (0.8) share none of 40 bands of 6 with a probability
 of 5e-6, and fail the sketch test with 1e-7.
 
@@ -40,12 +42,12 @@ from .recompression import packed_texts
 
 BANDS, ROWS = 40, 6
 BITS = 512
-#: Seeds by which buckets pick their centres.
-CENTRES = 6
+#: Seeds by which buckets pick their centres, step by step.
+STEPS = ((0,), (1, 2), (3, 4, 5))
 SHINGLE = 5
 PERCENT = 80
-#: Pairs with a centre that a text has confirmed in each step; the last step takes all that are left.
-PICKS = (1, 3, 9, BANDS)
+#: Pairs with a centre that a text has confirmed at a time; the last time takes all that are left.
+PICKS = (1, None)
 
 _SAMPLES = BANDS * ROWS
 _SEEDS = np.random.default_rng(7).integers(1, 2**32, (2, _SAMPLES), dtype=np.uint64).astype(np.uint32)
@@ -87,6 +89,12 @@ def odd_sketch(samples: np.ndarray) -> np.ndarray:
     return np.packbits(bits).view(np.int64)
 
 
+def set_sketch(shingles: np.ndarray) -> np.ndarray:
+    """The odd sketch of the whole set."""
+    bits = (np.bincount((shingles % U(BITS)).astype(np.int64), minlength=BITS) & 1).astype(np.uint8)
+    return np.packbits(bits).view(np.int64)
+
+
 def most_flips(percent: int) -> int:
     """The XOR population count that a pair at the threshold exceeds with a chance of about 1e-7."""
     # of the samples, a binomial number differs; each of those flips two bits
@@ -97,13 +105,13 @@ def most_flips(percent: int) -> int:
 
 
 def sketches(docs: DataFrame, shingle: int) -> DataFrame:
-    """(rid, doc_id, n, set_a, set_b, bands, sketch) of every row of ``docs`` (rid, doc_id, text)."""
+    """(rid, doc_id, n, set_a, set_b, bands, sketch, whole) of every row of ``docs`` (rid, doc_id, text)."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, last, hashes, counts in word_chunks(batch.column(2), lower=True):
                 ends = np.cumsum(counts)
-                n, set_a, set_b, bands, flips = [], [], [], [], []
+                n, set_a, set_b, bands, flips, whole = [], [], [], [], [], []
                 for begin, end in zip(ends - counts, ends):
                     found = shingle_set(hashes[begin:end], shingle)
                     n.append(len(found))
@@ -112,6 +120,7 @@ def sketches(docs: DataFrame, shingle: int) -> DataFrame:
                     samples = min_samples(found) if len(found) else None
                     bands.append(band_keys(samples).view(np.int64) if len(found) else np.zeros(0, np.int64))
                     flips.append(odd_sketch(samples) if len(found) else np.zeros(BITS // 64, np.int64))
+                    whole.append(set_sketch(found))
                 yield pa.RecordBatch.from_pydict(
                     {
                         "rid": batch.column(0).slice(first, last - first),
@@ -121,10 +130,11 @@ def sketches(docs: DataFrame, shingle: int) -> DataFrame:
                         "set_b": pa.array(np.array(set_b, U).view(np.int64)),
                         "bands": _lists(bands),
                         "sketch": _lists(flips),
+                        "whole": _lists(whole),
                     }
                 )
 
-    schema = "rid long, doc_id long, n long, set_a long, set_b long, bands array<long>, sketch array<long>"
+    schema = "rid long, doc_id long, n long, set_a long, set_b long, bands array<long>, sketch array<long>, whole array<long>"
     return docs.select("rid", "doc_id", "text").mapInArrow(emit, schema)
 
 
@@ -133,11 +143,17 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(arrays)))
 
 
+def _flips(left: str, right: str, kind: str) -> Column:
+    return sum(F.bit_count(F.col(f"{left}.{kind}{k}").bitwiseXOR(F.col(f"{right}.{kind}{k}"))) for k in range(BITS // 64))
+
+
 def _alike(left: str, right: str, percent: int) -> Column:
     """Sizes and sketches of two rows allow a similarity of ``percent``."""
     n, m = F.col(f"{left}.n"), F.col(f"{right}.n")
-    flips = sum(F.bit_count(F.col(f"{left}.s{k}").bitwiseXOR(F.col(f"{right}.s{k}"))) for k in range(BITS // 64))
-    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (flips <= most_flips(percent))
+    sizes = 100 * F.least(n, m) >= percent * F.greatest(n, m)
+    # a link leaves (100 - percent) / (100 + percent) of both sizes unshared at most, and flips no more bits
+    sets = (100 + percent) * _flips(left, right, "w") <= (100 - percent) * (n + m)
+    return sizes & sets & (_flips(left, right, "s") <= most_flips(percent))
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -181,7 +197,9 @@ def postings(texts: DataFrame, shingle: int, percent: int) -> DataFrame:
                 yield pa.RecordBatch.from_pydict({"rid": rids, "n": n, "shingle": found.view(np.int64)})
 
     spread = texts.select("rid", "packed").mapInArrow(emit, "rid long, n long, shingle long")
-    spread = spread.withColumn("texts", F.count("*").over(Window.partitionBy("shingle")))
+    spread = keep(spread, "spread")
+    counts = spread.groupBy("shingle").agg(F.count("*").alias("texts"))
+    spread = spread.join(counts, "shingle")
     rare_first = Window.partitionBy("rid").orderBy("texts", "shingle")
     placed = spread.withColumn("place", F.row_number().over(rare_first).cast("long"))
     wanted = F.col("n") - F.floor((percent * F.col("n") + 99) / 100) + 1
@@ -232,6 +250,25 @@ def _merged(label: DataFrame, links: DataFrame) -> DataFrame:
     return label.join(top, "component", "left").select("id", F.coalesce("_top", "component").alias("component"))
 
 
+def _stars(crowded: DataFrame, signs: DataFrame, seeds: Sequence[int], percent: int) -> DataFrame:
+    """(a, b, flips): members of the buckets ``crowded`` (key, rep, component) with their centres in other components, if alike."""
+    centre = [F.min_by(F.struct("rep", "component"), F.xxhash64("rep", F.lit(seed))) for seed in seeds]
+    # bands of one seed mostly agree on the centre of a group
+    buckets = crowded.groupBy("key").agg(F.array(*centre).alias("centres"))
+    met = crowded.join(buckets, "key").select("rep", "component", F.explode("centres").alias("centre"))
+    met = met.where("component <> centre.component").select(F.col("rep").alias("a"), F.col("centre.rep").alias("b")).distinct()
+    x, y = signs.alias("x"), signs.alias("y")
+    met = met.join(x, F.col("a") == F.col("x.id")).join(y, (F.col("b") == F.col("y.id")) & _alike("x", "y", percent))
+    return met.select("a", "b", _flips("x", "y", "s").alias("flips"))
+
+
+def _still_mixed(crowded: DataFrame, label: DataFrame) -> DataFrame:
+    """The buckets ``crowded`` (key, rep) that hold several components, with those."""
+    known = crowded.select("key", "rep").join(label.withColumnRenamed("id", "rep"), "rep")
+    mixed = known.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    return known.join(mixed.where("low < high").select("key"), "key").select("key", "rep", "component")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """(rid, doc_id, n_shingles, component, component_id, kept) for every row of ``docs``.
 
@@ -253,46 +290,37 @@ def linked(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     drawn = keep(sketches(docs, shingle), "sketches")
     same = ["set_a", "set_b", "n"]
     unique = drawn.where("n > 0").groupBy(*same).agg(
-        F.min("rid").alias("rep"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")
+        F.min("rid").alias("rep"), *(F.first(c).alias(c) for c in ("bands", "sketch", "whole"))
     )
     unique = keep(unique, "unique")
-    members = unique.select("rep", "n", F.posexplode("bands").alias("band", "key"))
-    # bands of one seed mostly agree on the centre of a group
-    pick = F.min_by("rep", F.xxhash64("rep", F.col("band") % CENTRES))
-    buckets = members.groupBy("key").agg(F.count("*").alias("size"), pick.alias("centre")).where("size > 1")
-    crowded = keep(members.join(buckets, "key").select("key", "rep", "n", "centre"), "crowded")
+    members = unique.select("rep", F.posexplode("bands").alias("band", "key")).drop("band")
+    buckets = members.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+    crowded = members.join(buckets.select("key"), "key").withColumn("component", F.col("rep"))
+    crowded = keep(crowded, "crowded")
 
-    words = [F.col("sketch")[k].alias(f"s{k}") for k in range(BITS // 64)]
+    words = [F.col(c)[k].alias(f"{c[0]}{k}") for c in ("sketch", "whole") for k in range(BITS // 64)]
     signs = unique.select(F.col("rep").alias("id"), "n", *words)
-    stars = crowded.where("rep <> centre").select(F.col("rep").alias("a"), F.col("centre").alias("b")).distinct()
-    x, y = signs.alias("x"), signs.alias("y")
-    flips = sum(F.bit_count(F.col(f"x.s{k}").bitwiseXOR(F.col(f"y.s{k}"))) for k in range(BITS // 64))
-    stars = (
-        stars.join(x, F.col("a") == F.col("x.id"))
-        .join(y, F.col("b") == F.col("y.id"))
-        .where(_alike("x", "y", percent))
-        .select("a", "b", flips.alias("flips"))
-    )
-    stars = keep(stars, "stars")
     involved = crowded.select(F.col("rep").alias("rid")).distinct()
     texts = keep(packed_texts(docs).join(involved, "rid"), "texts")
     label = involved.select(F.col("rid").alias("id"), F.col("rid").alias("component"))
-    nearest = Window.partitionBy("a").orderBy("flips", "b")
-    for picks in PICKS:
-        stars = _across(stars, label)  # links within a component need no test
-        ranked = stars.withColumn("_rank", F.row_number().over(nearest))
-        good = keep(confirmed(ranked.where(F.col("_rank") <= picks).select("a", "b"), texts, shingle, percent), "links")
-        stars = keep(ranked.where(F.col("_rank") > picks).drop("_rank"), "stars")
-        label = keep(_merged(label, good), "labels")
-
-    known = crowded.join(label.withColumnRenamed("id", "rep"), "rep")
-    mixed = known.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    mixed = known.join(mixed.where("low < high").select("key"), "key")
-    posted = postings(texts.join(mixed.select(F.col("rep").alias("rid")).distinct(), "rid"), shingle, percent)
+    for seeds in STEPS:
+        stars = keep(_stars(crowded, signs, seeds, percent), "stars")
+        for picks in PICKS:
+            nearest = Window.partitionBy("a").orderBy("flips", "b")
+            ranked = stars.withColumn("rank", F.row_number().over(nearest))
+            taken = ranked if picks is None else ranked.where(F.col("rank") <= picks)
+            good = keep(confirmed(taken.select("a", "b"), texts, shingle, percent), "links")
+            label = keep(_merged(label, good), "labels")
+            if picks is not None:  # links within a component need no test
+                stars = keep(_across(ranked.where(F.col("rank") > picks).drop("rank"), label), "stars")
+        crowded = keep(_still_mixed(crowded, label), "crowded")
+
+    wanted = crowded.select(F.col("rep").alias("rid")).distinct()
+    posted = postings(texts.join(wanted, "rid"), shingle, percent)
     labelled = posted.join(label.withColumnRenamed("id", "rid"), "rid").join(signs.drop("n"), F.col("rid") == F.col("id"))
     labelled = keep(labelled.drop("id"), "labelled")
     across = keep(_candidates(labelled, percent), "across")
-    second = keep(confirmed(keep(across, "across"), texts, shingle, percent), "links")
+    second = keep(confirmed(across, texts, shingle, percent), "links")
     final = _merged(label, second)
 
     sets = unique.select(*same, "rep")
