@@ -6,9 +6,10 @@ The writer appends records to archives of gzip members. A record whose block is
 ``WARC-Segment-Origin-ID``, and the last carries ``WARC-Segment-Total-Length``. HTTP bodies use chunked
 transfer framing. A page whose payload is that of a page with a larger id becomes a ``revisit``.
 
-The reader parses archives in parallel, groups segments by origin id, orders them by number,
-checks that none is missing and that lengths add up to the total, and undoes the framing.
-One record is the largest thing in one place. Revisits get size and page of the record they refer to by a join.
+The reader parses each archive once, in a task of its own. Records in one piece are settled there; segments
+are grouped by origin id, ordered by number, and when none is missing and their lengths add up to the total, put together. The framing is
+undone. One record is the largest thing in one place. Revisits get size and page of the record they refer to by a join
+of their own, which responses do not take part in.
 
 Archive names carry a random part; only those of finished tasks are listed, so tasks may run again.
 
@@ -16,6 +17,9 @@ Defined results: null html is an empty payload; a null url has no target header;
 Rows that repeat a page id are records of their own, the last in order of payload digest being the
 response of equal payloads. Extra columns are ignored. A record that lacks a segment has
 ``complete`` false and no payload; where that is the first one, its id is known and its other fields are null.
+A record whose chunk framing is broken has ``complete`` false and no payload. A record whose header cannot be read, and an
+archive that ends within a record or goes on with something else than one, give a row with ``complete`` false and all other fields null;
+what stands before such a place is read, what stands behind broken compression is not.
 """
 
 from __future__ import annotations
@@ -139,9 +143,9 @@ def write(pages: DataFrame, folder: str, segment: int = SEGMENT_BYTES, limit: in
     pages = pages.withColumn("digest", F.sha1("text"))
     sized = pages.where(F.octet_length("text") >= REVISIT_FROM)
     groups = sized.groupBy("digest").agg(F.max("rid").alias("last"), F.count("*").alias("n")).where("n > 1")
-    found = pages.join(groups.select("digest", "last"), "digest", "left")
-    refers = F.when(F.col("last") != F.col("rid"), F.col("last"))
-    found = found.select("rid", "doc_id", "url", "digest", refers.alias("refers"), "text")
+    known = sized.select("rid", "digest").join(groups.select("digest", "last"), "digest")
+    revisits = known.where("rid <> last").select("rid", F.col("last").alias("refers"))
+    found = pages.join(revisits, "rid", "left").select("rid", "doc_id", "url", "digest", "refers", "text")
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         archives = _Archives(folder, segment, limit)
@@ -171,16 +175,22 @@ _FIELDS = "kind string, id string, origin string, number int, total long, page_i
 
 
 def _members(stream) -> Iterator[bytes]:
-    """The records of an archive: the content of each gzip member."""
+    """The records of an archive: the content of each gzip member, and nothing for one that is damaged."""
     tool, parts = zlib.decompressobj(31), []
     while data := stream.read(1 << 20):
         while data:
-            parts.append(tool.decompress(data))
+            try:
+                parts.append(tool.decompress(data))
+            except zlib.error:
+                yield b""
+                return
             if not tool.eof:
                 break
             data = tool.unused_data
             yield b"".join(parts)
             tool, parts = zlib.decompressobj(31), []
+    if parts:
+        yield b""
 
 
 def records(archives: DataFrame, folder: str) -> DataFrame:
@@ -209,29 +219,40 @@ _ARROW = {"string": pa.string(), "int": pa.int32(), "long": pa.int64()}
 
 def _parsed(member: bytes) -> dict:
     head, _, rest = member.partition(b"\r\n\r\n")
-    lines = [line.partition(": ") for line in head.decode().split("\r\n")[1:]]
-    own = {name.lower(): value for name, _, value in lines}
-    whole = lambda name: int(own[name]) if name in own else None
-    return {
-        "kind": own["warc-type"],
-        "id": own["warc-record-id"],
-        "origin": own.get("warc-segment-origin-id"),
-        "number": whole("warc-segment-number"),
-        "total": whole("warc-segment-total-length"),
-        "page_id": whole("x-page-id"),
-        "url": own.get("warc-target-uri"),
-        "digest": own.get("warc-payload-digest", "").removeprefix("sha1:"),
-        "refers": own.get("warc-refers-to"),
-        "block": rest[: int(own["content-length"])],
-    }
+    try:
+        lines = [line.partition(": ") for line in head.decode().split("\r\n")[1:]]
+        own = {name.lower(): value for name, _, value in lines}
+        whole = lambda name: int(own[name]) if name in own else None
+        length = int(own["content-length"])
+        return {
+            "kind": own["warc-type"],
+            "id": own["warc-record-id"],
+            "origin": own.get("warc-segment-origin-id"),
+            "number": whole("warc-segment-number"),
+            "total": whole("warc-segment-total-length"),
+            "page_id": whole("x-page-id"),
+            "url": own.get("warc-target-uri"),
+            "digest": own.get("warc-payload-digest", "").removeprefix("sha1:"),
+            "refers": own.get("warc-refers-to"),
+            "block": rest[:length] if 0 <= length <= len(rest) else None,
+        }
+    except (KeyError, ValueError):  # a field is missing, or neither text nor number
+        return dict.fromkeys([*(f.split()[0] for f in _FIELDS.split(", ")), "block"])
+
+
+_HEAD = ["kind", "id", "page_id", "url", "digest", "refers"]
 
 
 def reassembled(found: DataFrame) -> DataFrame:
     """One row per logical record: its fields, ``complete`` and the ordered ``blocks``."""
-    fields = ["kind", "id", "page_id", "url", "digest", "refers"]
-    single = found.where("number is null").select(*fields, F.lit(True).alias("complete"), F.array("block").alias("blocks"))
-    pieces = found.where("number is not null").withColumn("key", F.coalesce("origin", "id"))
-    first = F.when(F.col("number") == 1, F.struct(*fields))
+    whole = F.col("block").isNotNull()
+    single = found.where("number is null").select(*_HEAD, whole.alias("complete"), F.array("block").alias("blocks"))
+    return single.union(_joined(found.where("number is not null")))
+
+
+def _joined(pieces: DataFrame) -> DataFrame:
+    pieces = pieces.withColumn("key", F.coalesce("origin", "id"))
+    first = F.when(F.col("number") == 1, F.struct(*_HEAD))
     grouped = pieces.groupBy("key").agg(
         F.max(first).alias("head"),
         F.array_sort(F.collect_list(F.struct("number", "block"))).alias("parts"),
@@ -241,48 +262,69 @@ def reassembled(found: DataFrame) -> DataFrame:
     numbers = F.transform("parts", lambda p: p["number"]) == F.sequence(F.lit(1), F.size("parts"))
     fits = numbers & F.coalesce(F.col("total") == F.col("length"), F.lit(False))
     # without segment 1 only the id is known
-    own = [F.coalesce("head.id", "key").alias("id") if f == "id" else F.col(f"head.{f}") for f in fields]
-    joined = grouped.select(*own, fits.alias("complete"), F.transform("parts", lambda p: p["block"]).alias("blocks"))
-    return single.union(joined)
+    own = [F.coalesce("head.id", "key").alias("id") if f == "id" else F.col(f"head.{f}") for f in _HEAD]
+    return grouped.select(*own, fits.alias("complete"), F.transform("parts", lambda p: p["block"]).alias("blocks"))
 
 
-def read(archives: DataFrame, folder: str, payloads: bool = True) -> DataFrame:
-    """(page_id, url, record_type, complete, payload, payload_bytes, payload_digest, refers_to) of all pages.
+_SETTLED = "kind string, id string, page_id long, url string, refers string, complete boolean, payload binary, size long, payload_digest string"
 
-    ``payload`` is null with ``payloads`` off and for revisits, whose size is that of the response.
-    """
+
+def _settled(records: DataFrame, payloads: bool) -> DataFrame:
+    """Logical records (``_HEAD``, complete, blocks, and any further columns, which stay) with their payloads."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bodies, sizes, digests = [], [], []
+            done, bodies, sizes, digests = [], [], [], []
             for kind, complete, blocks, digest in zip(*(batch.column(k) for k in (0, 6, 7, 4))):
-                if kind.as_py() != "response" or not complete.as_py():
-                    bodies.append(None)
-                    sizes.append(None)
-                    digests.append(digest.as_py() if complete.as_py() else None)
-                    continue
-                body = http_payload(b"".join(blocks.as_py()))
+                body, good = None, complete.as_py()
+                if good and kind.as_py() == "response":
+                    try:
+                        body = http_payload(b"".join(blocks.as_py()))
+                    except ValueError:  # broken framing
+                        good = False
+                done.append(good)
                 bodies.append(body if payloads else None)
-                sizes.append(len(body))
-                digests.append(hashlib.sha1(body).hexdigest())
+                sizes.append(None if body is None else len(body))
+                digests.append(hashlib.sha1(body).hexdigest() if body is not None else digest.as_py() if good else None)
+            made = [pa.array(done, pa.bool_()), pa.array(bodies, pa.binary()), pa.array(sizes, pa.int64()), pa.array(digests, pa.string())]
+            names = [f.split()[0] for f in _SETTLED.split(", ")]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(k) for k in (0, 1, 2, 3, 5, 6)), pa.array(bodies, pa.binary()), pa.array(sizes, pa.int64()), pa.array(digests, pa.string())],
-                ["kind", "id", "page_id", "url", "refers", "complete", "payload", "size", "payload_digest"],
-            )
+                [*(batch.column(k) for k in (0, 1, 2, 3, 5)), *made, *batch.columns[8:]], [*names, *batch.schema.names[8:]]
+            )
+
+    more = "".join(f", {f.name} {f.dataType.simpleString()}" for f in records.schema.fields[8:])
+    return records.mapInArrow(emit, _SETTLED + more)
+
+
+def read(archives: DataFrame, folder: str, payloads: bool = True) -> DataFrame:
+    """(page_id, url, record_type, complete, payload, payload_bytes, payload_digest, refers_to) of all pages.
+
+    ``payload`` is null with ``payloads`` off and for revisits, whose size is that of the response.
+    """
+    number = max(1, archives.count())
+    found = records(archives.repartitionByRange(number, "path"), folder)
+    # records in one piece are settled where they are parsed; of the others the pieces are kept
+    piece = F.col("number").isNotNull()
+    left = [F.when(piece, F.col(c)).alias(f"_{c}") for c in ("number", "origin", "total", "digest", "block")]
+    whole = (~piece & F.col("block").isNotNull()).alias("complete")
+    blocks = F.when(~piece, F.array("block")).alias("blocks")
+    parsed = keep(_settled(found.select(*_HEAD, whole, blocks, *left), payloads), "parsed")
+    done = [f.split()[0] for f in _SETTLED.split(", ")]
+    pieces = parsed.where("_number is not null")
+    pieces = pieces.select("kind", "id", "page_id", "url", "refers", *[F.col(f"_{c}").alias(c) for c in ("number", "origin", "total", "digest", "block")])
+    rows = keep(parsed.where("_number is null").select(done).union(_settled(_joined(pieces), payloads)), "records")
 
-    schema = "kind string, id string, page_id long, url string, refers string, complete boolean, payload binary, size long, payload_digest string"
-    rows = keep(reassembled(records(archives, folder)).mapInArrow(emit, schema), "records")
     responses = rows.where("kind = 'response'").select(
         F.col("id").alias("refers"), F.col("page_id").alias("refers_to"), F.col("size").alias("known")
     )
-    return rows.join(responses, "refers", "left").select(
-        "page_id", "url", F.col("kind").alias("record_type"), "complete", "payload",
-        F.coalesce("size", "known").alias("payload_bytes"), "payload_digest", "refers_to",
-    )
+    own = ["page_id", "url", F.col("kind").alias("record_type"), "complete", "payload"]
+    revisits = rows.where("refers is not null").join(responses, "refers", "left")
+    revisits = revisits.select(*own, F.coalesce("size", "known").alias("payload_bytes"), "payload_digest", "refers_to")
+    none = F.lit(None).cast("long").alias("refers_to")
+    return rows.where("refers is null").select(*own, F.col("size").alias("payload_bytes"), "payload_digest", none).union(revisits)
 
 
 def round_trip(pages: DataFrame, payloads: bool = False) -> DataFrame:
     """Write ``pages`` to archives in the shared folder and read them back."""
     folder = scratch_path(pages.sparkSession, "warc")
-    paths = write(pages, folder)
-    return read(paths.repartition("path"), folder, payloads)
+    return read(write(pages, folder), folder, payloads)
