@@ -11,9 +11,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ids import id_text
+from ..session import cut_lineage
 from ..sources.adapters import Outputs, base_fields, desi_outputs, image_outputs, with_fields
+from .membership import without_ids
 from .ordering import BLOCK_ROWS, number_rows
-from .skew import HOT_ROWS, hot_keys, spread_join
+from .skew import HOT_ROWS, few_rows, hot_keys, small_side, spread_join
 
 ANCHOR_KEY = ["norder", "npix", "anchor_id"]
 PARTNER_KEY = ["partner_norder", "partner_npix", "partner_id"]
@@ -36,13 +38,13 @@ def locate(edges: DataFrame, partner_cells: DataFrame, keyed: DataFrame) -> Data
 
     Works on ids and places only, so no spectrum is moved.
     """
-    needed = edges.select(*CELL, "partner_id").distinct().join(
-        partner_cells.select(*CELL, "partner_norder", "partner_npix").distinct(), CELL
-    )
+    needed = edges.select(*CELL, "partner_id").distinct()
     places = keyed.groupBy(*PARTNER_KEY).agg(F.max("partner_row").alias("partner_row"))
     last = F.max(F.struct("partner_norder", "partner_npix", "partner_row"))
+    listed = [*CELL, "partner_norder", "partner_npix"]
     found = (
-        needed.join(places, PARTNER_KEY)
+        needed.join(places, "partner_id")  # by id first: no list of partitions is multiplied
+        .join(partner_cells.select(*listed), listed, "left_semi")
         .groupBy(*CELL, "partner_id")
         .agg(last.alias("at"))
         .select(*CELL, "partner_id", "at.*")
@@ -66,12 +68,15 @@ def join_pairs(
     """
     images = images.withColumn("anchor_id", id_text(images, image_id))
     keyed = _spectra_keys(spectra, spectrum_id)
-    located = locate(edges, partner_cells, keyed).where(F.col("partner_row").isNotNull())
+    located = cut_lineage(locate(edges, partner_cells, keyed).where(F.col("partner_row").isNotNull()))
     place = ["partner_norder", "partner_npix", "partner_row"]
     payload = keyed.select(*place, F.struct(*[F.col(f"`{c}`") for c in spectra.columns if c in keyed.columns]).alias("partner"))
-    attached = spread_join(
-        located, payload, place, "inner", salt_by=ANCHOR_KEY, hot=hot_keys(located, place, hot_rows)
-    ).select(*ANCHOR_KEY, "partner")
+    if few_rows(located):  # the spectra stay where they are read
+        attached = payload.join(F.broadcast(located), place)
+    else:
+        hot = hot_keys(located, place, hot_rows)
+        attached = spread_join(located, payload, place, "inner", salt_by=ANCHOR_KEY, hot=hot)
+    attached = attached.select(*ANCHOR_KEY, "partner")
     indexed = edges.select(*ANCHOR_KEY).distinct().join(attached, ANCHOR_KEY, "left").withColumn("indexed", F.lit(True))
     hot = hot_keys(images, ANCHOR_KEY, hot_rows)
     joined = spread_join(images, indexed, ANCHOR_KEY, "left", salt_by=["row_index"], hot=hot)
@@ -89,15 +94,9 @@ def unmatched_spectra(
     """Spectra of owned partitions that no edge points to, with their owner cell."""
     keyed = _spectra_keys(spectra, spectrum_id)
     mine = owners.select("partner_norder", "partner_npix", *CELL, "cell_rank")
-    rows = keyed.join(mine, ["partner_norder", "partner_npix"])
-    return spread_join(
-        rows,
-        matched_ids.select("partner_id").distinct(),
-        ["partner_id"],
-        "left_anti",
-        salt_by=["partner_norder", "partner_npix", "partner_row"],
-        hot=hot_keys(keyed, ["partner_id"], hot_rows),
-    )
+    rows = keyed.join(small_side(mine), ["partner_norder", "partner_npix"])
+    salt = ["partner_norder", "partner_npix", "partner_row"]
+    return without_ids(rows, matched_ids.select("partner_id"), salt_by=salt, hot_rows=hot_rows)
 
 
 def interleave_slots(unmatched: DataFrame, image_counts: DataFrame, *, block_rows: int = BLOCK_ROWS) -> DataFrame:

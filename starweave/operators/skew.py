@@ -8,34 +8,52 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from math import ceil
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot above this many rows, or above this share of all rows if that is more;
-# so fewer than HOT_SHARE keys can be hot, whatever the data.
+from ..session import cut_lineage
+
+# A key is hot above this many rows, whatever the size of the table.
 HOT_ROWS = 100_000
-HOT_SHARE = 256
+# Hot keys up to this number are held on the driver and broadcast.
+FEW_KEYS = 10_000
+# A side of a join up to this many narrow rows (ids and cells) is broadcast.
+BROADCAST_ROWS = 200_000
 
 
 @dataclass(frozen=True)
 class HotKeys:
-    """The keys to spread, and into how many parts each; fewer than HOT_SHARE rows."""
+    """The keys to spread with their rows, ``_rows``; a part holds ``limit`` of them."""
 
-    rows: list[Row]
+    table: DataFrame
     limit: int
+    few: bool
+
+    def only(self, column: str, value: str) -> HotKeys:
+        """The keys with this value in a column, which they are left without."""
+        return HotKeys(self.table.where(F.col(column) == value).drop(column), self.limit, self.few)
 
 
-def hot_keys(df: DataFrame, on: Sequence[str], floor: int = HOT_ROWS) -> HotKeys | None:
-    """Find the hot keys of ``df``: one aggregate with map-side combining."""
-    counts = df.groupBy(*on).agg(F.count("*").alias("_rows"))
-    total, top = counts.agg(F.sum("_rows"), F.max("_rows")).first()
-    if top is None or top <= floor:
+def hot_keys(df: DataFrame, on: Sequence[str], limit: int = HOT_ROWS) -> HotKeys | None:
+    """Find the hot keys of ``df``: one job, one aggregate with map-side combining."""
+    hot = df.groupBy(*on).agg(F.count("*").alias("_rows")).where(F.col("_rows") > limit)
+    rows = hot.limit(FEW_KEYS + 1).collect()
+    if not rows:
         return None
-    limit = max(floor, ceil(total / HOT_SHARE))
-    rows = counts.where(F.col("_rows") > limit).collect()
-    return HotKeys(rows, limit) if rows else None
+    if len(rows) <= FEW_KEYS:
+        return HotKeys(df.sparkSession.createDataFrame(rows, hot.schema), limit, True)
+    return HotKeys(cut_lineage(hot), limit, False)
+
+
+def few_rows(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
+    """Whether ``df`` has ``limit`` rows at most; counting stops soon behind it."""
+    return df.select(F.lit(1)).limit(limit + 1).count() <= limit
+
+
+def small_side(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """Broadcast hint for a narrow side of a checked size."""
+    return F.broadcast(df) if few_rows(df, limit) else df
 
 
 def spread_join(
@@ -56,18 +74,13 @@ def spread_join(
     on = list(on)
     if hot is None:
         return left.join(right, on, how)
-    spark = left.sparkSession
     names = [f"_hot_{name}" for name in on]
-    schema = ", ".join(f"`{n}` {left.schema[c].dataType.simpleString()}" for n, c in zip(names, on))
-    table = spark.createDataFrame(
-        [(*[row[c] for c in on], ceil(row["_rows"] / hot.limit)) for row in hot.rows],
-        f"{schema}, `_parts` int",
-    )
+    parts = F.ceil(F.col("_rows") / hot.limit).cast("int").alias("_parts")
+    table = hot.table.select(*[F.col(c).alias(n) for c, n in zip(on, names)], parts)
 
     def with_parts(df: DataFrame) -> DataFrame:
         same = [F.col(c).eqNullSafe(F.col(n)) for c, n in zip(on, names)]
-        # at most HOT_SHARE rows, see hot_keys
-        return df.join(F.broadcast(table), same, "left").drop(*names)
+        return df.join(F.broadcast(table) if hot.few else table, same, "left").drop(*names)
 
     spread = (
         with_parts(left)

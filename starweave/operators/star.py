@@ -14,10 +14,12 @@ from pyspark.sql import functions as F
 
 from ..functions.ids import id_text
 from ..sources.adapters import HubAdapter, SpokeAdapter, base_fields, with_fields
-from .skew import HOT_ROWS, HotKeys, hot_keys, spread_join
+from .membership import without_ids
+from .skew import HOT_ROWS, few_rows, hot_keys, small_side, spread_join
 
 ANCHOR_KEY = ["norder", "npix", "anchor_id"]
 PARTNER_KEY = ["partner_norder", "partner_npix", "partner_id"]
+CELL_POINTER = ["norder", "npix", "source", "partner_id"]
 
 # The order records are streamed in; the columns identify a record.
 ORDER = ["cell_rank", "phase", "source", "part_order", "part_pixel", "row_index"]
@@ -38,21 +40,6 @@ class Spoke:
         )
 
 
-def pointers(edges: DataFrame, partner_cells: DataFrame) -> DataFrame:
-    """Each edge once per partner partition fetched for its anchor cell.
-
-    A pointer is looked up in all partitions its anchor cell refers to, not only its own.
-    """
-    return edges.join(partner_cells, ["norder", "npix", "source"])
-
-
-def _split_hot(hot: HotKeys | None, source: str) -> HotKeys | None:
-    if hot is None:
-        return None
-    rows = [r for r in hot.rows if r["source"] == source]
-    return HotKeys(rows, hot.limit) if rows else None
-
-
 def narrow_ids(spokes: dict[str, Spoke]) -> DataFrame | None:
     """(source, partition, id) of every spoke row; reads no payload column."""
     result = None
@@ -62,29 +49,54 @@ def narrow_ids(spokes: dict[str, Spoke]) -> DataFrame | None:
     return result
 
 
-def duplicate_partners(needed: DataFrame, ids: DataFrame) -> DataFrame:
-    """Needed partner ids that occur more than once in the partitions of their anchor cell."""
+def lookups(edges: DataFrame, partner_cells: DataFrame, ids: DataFrame) -> DataFrame:
+    """CELL_POINTER and ``copies``: how many rows each pointer of an anchor cell finds.
+
+    A pointer is looked up in all partitions its anchor cell refers to, not only its own. The ids are joined first and
+    the partitions compared afterwards, so a pointer meets its own rows and never a list of partitions.
+    """
+    wanted = edges.select(*CELL_POINTER).distinct()
     counts = ids.groupBy("source", *PARTNER_KEY).agg(F.count("*").alias("copies"))
-    wanted = needed.select("norder", "npix", "source", *PARTNER_KEY).distinct()
-    return (
-        wanted.join(counts, ["source", *PARTNER_KEY])
-        .groupBy("norder", "npix", "source", "partner_id")
-        .agg(F.sum("copies").alias("copies"))
-        .where(F.col("copies") > 1)
-    )
+    there = wanted.join(counts, ["source", "partner_id"]).join(*_listed(partner_cells, ["source"]))
+    found = there.groupBy(*CELL_POINTER).agg(F.sum("copies").alias("copies"))
+    return wanted.join(found, CELL_POINTER, "left").withColumn("copies", F.coalesce("copies", F.lit(0)))
 
 
-def refuse_duplicates(needed: DataFrame, ids: DataFrame) -> None:
-    twice = duplicate_partners(needed, ids).first()
+def _listed(partner_cells: DataFrame, more: list[str]) -> tuple[DataFrame, list[str], str]:
+    """What ``join`` needs to keep rows whose partner partition is listed for their anchor cell."""
+    key = ["norder", "npix", *more, "partner_norder", "partner_npix"]
+    return partner_cells.select(*key), key, "left_semi"
+
+
+def duplicate_partners(found: DataFrame) -> DataFrame:
+    """Of ``lookups``, the pointers that find more than one row."""
+    return found.where("copies > 1")
+
+
+def refuse_duplicates(found: DataFrame) -> None:
+    twice = duplicate_partners(found).first()
     if twice is not None:
         raise ValueError(f"duplicate {twice['source']} id {twice['partner_id']!r} in fetched partitions")
 
 
-def missing_partners(edges: DataFrame, needed: DataFrame, ids: DataFrame) -> DataFrame:
-    """Edges whose partner is in none of the partitions of its anchor cell."""
-    present = needed.join(ids.distinct(), ["source", *PARTNER_KEY], "left_semi")
-    key = [*ANCHOR_KEY, "source", "partner_id"]
-    return edges.join(present.select(*key).distinct(), key, "left_anti")
+def missing_partners(edges: DataFrame, found: DataFrame) -> DataFrame:
+    """Edges whose pointer, by ``lookups``, finds nothing."""
+    return edges.join(found.where("copies = 0").select(*CELL_POINTER), CELL_POINTER, "left_semi")
+
+
+def meet(edges: DataFrame, partner_cells: DataFrame, rows: DataFrame, *, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``edges`` of one source with the partner rows they point to, in the partitions listed for their anchor cells.
+
+    Few edges are broadcast, so the partner rows stay where they are read and only matched ones go on. Otherwise both
+    sides are shuffled by id; neither way makes more rows than there are edges and copies of partners.
+    """
+    edges = edges.select(*ANCHOR_KEY, "partner_id")
+    if few_rows(edges):
+        met = rows.join(F.broadcast(edges), "partner_id")
+    else:
+        hot = hot_keys(edges, ["partner_id"], hot_rows)
+        met = spread_join(edges, rows, ["partner_id"], "inner", salt_by=ANCHOR_KEY, hot=hot)
+    return met.join(*_listed(partner_cells, []))
 
 
 def attach(
@@ -102,10 +114,8 @@ def attach(
     ``hub`` has the adapter's columns, ``norder``, ``npix``, ``cell_rank``, ``row_index``.
     """
     hub = hub.withColumn("anchor_id", id_text(hub, hub_adapter.id_column))
-    needed = pointers(edges, partner_cells)
     if check and spokes:
-        refuse_duplicates(needed, narrow_ids(spokes))
-    hot_partners = hot_keys(needed, ["source", *PARTNER_KEY], hot_rows)
+        refuse_duplicates(lookups(edges, partner_cells, narrow_ids(spokes)))
     hot_anchors = hot_keys(hub, ANCHOR_KEY, hot_rows)
 
     joined = hub
@@ -113,14 +123,9 @@ def attach(
     for n, (source, spoke) in enumerate(sorted(spokes.items())):
         rows = spoke.keyed()
         outputs = spoke.adapter.outputs(rows)
-        matched = spread_join(
-            needed.where(F.col("source") == source).drop("source"),
-            rows.drop("row_index", "path"),
-            PARTNER_KEY,
-            "inner",
-            salt_by=ANCHOR_KEY,
-            hot=_split_hot(hot_partners, source),
-        ).select(*ANCHOR_KEY, F.struct(*outputs).alias(f"_spoke_{n}"))
+        own, cells = (df.where(F.col("source") == source) for df in (edges, partner_cells))
+        matched = meet(own, cells, rows.drop("row_index", "path"), hot_rows=hot_rows)
+        matched = matched.select(*ANCHOR_KEY, F.struct(*outputs).alias(f"_spoke_{n}"))
         joined = spread_join(
             joined, matched, ANCHOR_KEY, "left", salt_by=["row_index"], hot=hot_anchors
         )
@@ -142,24 +147,17 @@ def attach(
 
 
 def unmatched(
-    spoke: Spoke, source: str, matched_ids: DataFrame, owners: DataFrame, *, hot: HotKeys | None = None
+    spoke: Spoke, source: str, matched_ids: DataFrame, owners: DataFrame, *, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """Rows of owned partitions that no edge anywhere points to, as records of their own.
 
-    ``owners``: source, partner_norder, partner_npix, cell_rank. An anti-join, because
-    ``NOT IN`` would also drop rows whose id is NULL.
+    ``owners``: source, partner_norder, partner_npix, cell_rank.
     """
     mine = owners.where(F.col("source") == source).select("partner_norder", "partner_npix", "cell_rank")
-    rows = spoke.keyed().join(mine, ["partner_norder", "partner_npix"])
+    rows = spoke.keyed().join(small_side(mine), ["partner_norder", "partner_npix"])
     ids = matched_ids.where(F.col("source") == source).select("partner_id")
-    left = spread_join(
-        rows,
-        ids,
-        ["partner_id"],
-        "left_anti",
-        salt_by=["partner_norder", "partner_npix", "row_index"],
-        hot=hot,
-    )
+    salt = ["partner_norder", "partner_npix", "row_index"]
+    left = without_ids(rows, ids, salt_by=salt, hot_rows=hot_rows)
     left, fields = with_fields(left, spoke.adapter.outputs, "_fields")
     no_id = F.raise_error(F.lit(f"a row of {source} has no id")).cast("string")
     return left.select(
@@ -194,9 +192,8 @@ def assemble(
     eligible = {s: k for s, k in unmatched_spokes.items() if k.adapter.emits_unmatched}
     if not eligible:
         return records
-    hot = hot_keys(narrow_ids(eligible), ["source", "partner_id"], hot_rows)
     for source, spoke in sorted(eligible.items()):
-        alone = unmatched(spoke, source, matched_ids, owners, hot=_split_hot(hot, source))
+        alone = unmatched(spoke, source, matched_ids, owners, hot_rows=hot_rows)
         records = records.unionByName(alone, allowMissingColumns=True)
     return records
 

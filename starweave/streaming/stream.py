@@ -96,6 +96,30 @@ class Stream:
         """The rest of the stream behind a record's position."""
         return self if position is None else replace(self, position=tuple(position))
 
+    @cached_property
+    def counts(self) -> dict[int, int]:
+        """Records per cell, by rank: one pass that reads ids and no payload."""
+        counted = self.assemble(list(self.chosen)).groupBy("cell_rank").count()
+        return {c[3]: 0 for c in self.chosen} | {r["cell_rank"]: r["count"] for r in counted.collect()}
+
+    def at(self, number: int) -> Stream:
+        """The stream from its record ``number`` on, counted from 0 over all its cells; only the cell that holds it is opened."""
+        if number < 0:
+            raise ValueError("a record's number is 0 or more")
+        for cell in self.chosen:
+            rank, count = cell[3], self.counts[cell[3]]
+            if number < count:
+                if number == 0:
+                    return replace(self, position=self._start(rank))
+                before = self.assemble([cell]).select(*self.order).orderBy(*self.order).offset(number - 1).limit(1)
+                return replace(self, position=tuple(before.first()))
+            number -= count
+        return replace(self, position=self._start(1 + max((c[3] for c in self.chosen), default=-1)))
+
+    def _start(self, rank: int) -> tuple:
+        """A position in front of all records of a cell; no later column of the order is below zero."""
+        return (rank, *("" if name == "source" else -1 for name in self.order[1:]))
+
     def position_of(self, record: Row) -> tuple:
         return tuple(record[c] for c in self.order)
 
@@ -308,10 +332,13 @@ def _graph_stream(spark, registry, index: MatchIndex, where, hub, adapters, chec
 
     (all_files,) = _paths(mine)
     ids = star.narrow_ids(spokes({s: all_files.get(s, []) for s in used}))
-    needed = star.pointers(edges, mine.drop("path"))
-    if check and used:
-        star.refuse_duplicates(needed, ids)
-    missing = star.missing_partners(edges, needed, ids) if used else None
+    missing = None
+    if used:
+        # one pass over the ids finds both; what is in order leaves no row
+        odd = cut_lineage(star.lookups(edges, mine.drop("path"), ids).where("copies <> 1"))
+        if check:
+            star.refuse_duplicates(odd)
+        missing = star.missing_partners(edges, odd)
     return Stream(spark, assemble, at_least, star.ORDER, cells, fingerprint, missing)
 
 
