@@ -10,7 +10,9 @@ import argparse
 
 from pyspark.sql import SparkSession
 
+from .operators.alignment import align_cells, check_alignment
 from .operators.crossmatch import crossmatch
+from .plans.coverage import overlapping, within_reach
 from .sources.catalog import Catalog
 from .sources.index import write_index
 
@@ -40,13 +42,37 @@ def parser() -> argparse.ArgumentParser:
     return flags
 
 
+def chosen_files(
+    anchor: Catalog, partner: Catalog, radius_arcsec: float, cell: tuple[int, int] | None = None, count: int | None = None
+) -> tuple[list[str], list[str]]:
+    """The files of both catalogs that can hold a pair, by their cells; with ``cell`` or ``count`` for some anchor cells only."""
+    ours, theirs = anchor.listing(), partner.listing()
+    cells, others = [c[:2] for c in ours], [c[:2] for c in theirs]
+    if cell is None and count is None:
+        wanted = within_reach(cells, others, radius_arcsec)
+    else:
+        wanted = overlapping(cells, others)
+        if cell is not None:
+            if not any(w for w, c in zip(wanted, cells) if c == cell):
+                raise ValueError(f"anchor cell {cell} does not meet the spoke")
+            wanted = [c == cell for c in cells]
+        else:
+            first = set(sorted({c for w, c in zip(wanted, cells) if w})[:count])
+            wanted = [c in first for c in cells]
+    kept = [c for w, c in zip(wanted, ours) if w]
+    near = within_reach(others, [c[:2] for c in kept], radius_arcsec)
+    return [c[2] for c in kept], [c[2] for w, c in zip(near, theirs) if w]
+
+
 def build(spark: SparkSession, args: argparse.Namespace) -> int:
     spark.conf.set("spark.sql.files.minPartitionNum", str(args.workers))
     anchor = Catalog.open(spark, args.anchor_catalog)
     partner = Catalog.open(spark, args.partner_catalog)
+    check_alignment(align_cells(anchor.files, partner.files))
+    ours, theirs = chosen_files(anchor, partner, args.radius_arcsec, args.cell, args.limit_partitions)
     edges = crossmatch(
-        anchor.scan([args.anchor_id_column, "ra", "dec"]),
-        partner.scan([args.partner_id_column, "ra", "dec"]),
+        anchor.scan([args.anchor_id_column, "ra", "dec"], ours),
+        partner.scan([args.partner_id_column, "ra", "dec"], theirs),
         anchor_source=args.anchor_source,
         anchor_revision=args.anchor_revision,
         anchor_id_column=args.anchor_id_column,
@@ -57,8 +83,6 @@ def build(spark: SparkSession, args: argparse.Namespace) -> int:
         partner_strip_id=args.partner_strip_id,
         radius_arcsec=args.radius_arcsec,
         epoch_treatment=args.epoch_treatment,
-        cell=args.cell,
-        limit_partitions=args.limit_partitions,
     )
     return write_index(edges, args.out)
 
