@@ -6,15 +6,14 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 LISTING = "norder tinyint, npix bigint, path string"
 
-
-#: Row places leave this many bits to the row; the bits above number the files of a partition.
-ROW_BITS = 40
+#: Numbers by width: a column that files disagree on is read as the wider one.
+_WIDTHS = [T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType(), T.FloatType(), T.DoubleType()]
 
 
 def plain_path(file: Column) -> Column:
@@ -71,7 +70,7 @@ class Catalog:
     url: str
     files: DataFrame  # (norder, npix, path), one row per partition
     schema: T.StructType
-    later: tuple[tuple[str, int], ...] = ()  # (file, number) of partitions' second and later files
+    later: tuple[tuple[str, int], ...] = ()  # (file, rows in the partition's files before it) of second and later files
 
     @classmethod
     def open(cls, spark: SparkSession, url: str) -> Catalog:
@@ -88,33 +87,57 @@ class Catalog:
             if "PATH_NOT_FOUND" not in str(error):
                 raise
         table = cls._read_all(spark, base)
-        listed = spark.createDataFrame([(f,) for f in sorted(table.inputFiles())], "file string")
+        names = sorted(table.inputFiles())
+        listed = spark.createDataFrame([(f,) for f in names], "file string")
         path = partition_path(plain_path(F.col("file")))
         order, pixel = cell_of_path(path)
         files = listed.select(order.alias("norder"), pixel.alias("npix"), path.alias("path"), "file")
-        number = F.row_number().over(Window.partitionBy("path").orderBy("file")) - 1
-        later = files.withColumn("number", number).where("number > 0").select(place_in_catalog(plain_path(F.col("file"))), "number")
-        later = tuple(sorted(tuple(r) for r in later.collect()))
-        return cls(spark, base, files.drop("file").distinct(), table.schema, later)
+        schema = merged_schema(spark, [r["plain"] for r in listed.select(plain_path(F.col("file")).alias("plain")).collect()], table.schema)
+        return cls(spark, base, files.drop("file").distinct(), schema, cls._starts(spark, files))
+
+    @staticmethod
+    def _starts(spark: SparkSession, files: DataFrame) -> tuple[tuple[str, int], ...]:
+        """Where the second and later files of partitions start, by the row counts in the footers of those partitions' files."""
+        several = files.join(files.groupBy("path").count().where("count > 1"), "path").orderBy("path", "file")
+        rows = [(r["path"], r["plain"]) for r in several.select("path", plain_path(F.col("file")).alias("plain")).collect()]
+        if not rows:
+            return ()
+        name = plain_path(F.col("_metadata.file_path"))
+        # no column is read
+        counts = spark.read.parquet(*[f for _, f in rows]).groupBy(place_in_catalog(name)).count()
+        known, starts, last, total = dict(tuple(r) for r in counts.collect()), [], None, 0
+        for path, file in rows:
+            place = file[file.rindex("Norder=") :]
+            if path == last:
+                starts.append((place, total))
+            else:
+                last, total = path, 0
+            total += known.get(place, 0)
+        return tuple(sorted(starts))
+
+    def listing(self) -> list[tuple[int, int, str]]:
+        """(norder, npix, path) of every partition, by cell."""
+        return sorted((r["norder"], r["npix"], r["path"]) for r in self.files.collect())
 
     @staticmethod
-    def _read_all(spark: SparkSession, base: str) -> DataFrame:
+    def _read_all(spark: SparkSession, base: str, schema: T.StructType | None = None) -> DataFrame:
         tree = "Norder=*/Dir=*/Npix=*.parquet"
+        reader = spark.read if schema is None else spark.read.schema(schema)
         try:
-            return spark.read.parquet(f"{base}/dataset/{tree}")
+            return reader.parquet(f"{base}/dataset/{tree}")
         except AnalysisException as error:
             if "PATH_NOT_FOUND" not in str(error):
                 raise
-            return spark.read.parquet(f"{base}/{tree}")
+            return reader.parquet(f"{base}/{tree}")
 
     def scan(self, columns: Sequence[str], files: Iterable[str] | None = None) -> DataFrame:
         """Selected columns plus ``norder``, ``npix``, ``path`` and the row's place in its partition.
 
-        In a partition of several files, places in later files are higher.
+        In a partition of several files, later files go on counting where the one before ends.
         With ``files`` only those partitions are opened at all.
         """
         if files is None:
-            table = self._read_all(self.spark, self.url)
+            table = self._read_all(self.spark, self.url, self.schema)
         else:
             chosen = sorted(set(files))
             if not chosen:
@@ -135,7 +158,7 @@ class Catalog:
             return rows
         # one row per file, as many as the driver has listed
         numbers = F.broadcast(self.spark.createDataFrame(list(self.later), "_file string, _number long"))
-        place = F.col("row_index") + F.shiftleft(F.coalesce("_number", F.lit(0).cast("long")), ROW_BITS)
+        place = F.col("row_index") + F.coalesce("_number", F.lit(0))
         return rows.join(numbers, "_file", "left").withColumn("row_index", place).drop("_file", "_number")
 
     def empty(self, columns: Sequence[str]) -> DataFrame:
@@ -148,12 +171,43 @@ class Catalog:
 
 
 def union_schema(left: T.StructType, right: T.StructType) -> T.StructType:
-    """All columns of both catalogs; the right one wins where both have a name."""
+    """All columns of both; of two numbers with one name the wider counts, else the right one."""
     fields = {f.name: f for f in left.fields}
-    fields.update({f.name: f for f in right.fields})
+    for field in right.fields:
+        known = fields.get(field.name)
+        fields[field.name] = field if known is None else T.StructField(field.name, _wider(known.dataType, field.dataType), True)
     return T.StructType(list(fields.values()))
 
 
+def _wider(left: T.DataType, right: T.DataType) -> T.DataType:
+    if isinstance(left, T.StructType) and isinstance(right, T.StructType):
+        return union_schema(left, right)
+    if isinstance(left, T.ArrayType) and isinstance(right, T.ArrayType):
+        return T.ArrayType(_wider(left.elementType, right.elementType), True)
+    if left in _WIDTHS and right in _WIDTHS:
+        wide = max(left, right, key=_WIDTHS.index)
+        whole = {type(t) for t in (left, right)} & {T.IntegerType, T.LongType}
+        return T.DoubleType() if whole and wide == T.FloatType() else wide
+    return right
+
+
+def merged_schema(spark: SparkSession, files: list[str], first: T.StructType) -> T.StructType:
+    """The columns of all ``files``, numbers as wide as in any of them; ``first`` is the schema of one.
+
+    Spark merges the footers in parallel. Where types differ it refuses, and the list is halved, so a few files that
+    differ cost a few merges.
+    """
+    if len(files) < 2:
+        return spark.read.parquet(*files).schema if files else first
+    try:
+        return spark.read.option("mergeSchema", "true").parquet(*files).schema
+    except Exception as error:  # the analyser's or the job's own error, by the way that footers are read
+        if "CANNOT_MERGE" not in str(error):
+            raise
+    half = len(files) // 2
+    return union_schema(merged_schema(spark, files[:half], first), merged_schema(spark, files[half:], first))
+
+
 @dataclass
 class Registry:
     """Where catalogs live: ``source → (base url, sub-folder, id column)``.
@@ -197,7 +251,7 @@ def write_catalog(df: DataFrame, base: str) -> None:
     ).drop("norder", "npix")
     order = [c for c in ("row_index",) if c in df.columns]
     # a fixed number: AQE would merge small partitions and write all files from one task
-    tasks = max(df.sparkSession.sparkContext.defaultParallelism, 8)
+    tasks = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), df.sparkSession.sparkContext.defaultParallelism, 8)
     (
         cells.repartition(tasks, "_n", "_p")
         .sortWithinPartitions("_n", "_p", *order)
