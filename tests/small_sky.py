@@ -33,12 +33,13 @@ class Sky:
     #: Partner rows that are written a second time, with a redshift 0.5 higher.
     twice: tuple[str, ...] = ()
     registry: Registry = field(default_factory=lambda: Registry(pinned=False))
+    folders: tuple[int, ...] = FOLDERS
 
     def write(self) -> Sky:
         for pixel, count in ANCHORS.items():
             rows = [anchor_row(pixel, n) for n in range(count)]
             where = self.root / "hub folder"  # a path that needs encoding
-            if pixel in FOLDERS:
+            if pixel in self.folders:
                 folder = cell_path(where, pixel)
                 folder.mkdir(parents=True)
                 half = (count + 1) // 2

@@ -1,6 +1,7 @@
 """Crossmatch against brute force, skewed joins, numbering, pixel and id functions."""
 
 import ast
+from dataclasses import replace
 
 import numpy as np
 import pandas as pd
@@ -10,7 +11,9 @@ from pyspark.sql import functions as F
 from starweave.functions.healpix import with_pixel
 from starweave.functions.ids import normalize_id
 from starweave.functions.sphere import chord
+from starweave.operators import star
 from starweave.operators.crossmatch import crossmatch, with_cell
+from starweave.operators.membership import possible, sieve, without_ids
 from starweave.operators.ordering import number_rows
 from starweave.operators.skew import hot_keys, repeat_rows, spread_join
 
@@ -65,18 +68,59 @@ def test_crossmatch_keeps_copies_and_checks_arguments(spark):
     assert "NestedLoop" not in plan and "CartesianProduct" not in plan
 
 
+@pytest.mark.parametrize("few", [True, False])
 @pytest.mark.parametrize("how", ["inner", "left", "left_anti", "left_semi"])
-def test_spread_join_equals_plain_join(spark, how):
+def test_spread_join_equals_plain_join(spark, how, few):
     left = spark.range(900).select("id", F.when(F.col("id") % 3 > 0, F.col("id") % 50).alias("k"))
     right = spark.range(25).select(F.col("id").alias("k"), (F.col("id") * 7).alias("v"))
-    hot = hot_keys(left, ["k"], floor=50)
-    assert hot is not None and len(hot.rows) < 256
+    hot = hot_keys(left, ["k"], limit=10)
+    assert hot is not None and hot.table.count() == 51 and hot.few
+    if not few:
+        hot = replace(hot, few=False)
     spread = spread_join(left, right, ["k"], how, salt_by=["id"], hot=hot)
     plain = left.join(right, ["k"], how)
     key = lambda r: (r["id"], repr(r))
     assert sorted(spread.select(*plain.columns).collect(), key=key) == sorted(plain.collect(), key=key)
 
 
+@pytest.mark.parametrize("way", [{}, {"few": 10}, {"few": 10, "most": 20}])
+def test_rows_without_ids(spark, way):
+    """By broadcast, by the sieve and by shuffling both sides: the same rows; a null id is in no set."""
+    ids = spark.range(0, 3000, 3).select(F.concat(F.lit("i"), "id").alias("partner_id"))
+    rows = spark.range(4000).select("id", F.when(F.col("id") % 7 > 0, F.concat(F.lit("i"), F.col("id") % 3500)).alias("partner_id"))
+    got = {r.id for r in without_ids(rows, ids, salt_by=["id"], hot_rows=1, **way).collect()}
+    assert got == {k for k in range(4000) if k % 7 == 0 or k % 3500 % 3 or k % 3500 >= 3000}
+
+
+def test_sieve_keeps_members_and_few_others(spark):
+    ids = spark.range(20_000).select(F.col("id").alias("partner_id"))
+    rows = spark.range(40_000).select(F.col("id").alias("partner_id"))
+    marked = possible(rows, "partner_id", sieve(ids, "partner_id", 5000), 5000)
+    assert marked.where("_possible and partner_id < 20000").count() == 20_000
+    assert marked.where("_possible and partner_id >= 20000").count() < 1500
+    # what is surely absent goes on without an exchange
+    plan = marked.where(~F.col("_possible"))._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(partner_id" not in plan
+
+
+def test_pointers_meet_their_own_rows_only(spark):
+    """No pointer is multiplied by the partitions that its anchor cell refers to, and few edges leave the rows in place."""
+    cells = spark.range(50).select(F.lit(3).alias("norder"), F.lit(1).alias("npix"), F.lit("s").alias("source"), F.lit(5).alias("partner_norder"), F.col("id").alias("partner_npix"))
+    edges = spark.range(40).select(F.lit(3).alias("norder"), F.lit(1).alias("npix"), F.col("id").alias("anchor_id"), F.lit("s").alias("source"), F.concat(F.lit("p"), F.col("id") % 30).alias("partner_id"))
+    rows = spark.range(200).select(F.lit(5).alias("partner_norder"), (F.col("id") % 60).alias("partner_npix"), F.concat(F.lit("p"), F.col("id") % 100).alias("partner_id"), "id")
+    here = {}
+    for k in range(200):
+        if k % 60 < 50:
+            here.setdefault(f"p{k % 100}", []).append(k)
+    want = sorted((a, k) for a in range(40) for k in here.get(f"p{a % 30}", []))
+    met = star.meet(edges, cells, rows)
+    assert sorted((r.anchor_id, r.id) for r in met.collect()) == want
+    assert "hashpartitioning(partner_id" not in met._jdf.queryExecution().executedPlan().toString()
+    ids = rows.select(F.lit("s").alias("source"), "partner_norder", "partner_npix", "partner_id")
+    found = {r.partner_id: r.copies for r in star.lookups(edges, cells, ids).collect()}
+    assert found == {f"p{k}": len(here.get(f"p{k}", [])) for k in range(30)}
+
+
 def test_numbering_and_repeating(spark):
     df = spark.range(200).select((F.col("id") % 2).alias("g"), (F.col("id") % 5).alias("f"), (F.col("id") * 3).alias("r"))
     got = {(r.g, r.f, r.r): (r.at, r.n) for r in number_rows(df, ["g"], ["f"], "r", "at", "n", block_rows=16).collect()}

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import lru_cache
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,10 +19,10 @@ from starweave.plans import cells as plan
 from starweave.plans.ownership import graph_owners, pair_owners, references
 from starweave.session import cut_lineage, scratch_path
 from starweave.sources import adapters as adapt
-from starweave.sources.catalog import Registry, write_catalog
+from starweave.sources.catalog import Catalog, Registry, write_catalog
 from starweave.sources.index import index_from, load_index, write_index
-from starweave.streaming.stream import open_stream
-from starweave.streaming.structured import stream_cells, write_cell_plan
+from starweave.streaming.stream import Stream, open_stream
+from starweave.streaming.structured import run_available, stream_cells, write_cell_plan
 
 from . import oracle, sky
 from .oracle import HUB, PAIR, STAR, nearest, query, spoke
@@ -531,22 +532,44 @@ def partition_references(spark, sf):
     return _refs(spark, sf).groupBy("source", "path").agg(F.count("*").alias("cells"), F.min(cell).alias("first_cell"))
 
 
-def _train_records(spark, sf) -> DataFrame:
+def _train_stream(spark, sf) -> Stream:
+    """The train epoch of the derived sky, in the cells' own order; pages plan their leading cells only."""
     index = sky.index(spark, sf)
-    train = plan.hash_split(index.anchor_cells, "train").select("norder", "npix")
-    hub = _with_ranks(sky.hub(spark, sf), sf).join(train, ["norder", "npix"], "left_semi")
-    owners = cut_lineage(_with_ranks(graph_owners(_refs(spark, sf), "train", ["desi", "sdss"]), sf))
+    ranked = cut_lineage(_with_ranks(plan.hash_split(index.anchor_cells, "train").select("norder", "npix"), sf))
+    refs = cut_lineage(_refs(spark, sf))
+    owners = cut_lineage(_with_ranks(graph_owners(refs, "train", ["desi", "sdss"]), sf))
+    edges = cut_lineage(index.edges.join(ranked, ["norder", "npix"], "left_semi"))
     all_spokes = sky.spokes(spark, sf)
-    return star.assemble(
-        hub,
-        sky.hub_reader(),
-        index.edges,
-        index.partner_cells,
-        all_spokes,
-        all_spokes,
-        index.matched_ids(),
-        owners.select("source", "partner_norder", "partner_npix", "cell_rank"),
-    )
+    star.refuse_duplicates(star.lookups(edges, index.partner_cells, star.narrow_ids(all_spokes)))
+
+    def own(chosen) -> DataFrame:
+        cells = spark.createDataFrame([(c[0], c[1], c[3]) for c in chosen], "norder tinyint, npix bigint, cell_rank int")
+        return plan.small(cells, len(chosen))
+
+    def assemble(chosen) -> DataFrame:
+        here = own(chosen).drop("cell_rank")
+        return star.assemble(
+            sky.hub(spark, sf).join(own(chosen), ["norder", "npix"]),
+            sky.hub_reader(),
+            edges.join(here, ["norder", "npix"], "left_semi"),
+            index.partner_cells.join(here, ["norder", "npix"], "left_semi"),
+            all_spokes,
+            all_spokes,
+            index.matched_ids(),
+            owners.join(here, ["norder", "npix"], "left_semi").select("source", "partner_norder", "partner_npix", "cell_rank"),
+            check=False,
+        )
+
+    def at_least(chosen) -> int:
+        return sky.hub(spark, sf).join(own(chosen), ["norder", "npix"], "left_semi").count()
+
+    rows = sorted(ranked.collect(), key=lambda r: r["cell_rank"])
+    cells = tuple((r["norder"], r["npix"], "", r["cell_rank"]) for r in rows)
+    return Stream(spark, assemble, at_least, star.ORDER, cells, {"sky": sf})
+
+
+def _train_records(spark, sf) -> DataFrame:
+    return _train_stream(spark, sf).records
 
 
 _TRAIN = (
@@ -578,9 +601,9 @@ _AFTER = "(cell_rank, phase, source, part_order, part_pixel, row_index)"
 
 @register(query(_TRAIN, f"SELECT object_id, cell_rank, phase FROM records WHERE {_AFTER} > (40, 1, '', 4, 0, 0) ORDER BY {_AFTER} LIMIT 500"))
 def stream_page(spark, sf):
-    """A page of 500 records behind a stored position: filter and top-k, no global sort."""
-    rest = star.after(_train_records(spark, sf), (40, 1, "", 4, 0, 0))
-    return rest.orderBy(*star.ORDER).limit(500).select("object_id", "cell_rank", "phase")
+    """A page of 500 records behind a stored position: the leading cells are planned, top-k of their records."""
+    page = _train_stream(spark, sf).after((40, 1, "", 4, 0, 0)).page(500)
+    return page.select("object_id", "cell_rank", "phase")
 
 
 @register(query(_TRAIN, f"SELECT object_id, cell_rank, row_number() OVER (PARTITION BY cell_rank ORDER BY phase, source, part_order, part_pixel, row_index) - 1 AS place FROM records"))
@@ -606,7 +629,7 @@ def missing_partner_report(spark, sf):
     index = sky.index(spark, sf)
     edges = index.of_source("desi")
     ids_ = star.narrow_ids({"desi": _later_catalog(spark, sf)})
-    return star.missing_partners(edges, star.pointers(edges, index.partner_cells), ids_).select(
+    return star.missing_partners(edges, star.lookups(edges, index.partner_cells, ids_)).select(
         "norder", "npix", "anchor_id", "source", "partner_id"
     )
 
@@ -633,7 +656,7 @@ def duplicate_partner_report(spark, sf):
         F.col("npix").alias("partner_npix"),
         F.concat(F.lit("o"), "o_orderkey").alias("partner_id"),
     )
-    return star.duplicate_partners(star.pointers(index.of_source("desi"), index.partner_cells), rows)
+    return star.duplicate_partners(star.lookups(index.of_source("desi"), index.partner_cells, rows))
 
 
 # -------------------------------------------------------------------------------- pair
@@ -747,19 +770,20 @@ def positional_split(spark, sf):
     return parts[0].unionByName(parts[1])
 
 
-_PERMUTED = plan.permutation(25, 7, 0)  # nation has 25 rows at every scale
-
-
 @register(
-    f"""SELECT CAST(4 AS TINYINT) AS norder, CAST(n_nationkey AS BIGINT) AS npix, CAST(list_position({_PERMUTED},
- CAST(row_number() OVER (ORDER BY n_nationkey) - 1 AS BIGINT)) - 1 AS INT) AS cell_rank FROM nation"""
+    query(
+        _CELLS,
+        """SELECT 'cell' AS kind, norder, npix AS at, 1::BIGINT AS n FROM cells
+ UNION ALL SELECT 'rank', NULL, row_number() OVER () - 1, 1 FROM cells""",
+    )
 )
 def permute_cells(spark, sf):
-    """One cell per nation, in a seeded order; the SQL twin holds numpy's permutation as a list."""
-    cells = table(spark, sf, "nation").select(
-        F.lit(4).cast("tinyint").alias("norder"), F.col("n_nationkey").cast("long").alias("npix")
-    )
-    return plan.permute_cells(cells, seed=7, epoch=0)
+    """All cells in a seeded order: every cell once and every rank once; tests list the order itself."""
+    ranked = cut_lineage(plan.permute_cells(_cells(spark, sf), seed=7, epoch=0))
+    cells = ranked.groupBy("norder", F.col("npix").alias("at")).agg(F.count("*").alias("n"))
+    ranks = ranked.groupBy(F.col("cell_rank").cast("long").alias("at")).agg(F.count("*").alias("n"))
+    cells = cells.select(F.lit("cell").alias("kind"), "norder", "at", "n")
+    return cells.unionByName(ranks.select(F.lit("rank").alias("kind"), F.lit(None).cast("tinyint").alias("norder"), "at", "n"))
 
 
 @register(
@@ -967,8 +991,14 @@ def json_match_map(spark, sf):
 
 @register("SELECT doc_id, lang, source, NULL::INT AS quality, NULL::INT AS toxic FROM documents UNION ALL BY NAME SELECT doc_id, quality, toxic FROM labels")
 def union_missing_columns(spark, sf):
+    """A catalog whose files have other columns, and another width of the id, is read as one table."""
+    base = scratch_path(spark, "mixed")
     documents = table(spark, sf, "documents").select("doc_id", "lang", "source")
-    return documents.unionByName(table(spark, sf, "labels").select("doc_id", "quality", "toxic"), allowMissingColumns=True)
+    labels = table(spark, sf, "labels").select(F.col("doc_id").cast("int").alias("doc_id"), "quality", "toxic")
+    for number, part in enumerate((documents, labels)):
+        part.write.parquet(f"{base}/Norder=0/Dir=0/Npix={number}.parquet")
+    columns = ["doc_id", "lang", "source", "quality", "toxic"]
+    return Catalog.open(spark, base).scan(columns).select(*columns)
 
 
 # -------------------------------------------------------------------- files, end to end
@@ -1000,38 +1030,48 @@ def catalog_listing(spark, sf):
     return registry.open(spark, HUB_SOURCE, "").row_counts().select("norder", "npix", "rows")
 
 
-_GRAPH_BODY = f"""SELECT r.object_id, phase, r.source, {', '.join(_FIELD_NAMES['desi'])} FROM records r
- LEFT JOIN (SELECT anchor_id AS object_id, {_DESI_FIELDS} FROM e_desi JOIN desi USING (partner_id) UNION ALL SELECT 'desi:' || partner_id, {_DESI_FIELDS} FROM desi) USING (object_id)"""
+_FLOAT = "CAST(CAST(c_acctbal + {} AS FLOAT) AS DOUBLE)"
+_PIXELS = f"3 * ({' + '.join(_FLOAT.format(k) for k in range(4))}) AS pixels"
+_BY_RECORD = "".join(
+    f"""\n LEFT JOIN (SELECT anchor_id AS object_id, {_FIELDS[s]} FROM e_{s} JOIN {s} USING (partner_id)
+  UNION ALL SELECT '{s}:' || partner_id, {_FIELDS[s]} FROM {s}) USING (object_id)"""
+    for s in SOURCES
+)
+_GRAPH_BODY = f"""SELECT r.object_id, phase, r.source, pixels, {', '.join(_HUB_NAMES)}, {', '.join(n for s in SOURCES for n in _FIELD_NAMES[s])} FROM records r
+ LEFT JOIN (SELECT object_id, {_HUB_FIELDS}, {_PIXELS} FROM hub) USING (object_id){_BY_RECORD}"""
 
 
 @register(query(_TRAIN, _GRAPH_BODY))
 def open_stream_graph(spark, sf):
-    """Catalog files and index on disk → one epoch of the train stream."""
+    """Catalog files and index on disk → one epoch of the train stream, with the fields of all sources and the sum of all pixels."""
     registry = _catalogs(spark, sf)
     stream = open_stream(spark, registry, seed=7, match_index=sky.index_path(spark, sf), image_shape=sky.HUB_SHAPE)
-    return stream.records.select("object_id", "phase", "source", *_flat(stream.records.select("spectrum", "Z", "ZERR", "ZWARN")))
-
-
-_PAIR_SPLIT = (
-    PAIR
-    + """,\ncells AS (SELECT DISTINCT norder, npix FROM e_desi),
-train AS (SELECT norder, npix FROM (SELECT *, row_number() OVER (ORDER BY norder, npix) AS place, count(*) OVER () AS n FROM cells) WHERE place > least(8, greatest(1, n // 5)))"""
-)
+    flux = F.flatten(F.flatten("image.flux"))
+    pixels = F.aggregate(flux, F.lit(0.0), lambda total, x: total + x).alias("pixels")
+    return stream.records.select("object_id", "phase", "source", pixels, *_flat(stream.records))
 
 
 @register(
     query(
-        _PAIR_SPLIT,
-        f"""SELECT object_id, spectrum_first, Z, ZERR, ZWARN FROM hub SEMI JOIN train USING (norder, npix)
- LEFT JOIN (SELECT anchor_id, {_DESI_FIELDS} FROM e_desi JOIN desi USING (partner_id)) ON anchor_id = object_id""",
+        _REFS,
+        f"""SELECT object_id, 1 AS phase, ebv, pixels, spectrum_first, Z, ZERR, ZWARN FROM (SELECT *, c_acctbal / 10000 AS ebv, {_PIXELS} FROM hub)
+ SEMI JOIN e_desi USING (norder, npix) LEFT JOIN (SELECT anchor_id, {_DESI_FIELDS} FROM e_desi JOIN desi USING (partner_id)) ON anchor_id = object_id
+ UNION ALL SELECT partner_id, 0, NULL, NULL, {_DESI_FIELDS} FROM desi s WHERE partner_id NOT IN (SELECT partner_id FROM e_desi)
+ AND EXISTS (FROM refs r WHERE r.source = 'desi' AND (r.partner_norder, r.partner_npix) = (s.norder, s.npix))""",
     )
 )
 def open_stream_pair(spark, sf):
-    """The image rows of the single-spoke train stream (lone spectra depend on file paths)."""
-    registry = _catalogs(spark, sf)
-    stream = open_stream(spark, registry, seed=7, match_index=f"{sky.index_path(spark, sf)}/desi.parquet", image_shape=sky.HUB_SHAPE)
-    records = stream.records.where(F.col("phase") == 1)
-    return records.select("object_id", *_flat(records.select("spectrum", "Z", "ZERR", "ZWARN")))
+    """Train and validation of the single-spoke stream together: every image, and every lone spectrum once (its cell depends on file paths)."""
+    registry, found = _catalogs(spark, sf), None
+    flux = F.flatten(F.flatten("image.flux"))
+    pixels = F.aggregate(flux, F.lit(0.0), lambda total, x: total + x).alias("pixels")
+    for split in plan.SPLITS:
+        index = f"{sky.index_path(spark, sf)}/desi.parquet"
+        records = open_stream(spark, registry, split=split, seed=7, match_index=index, image_shape=sky.HUB_SHAPE).records
+        first = F.col("spectrum.flux")[0].cast("double").alias("spectrum_first")
+        part = records.select("object_id", "phase", "ebv", pixels, first, "Z", "ZERR", "ZWARN")
+        found = part if found is None else found.unionByName(part)
+    return found
 
 
 @register(query(_TRAIN, "SELECT object_id, phase, source FROM records"))
@@ -1051,23 +1091,23 @@ def structured_stream_cells(spark, sf):
     """SELECT user_id, event_type, count(*) AS events, round(sum(value), 6) AS total FROM events SEMI JOIN customer ON c_custkey = user_id GROUP BY user_id, event_type"""
 )
 def structured_stream_resume(spark, sf):
-    """Events read as a bounded stream with a checkpoint, joined to the anchors per batch."""
-    out, marks = scratch_path(spark, "events"), scratch_path(spark, "marks")
+    """Events in five files as a stream that is lost in its third batch, behind its write, and run again."""
+    events, out, marks = (scratch_path(spark, n) for n in ("events", "out", "marks"))
+    table(spark, sf, "events").repartition(5, "event_id").write.parquet(events)
     customers = table(spark, sf, "customer").select(F.col("c_custkey").alias("user_id"))
+    lost = [False]
 
     def write_batch(batch: DataFrame, number: int) -> None:
         batch.join(customers, "user_id", "left_semi").write.mode("overwrite").parquet(f"{out}/batch={number}")
-
-    source = (
-        spark.readStream.schema(table(spark, sf, "events").schema)
-        .option("pathGlobFilter", "events.parquet")
-        .option("maxFilesPerTrigger", 1)
-        .parquet(sf)
-    )
-    for _ in range(2):  # the second run finds everything committed
-        source.writeStream.foreachBatch(write_batch).option("checkpointLocation", marks).trigger(
-            availableNow=True
-        ).start().awaitTermination()
+        if number == 2 and not lost[0]:
+            lost[0] = True
+            raise RuntimeError("the driver is lost")
+
+    schema = table(spark, sf, "events").schema
+    try:
+        run_available(spark, events, schema, marks, write_batch, "parquet")
+    except StreamingQueryException:
+        run_available(spark, events, schema, marks, write_batch, "parquet")
     return spark.read.parquet(out).groupBy("user_id", "event_type").agg(
         F.count("*").alias("events"), F.round(F.sum("value"), 6).alias("total")
     )
