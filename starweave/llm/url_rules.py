@@ -7,7 +7,7 @@ rules. Expressions meet rules in an equi-join on the first 32 bits of their SHA-
 digest then confirms. The longest host wins, then the longest path, then block over allow.
 
 Defined results: a url that is null or has no ``://`` has an empty host and path and no rule.
-The same rule given twice counts once; extra columns are ignored.
+The same rule given twice counts once. Extra columns stay; one that is named as a result, or ``won``, gives way to it.
 """
 
 from __future__ import annotations
@@ -56,6 +56,7 @@ def verdicts(urls: DataFrame, rules: DataFrame, default: str = DEFAULT) -> DataF
     signed = rules.distinct().withColumn("digest", digest)
     signed = signed.withColumn("prefix", F.left("digest", F.lit(PREFIX_HEX)))
 
+    urls = urls.drop("host", "path", "rule", "verdict", "won")
     parts = urls.select("url").where("url is not null").distinct()
     parts = parts.select("url", host_of(F.col("url")).alias("h"), path_of(F.col("url")).alias("p"))
     labels, chars = F.split("h", r"\."), F.char_length("p")

@@ -282,6 +282,15 @@ def test_urls(spark):
     assert url_rules.verdicts(df, rules.limit(0)).where("verdict <> 'allow'").count() == 0
 
 
+def test_urls_with_columns_named_as_results(spark):
+    rows = [(k, "http://b.com/de/", "h", "p", "r", "v", "w", "kept") for k in range(2)]
+    df = spark.createDataFrame(rows, "page_id long, url string, host string, path string, rule string, verdict string, won string, own string")
+    rules = url_rules.parse_rules(spark.createDataFrame(RULES, "action string, rule string"))
+    for some, verdict in ((rules, ("com/de/", "block")), (rules.limit(0), (None, "allow"))):
+        got = url_rules.verdicts(df, some).select("page_id", "own", "host", "path", "rule", "verdict").collect()
+        assert sorted(tuple(r) for r in got) == [(k, "kept", "b.com", "/de/", *verdict) for k in range(2)]
+
+
 def test_toxicity(spark, docs, odd, none):
     rng = random.Random(1)
     bad = ["scumbag", "morons"]
