@@ -368,7 +368,7 @@ def answers(segments: DataFrame, sums: DataFrame) -> DataFrame:
     return met.select("run", "radix", "codes", "all_codes", "counts", "best").mapInArrow(emit, "run long, radix int, counts binary, best binary")
 
 
-def contributions(segments: DataFrame, sums: DataFrame) -> DataFrame:
+def contributions(segments: DataFrame, sums: DataFrame, radices: int) -> DataFrame:
     """(run, local, n_best, count_sum) of the documents of each run: what its segments, all in one task, add up to."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -379,13 +379,18 @@ def contributions(segments: DataFrame, sums: DataFrame) -> DataFrame:
             out = {"run": np.full(len(local), now, np.int64), "local": local.astype(np.int32)}
             return pa.RecordBatch.from_pydict(out | {"n_best": best_sum[local], "count_sum": count_sum[local]})
 
+        waiting: dict[int, tuple] = {}  # a segment, or its answer, until the other comes, which is the next row
         for batch in batches:
             for row in range(batch.num_rows):
-                run, holders, docs, links, counts, best = (c[row].as_py() for c in batch.columns)
+                run, radix, *own = (c[row].as_py() for c in batch.columns)
                 if run != now:
                     if now is not None:
                         yield closed()
                     now, best_sum, count_sum = run, np.zeros(0, np.int64), np.zeros(0, np.int64)
+                if radix not in waiting:
+                    waiting[radix] = own
+                    continue
+                holders, docs, links, counts, best = (x if x is not None else y for x, y in zip(own, waiting.pop(radix)))
                 pair = np.repeat(np.arange(len(holders := unpack(holders, "<u4"))), holders)
                 docs, links = unpack(docs, "<u4"), unpack(links, "<u4").astype(np.int64)
                 order = np.argsort(docs, kind="stable")
@@ -398,10 +403,16 @@ def contributions(segments: DataFrame, sums: DataFrame) -> DataFrame:
         if now is not None:
             yield closed()
 
-    # rows of a run meet in one partition on both sides, which the join by run and radix leaves as it is
-    own = segments.select("run", "radix", "holders", "docs", "links").repartition("run")
-    met = own.join(answers(segments, sums).repartition("run"), ["run", "radix"]).sortWithinPartitions("run")
-    return met.select("run", "holders", "docs", "links", "counts", "best").mapInArrow(emit, "run long, local int, n_best long, count_sum long")
+    names = ("holders", "docs", "links", "counts", "best")
+
+    def blank(df: DataFrame) -> DataFrame:
+        return df.select("run", "radix", *[F.col(c) if c in df.columns else F.lit(None).cast("binary").alias(c) for c in names])
+
+    both = blank(segments).union(blank(answers(segments, sums)))
+    # a fixed number of partitions, so that no run is divided
+    both = both.repartition(radices, "run").sortWithinPartitions("run", "radix")
+    found = both.mapInArrow(emit, "run long, local int, n_best long, count_sum long")
+    return found.groupBy("run", "local").agg(F.sum("n_best").alias("n_best"), F.sum("count_sum").alias("count_sum"))
 
 
 def aligned(docs: DataFrame, a_path: str, b_path: str, radices: int | None = None, run_links: int = RUN_LINKS, fan: int = FAN) -> DataFrame:
@@ -414,6 +425,6 @@ def aligned(docs: DataFrame, a_path: str, b_path: str, radices: int | None = Non
     segments = rows.where("radix is not null").select("run", *[f.split()[0] for f in _SEGMENT.split(", ")])
     sums = keep(totals(segments, radices, size_b, fan), "totals")
     owned = rows.where("radix is null").select("run", *[f.split()[0] for f in _DOC.split(", ")])
-    found = owned.join(contributions(segments, sums), ["run", "local"], "left")
+    found = owned.join(contributions(segments, sums, radices), ["run", "local"], "left")
     zero = lambda name: F.coalesce(name, F.lit(0)).cast("long").alias(name)
     return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", zero("n_best"), zero("count_sum"), "groups_sha256")
