@@ -6,7 +6,7 @@ import os
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.ids import strip
@@ -79,10 +79,22 @@ class MatchIndex:
         entries = F.sort_array(F.collect_set(F.struct("source", "partner_id")))
         return self.edges.groupBy(*CELL, "anchor_id").agg(F.map_from_entries(entries).alias("partners"))
 
+    def partner_cell_ranges(self) -> DataFrame:
+        """norder, npix, source, partner_norder, first, last: the partner cells of each anchor cell as ranges.
+
+        Neighbouring cells of one order become one row, each pair of ranges has a gap between, and no anchor
+        cell's partners are gathered in one value, however many there are.
+        """
+        group = [*CELL, "source", "partner_norder"]
+        place = F.row_number().over(Window.partitionBy(*group).orderBy("partner_npix"))
+        island = (F.col("partner_npix") - place).alias("_island")
+        ranges = self.partner_cells.select(*group, "partner_npix", island).groupBy(*group, "_island")
+        return ranges.agg(F.min("partner_npix").alias("first"), F.max("partner_npix").alias("last")).drop("_island")
+
     def partner_cell_sets(self) -> DataFrame:
-        """One row per anchor cell and source with its sorted set of partner cells."""
-        cells = F.sort_array(F.collect_set(F.struct(*PARTNER_CELL)))
-        return self.partner_cells.groupBy(*CELL, "source").agg(cells.alias("cells"))
+        """One row per anchor cell and source with its sorted ranges (partner_norder, first, last) of partner cells."""
+        ranges = F.sort_array(F.collect_list(F.struct("partner_norder", "first", "last")))
+        return self.partner_cell_ranges().groupBy(*CELL, "source").agg(ranges.alias("ranges"))
 
 
 def resolve_match_index(match_index: str | None = None) -> str | None:

@@ -12,7 +12,7 @@ from starweave.operators.layout import pivot_edges
 from starweave.plans.cells import hash_split, permutation, reserved
 from starweave.plans.ownership import elect_owners
 from starweave.schemas import EDGE_SCHEMA, PAIR_SCHEMA, wide_schema
-from starweave.sources.index import GRAPH_ASSEMBLY, assembly_and_revisions, load_index, pair_view
+from starweave.sources.index import GRAPH_ASSEMBLY, MatchIndex, assembly_and_revisions, load_index, pair_view
 
 MATCHES = [(8, 0, "desi", "k17"), (8, 0, "hsc", "h4"), (8, 3, "hsc", "h9"), (50, 1, "desi", "k2"), (50, 0, "desi", "k5")]
 EDGES = [edge(*m) for m in MATCHES]
@@ -105,3 +105,20 @@ def test_permutation_split_and_owner(spark):
         "norder tinyint, npix bigint, source string, partner_norder tinyint, partner_npix bigint, path string",
     )
     assert elect_owners(refs).first()["npix"] == [1, 2][zlib.crc32(b"path") % 2]
+
+
+def test_partner_cells_are_ranges_with_gaps_between(spark):
+    """Ranges split at gaps, orders, sources and anchor cells, and spell the same set of cells; repeats count once."""
+    cells = [(5, 8, "desi", 6, c) for c in (4, 5, 5, 6, 9, 11, 12)] + [(5, 8, "desi", 7, 7), (5, 8, "sdss", 6, 7), (5, 9, "desi", 6, 7), (5, 9, "desi", 6, 0)]
+    listed = spark.createDataFrame(cells, "norder tinyint, npix long, source string, partner_norder tinyint, partner_npix long").distinct()
+    index = MatchIndex(2, HUB, "rev-a", {}, listed, listed, listed)
+    ranges = rows(index.partner_cell_ranges())
+    assert ranges == sorted(
+        [(5, 8, "desi", 6, 4, 6), (5, 8, "desi", 6, 9, 9), (5, 8, "desi", 6, 11, 12), (5, 8, "desi", 7, 7, 7), (5, 8, "sdss", 6, 7, 7)]
+        + [(5, 9, "desi", 6, 0, 0), (5, 9, "desi", 6, 7, 7)],
+        key=repr,
+    )
+    sets = {(r["npix"], r["source"]): [tuple(x) for x in r["ranges"]] for r in index.partner_cell_sets().collect()}
+    assert sets[8, "desi"] == [(6, 4, 6), (6, 9, 9), (6, 11, 12), (7, 7, 7)] and len(sets) == 3
+    nothing = MatchIndex(2, HUB, "rev-a", {}, listed, listed.limit(0), listed)
+    assert rows(nothing.partner_cell_ranges()) == []

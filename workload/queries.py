@@ -303,9 +303,22 @@ def match_map_json(spark, sf):
     )
 )
 def partner_cells_set(spark, sf):
+    """The ranges of partner cells, spelled out cell by cell."""
     sets = sky.index(spark, sf).partner_cell_sets()
-    text = F.transform("cells", lambda c: F.concat_ws("/", c["partner_norder"], c["partner_npix"]))
-    return sets.select("norder", "npix", "source", F.array_join(text, " ").alias("cells"))
+    named = lambda r: F.transform(F.sequence(r["first"], r["last"]), lambda c: F.concat_ws("/", r["partner_norder"], c))
+    return sets.select("norder", "npix", "source", F.array_join(F.flatten(F.transform("ranges", named)), " ").alias("cells"))
+
+
+@register(
+    query(
+        STAR,
+        """SELECT CAST(norder AS TINYINT) AS norder, npix, source, CAST(partner_norder AS TINYINT) AS partner_norder, min(partner_npix) AS first, max(partner_npix) AS last FROM
+ (SELECT *, partner_npix - row_number() OVER (PARTITION BY norder, npix, source, partner_norder ORDER BY partner_npix) AS island FROM
+  (SELECT DISTINCT norder, npix, source, partner_norder, partner_npix FROM edges)) GROUP BY norder, npix, source, partner_norder, island""",
+    )
+)
+def partner_cell_ranges(spark, sf):
+    return sky.index(spark, sf).partner_cell_ranges()
 
 
 @register(query(STAR, "SELECT DISTINCT source, partner_id FROM edges"))
@@ -1074,6 +1087,93 @@ def open_stream_pair(spark, sf):
     return found
 
 
+_HSC_SHAPE = (2, 2, 2)
+_CUTOUT = " + ".join(f"CAST(CAST(o_totalprice + {k} AS FLOAT) AS DOUBLE)" for k in range(8))
+_HSC_SQL = ", ".join(
+    [f"CASE WHEN o_orderkey % 7 <> 0 THEN {_CUTOUT} END AS hsc_pixels"]
+    + [
+        f"CASE WHEN {m} > 10 AND {m} < 30 AND (o_orderkey % 5) * 0.03::DOUBLE + {i * 0.01!r}::DOUBLE < 0.1::DOUBLE THEN {m} END AS hsc_{b}_cmodel_mag"
+        for i, b in enumerate(adapt.HSC_BANDS)
+        for m in [f"(o_totalprice / 10000 + {2 * i})"]
+    ]
+    + ["CASE WHEN o_orderkey % 3 < 2 THEN CAST(o_orderkey % 3 AS DOUBLE) END AS hsc_extendedness"]
+    + [
+        f"{value} AS hsc_i_sdssshape_{kind}{m}"
+        for i, m in enumerate(adapt.HSC_MOMENTS)
+        for kind, value in (("shape", f"o_totalprice * {i + 1}"), ("psf_shape", "CASE WHEN o_orderkey % 2 = 1 THEN o_totalprice END"))
+    ]
+)
+
+
+def _vote(i: int) -> str:
+    return f"((s_suppkey * {i + 1} % 60) / 50 - 0.1::DOUBLE)"
+
+
+_VOTES_SQL = ", ".join(
+    f'CASE WHEN {_vote(i)} >= 0 AND {_vote(i)} <= 1 THEN {_vote(i)} END AS "gwh_{n}"' for i, n in enumerate(adapt.MORPHOLOGY_FIELDS)
+)
+
+
+def _cutouts(spark, sf) -> DataFrame:
+    """Orders as an imaging survey: cutouts, some missing, and magnitudes with errors."""
+    key, price = F.col("row_index"), F.col("o_totalprice")
+    rows = sky.desi(spark, sf).drop("spectrum", "ZERR", "ZWARN", "o_orderstatus")
+    rows = rows.join(table(spark, sf, "orders").select(F.col("o_orderkey").alias("row_index"), "o_totalprice"), "row_index")
+    plane = lambda k: F.array(F.array(price + k, price + k + 1), F.array(price + k + 2, price + k + 3))
+    image = F.struct(F.array(plane(0), plane(4)).alias("flux"), F.array(F.lit("hsc-g"), F.lit("hsc-r")).alias("band"))
+    columns = {"image": F.when(key % 7 != 0, image), "i_extendedness_value": (key % 3).cast("double")}
+    for i, b in enumerate(adapt.HSC_BANDS):
+        columns |= {f"{b}_cmodel_mag": price / 10000 + 2 * i, f"{b}_cmodel_magerr": (key % 5) * 0.03 + i * 0.01}
+    for i, m in enumerate(adapt.HSC_MOMENTS):
+        columns[f"i_sdssshape_shape{m}"] = price * (i + 1)
+        columns[f"i_sdssshape_psf_shape{m}"] = F.when(key % 2 == 1, price).otherwise(F.lit(float("nan")))
+    return rows.withColumns(columns).drop("o_totalprice", "Z")
+
+
+def _votes(spark, sf) -> DataFrame:
+    """Suppliers as classified galaxies, whose padded id is ``dr8_id``."""
+    rows = sky.provabgs(spark, sf)
+    key = F.col("row_index")
+    votes = [((key * (i + 1) % 60) / 50 - F.lit(0.1)).alias(n) for i, n in enumerate(adapt.MORPHOLOGY_FIELDS)]
+    name = F.concat(F.lit(" "), "object_id", F.lit(" ")).alias("dr8_id")
+    return rows.select(name, "ra", "dec", "_healpix_29", "norder", "npix", "row_index", *votes)
+
+
+_CUTOUT_SQL = query(
+    STAR
+    + f""",\nhsc_refs AS MATERIALIZED (SELECT DISTINCT partner_norder, partner_npix FROM e_desi WHERE {oracle.split('norder', 'npix')} = {oracle.split('partner_norder', 'partner_npix')}),
+both_cells AS (SELECT norder, npix FROM e_desi UNION SELECT norder, npix FROM e_provabgs)""",
+    f"""SELECT object_id, 1 AS phase, {_PIXELS}, a.* EXCLUDE (anchor_id), b.* EXCLUDE (anchor_id) FROM hub SEMI JOIN both_cells USING (norder, npix)
+ LEFT JOIN (SELECT anchor_id, {_HSC_SQL} FROM e_desi JOIN desi USING (partner_id)) a ON a.anchor_id = object_id
+ LEFT JOIN (SELECT anchor_id, {_VOTES_SQL} FROM e_provabgs JOIN provabgs USING (partner_id)) b ON b.anchor_id = object_id
+ UNION ALL BY NAME SELECT 'hsc:' || partner_id AS object_id, 0 AS phase, {_HSC_SQL} FROM desi SEMI JOIN hsc_refs ON (partner_norder, partner_npix) = (norder, npix)
+ WHERE partner_id NOT IN (SELECT partner_id FROM e_desi)""",
+)
+
+
+@register(_CUTOUT_SQL)
+def open_stream_cutouts(spark, sf):
+    """Imaging and classified spokes from files: cutouts and votes of every record of both splits; ids come from ``dr8_id``."""
+    root, index = scratch_path(spark, "cutouts"), scratch_path(spark, "cutout_index")
+    registry = _catalogs(spark, sf)
+    for source, of, rows in (("hsc", "desi", _cutouts(spark, sf)), ("galaxies_votes", "provabgs", _votes(spark, sf))):
+        write_catalog(rows, f"{root}/{source}")
+        registry.register(source, f"{root}/{source}")
+        edges = spark.read.parquet(f"{sky.index_path(spark, sf)}/{of}.parquet")
+        edges.withColumn("partner_source", F.lit(source)).write.parquet(f"{index}/{source}.parquet")
+    total = lambda image: F.aggregate(F.flatten(F.flatten(image)), F.lit(0.0), lambda t, x: t + x)
+    found = None
+    for split in plan.SPLITS:
+        records = open_stream(
+            spark, registry, split=split, seed=7, match_index=index, image_shape=sky.HUB_SHAPE, adapters=adapt.spoke_adapters(_HSC_SHAPE)
+        ).records
+        fields = [c for c in records.columns if c.startswith(("hsc_", "gwh_")) and c != "hsc_image"]
+        sums = [total("image.flux").alias("pixels"), total("hsc_image.flux").alias("hsc_pixels")]
+        part = records.select("object_id", "phase", *sums, *[F.col(f"`{c}`") for c in fields])
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
 @register(query(_TRAIN, "SELECT object_id, phase, source FROM records"))
 def structured_stream_cells(spark, sf):
     """The train stream as a Structured Streaming query, stopped and restarted once."""
