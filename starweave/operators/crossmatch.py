@@ -5,17 +5,19 @@ around the unit sphere. Cells are four radii wide: an anchor looks into every ce
 search ball touches, mostly one or two. That is exact at the poles, across ra = 0/360
 and at catalog partition edges, with no margin data.
 
-Crowded cells are never joined pair by pair. A cell with more than ``leaf_rows`` distinct
-partner positions is split four ways per axis, again and again; an anchor walks down only
-into those parts that can still hold its nearest partner. Copies of one position cost
-nothing: only the smallest partner id of a position can win the tie.
+Crowded cells are never joined pair by pair. A cell in which both sides have more than
+``leaf_rows`` rows, or the partners more than ``hot_rows``, is split four ways per axis, again
+and again; an anchor walks down only into those parts that can still hold its nearest partner.
+In all other cells there are at most ``leaf_rows`` pairs to a row, so they are joined as they
+are, by one shuffle of the partners. Copies of one position cost nothing where cells are
+crowded: only the smallest partner id of a position can win the tie.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from ..functions.healpix import with_pixel
@@ -43,10 +45,17 @@ def with_cell(df: DataFrame, order: int, ra: str = "ra", dec: str = "dec") -> Da
 
 
 def _grid(values: Sequence[str | Column], edge: float) -> list[Column]:
-    return [
-        F.floor((F.col(v) if isinstance(v, str) else v) / edge).cast("long").alias(c)
-        for v, c in zip(values, CELL)
-    ]
+    cells = [F.floor((F.col(v) if isinstance(v, str) else v) / edge).cast("long") for v in values]
+    return [_never_null(cell).alias(c) for cell, c in zip(cells, CELL)]
+
+
+def _never_null(value: Column) -> Column:
+    """A value of a row that has a position, which Spark is told of.
+
+    Else joins push "is not null" down to the scan, with the position nested into each of these predicates;
+    they make one method so large that the JVM never compiles it.
+    """
+    return F.coalesce(value, F.lit(0))
 
 
 def _points(df: DataFrame, id_column: str, strip: bool, axes: Sequence[str]) -> DataFrame:
@@ -57,7 +66,7 @@ def _points(df: DataFrame, id_column: str, strip: bool, axes: Sequence[str]) ->
         normalize_id(df, id_column, strip).alias("id"),
         F.col("norder").cast("tinyint").alias("order"),
         F.col("npix").cast("long").alias("pixel"),
-        *[c.alias(a) for c, a in zip((x, y, z), axes)],
+        *[_never_null(c).alias(a) for c, a in zip((x, y, z), axes)],
     )
 
 
@@ -92,6 +101,22 @@ def _reach(points: DataFrame, edge: float, length: float) -> DataFrame:
     return points
 
 
+def _sizes(frontier: DataFrame, spokes: DataFrame) -> DataFrame:
+    """Per cell the rows of both sides, and the copies that an anchor has at most."""
+    return (
+        frontier.select(*CELL, F.lit(1).alias("a"), F.lit(0).alias("p"), "copies")
+        .unionByName(spokes.select(*CELL, F.lit(0).alias("a"), F.lit(1).alias("p"), F.lit(0).alias("copies")))
+        .groupBy(*CELL)
+        .agg(F.sum("a").alias("a"), F.sum("p").alias("p"), F.max("copies").alias("copies"))
+    )
+
+
+def _crowded(leaf_rows: int, hot_rows: int) -> Column:
+    """Cells with too many pairs to a row, or too many partners for a task; without anchors none is."""
+    a, p = F.col("a"), F.col("p")
+    return (a > 0) & (p > leaf_rows) & ((a > leaf_rows) | (p > hot_rows))
+
+
 def nearest_pairs(
     anchors: DataFrame,
     partners: DataFrame,
@@ -113,37 +138,37 @@ def nearest_pairs(
         .groupBy(*ANCHOR_POINT)
         .agg(F.count("*").alias("copies"))
     )
-    spokes = (
-        partners.groupBy("sx", "sy", "sz")
-        .agg(F.min(F.struct("id", "order", "pixel")).alias("partner"))
-        .select("*", *_grid(("sx", "sy", "sz"), edge))
-    )
     frontier = _reach(hub, edge, length).withColumn("bound", F.lit(limit))
-
-    # one sizing job for both sides: crowded cells, hot cells, copies
-    sizes = (
-        frontier.select(*CELL, F.lit(1).alias("a"), F.lit(0).alias("p"), "copies")
-        .unionByName(spokes.select(*CELL, F.lit(0).alias("a"), F.lit(1).alias("p"), F.lit(0).alias("copies")))
-        .groupBy(*CELL)
-        .agg(F.sum("a").alias("a"), F.sum("p").alias("p"), F.max("copies").alias("copies"))
-    )
-    size = sizes.agg(
-        F.max(F.when(F.col("a") > 0, F.col("p"))).alias("crowd"),
-        F.max("a").alias("anchors"),
-        F.max("copies").alias("copies"),
-    ).first()
-    crowd = size["crowd"] or 0
+    cells = _grid(("sx", "sy", "sz"), edge)
+    spokes = partners.select("sx", "sy", "sz", F.struct("id", "order", "pixel").alias("partner"), *cells)
+
+    def sized() -> tuple[DataFrame, Row]:
+        """Rows per cell, and the extremes of the cells that both sides have: one job."""
+        sizes = _sizes(frontier, spokes).withColumn("crowded", _crowded(leaf_rows, hot_rows))
+        return sizes, sizes.agg(
+            F.count_if("crowded").alias("crowded"),
+            F.max(F.when(F.col("crowded"), F.col("p"))).alias("partners"),
+            F.max("a").alias("anchors"),
+            F.max("copies").alias("copies"),
+            F.max("p").alias("most"),
+        ).first()
+
+    sizes, size = sized()
+    copies = size["copies"] or 0
+    if size["crowded"] or (size["most"] or 0) > hot_rows:
+        # copies of a position count as one, which may be all the crowd there was
+        spokes = spokes.groupBy("sx", "sy", "sz", *CELL).agg(F.min("partner").alias("partner"))
+        sizes, size = sized()
 
     pairs = []
     while True:
         hot = hot_keys(frontier, CELL, hot_rows) if (size["anchors"] or 0) > hot_rows else None
-        last = crowd <= leaf_rows or edge / SPLIT < SMALLEST_CELL
+        last = not size["crowded"] or edge / SPLIT < SMALLEST_CELL
         if last:
             leaves = spokes
         else:
-            counts = spokes.groupBy(*CELL).agg(F.count("*").alias("p"))
-            crowded = cut_lineage(counts.where(F.col("p") > leaf_rows).select(*CELL))
-            spoke_hot = hot_keys(spokes, CELL, hot_rows) if crowd > hot_rows else None
+            crowded = cut_lineage(sizes.where("crowded").select(*CELL))
+            spoke_hot = hot_keys(spokes, CELL, hot_rows) if size["partners"] > hot_rows else None
             spread = {"salt_by": ["sx", "sy", "sz"], "hot": spoke_hot}
             leaves = spread_join(spokes, crowded, CELL, "left_anti", **spread)
         pairs.append(
@@ -179,7 +204,7 @@ def nearest_pairs(
             .drop("low", "high")
         )
         spokes = cut_lineage(inner.drop(*CELL).select("*", *_grid(("sx", "sy", "sz"), edge)))
-        crowd = spokes.groupBy(*CELL).count().agg(F.max("count")).first()[0] or 0
+        sizes, size = sized()
 
     found = pairs[0]
     for more in pairs[1:]:
@@ -196,7 +221,7 @@ def nearest_pairs(
             F.col("best.partner.pixel").alias("partner_pixel"),
         )
     )
-    if (size["copies"] or 0) > 1:
+    if copies > 1:
         return repeat_rows(nearest, "copies")
     return nearest.drop("copies")
 

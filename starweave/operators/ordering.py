@@ -27,7 +27,9 @@ def number_rows(
     """
     group, files = list(group), list(files)
     key = [*group, *files, "_block"]
-    blocked = df.withColumn("_block", F.floor(F.col(row) / block_rows).cast("long"))
+    # never NULL: else the join below pushes "is not null" down to the scan, with all that ``row`` is made of
+    block = F.coalesce(F.floor(F.col(row) / block_rows).cast("long"), F.lit(-1))
+    blocked = df.withColumn("_block", block)
     counts = blocked.groupBy(*key).agg(F.count("*").alias("_n"))
     in_group = Window.partitionBy(*group) if group else Window.partitionBy()
     before = in_group.orderBy(*files, "_block").rowsBetween(Window.unboundedPreceding, -1)

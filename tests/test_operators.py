@@ -55,6 +55,23 @@ def test_crossmatch_is_exact(spark, kind, radius, leaf):
     assert {r.anchor_id: r.partner_id for r in edges.collect()} == brute(hub, spoke, radius)
 
 
+def test_cells_crowded_on_one_side_are_joined_as_they_are(spark, monkeypatch):
+    hub, spoke = catalog("clump", 3, "h", 1), catalog("clump", 300, "s", 2)
+    monkeypatch.setattr("starweave.operators.crossmatch.cut_lineage", None)  # no walk: few pairs to a row
+    edges = crossmatch(with_cell(spark.createDataFrame(hub), 6), with_cell(spark.createDataFrame(spoke), 5), **PINS)
+    assert {r.anchor_id: r.partner_id for r in edges.collect()} == brute(hub, spoke, 1.0)
+
+
+def test_positions_are_not_nested_into_pushed_filters(spark):
+    sky = spark.range(50).selectExpr("concat('s', id) AS object_id", "id * 7.0D % 360 AS ra", "id * 3.0D - 70 AS dec")
+    plan = crossmatch(with_cell(sky, 6), with_cell(sky, 5), **PINS)._jdf.queryExecution().optimizedPlan().toString()
+    filters = [line for line in plan.split("\n") if "Filter" in line]
+    assert filters and not any("COS(" in line or "FLOOR(" in line for line in filters)
+    rows = sky.select((F.col("ra") * 2 + 1).cast("long").alias("row"), "object_id")
+    plan = number_rows(rows, [], [], "row", into="at")._jdf.queryExecution().optimizedPlan().toString()
+    assert not any("FLOOR(" in line for line in plan.split("\n") if "Filter" in line)
+
+
 def test_crossmatch_keeps_copies_and_checks_arguments(spark):
     hub = with_cell(spark.createDataFrame([("h", 10.0, 20.0)] * 5, "object_id string, ra double, dec double"), 6)
     assert crossmatch(hub, hub, **PINS).count() == 5
