@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
+from functools import cached_property
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,6 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 LISTING = "norder tinyint, npix bigint, path string"
+#: Tasks per core that list the folders of a catalog.
+LISTING_TASKS = 4
 
 #: Numbers by width: a column that files disagree on is read as the wider one.
 _WIDTHS = [T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType(), T.FloatType(), T.DoubleType()]
@@ -32,6 +37,24 @@ def partition_path(file: Column) -> Column:
     return F.concat(F.substring_index(file, "/Npix=", 1), F.lit("/Npix="), leaf)
 
 
+def partition_of(file: str) -> str:
+    """``partition_path(plain_path(…))`` of a listed file, on the driver."""
+    parts = unquote(file).split("/Npix=")
+    return f"{parts[0]}/Npix={parts[-1].partition('/')[0]}"
+
+
+@contextmanager
+def _few_listing_tasks(spark: SparkSession) -> Iterator[None]:
+    """Folders are listed by a few tasks a core: Spark's own choice is a task for each of up to 10,000 folders."""
+    name = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(int(before), LISTING_TASKS * spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def cell_of_path(path: Column) -> tuple[Column, Column]:
     """Order and pixel out of a partition's path."""
     order = F.substring_index(F.substring_index(path, "Norder=", -1), "/", 1)
@@ -88,23 +111,34 @@ class Catalog:
                 raise
         table = cls._read_all(spark, base)
         names = sorted(table.inputFiles())
-        listed = spark.createDataFrame([(f,) for f in names], "file string")
-        path = partition_path(plain_path(F.col("file")))
+        rows = sorted({(partition_of(f),) for f in names})
+        path = F.col("path")
         order, pixel = cell_of_path(path)
-        files = listed.select(order.alias("norder"), pixel.alias("npix"), path.alias("path"), "file")
-        schema = merged_schema(spark, [r["plain"] for r in listed.select(plain_path(F.col("file")).alias("plain")).collect()], table.schema)
-        return cls(spark, base, files.drop("file").distinct(), schema, cls._starts(spark, files))
+        files = spark.createDataFrame(rows, "path string").select(order.alias("norder"), pixel.alias("npix"), "path")
+        catalog = cls(spark, base, files, table.schema, cls._starts(spark, names))
+        # the listing made above serves all scans of the whole catalog
+        vars(catalog).update(table=table, partitions=frozenset(path for (path,) in rows))
+        return catalog
+
+    @cached_property
+    def table(self) -> DataFrame:
+        """All files, listed once."""
+        return self._read_all(self.spark, self.url, self.schema)
+
+    @cached_property
+    def partitions(self) -> frozenset[str]:
+        """The paths of all partitions."""
+        return frozenset(_by_partition(self.table.inputFiles()))
 
     @staticmethod
-    def _starts(spark: SparkSession, files: DataFrame) -> tuple[tuple[str, int], ...]:
+    def _starts(spark: SparkSession, names: list[str]) -> tuple[tuple[str, int], ...]:
         """Where the second and later files of partitions start, by the row counts in the footers of those partitions' files."""
-        several = files.join(files.groupBy("path").count().where("count > 1"), "path").orderBy("path", "file")
-        rows = [(r["path"], r["plain"]) for r in several.select("path", plain_path(F.col("file")).alias("plain")).collect()]
+        rows = [(path, unquote(f)) for path, held in sorted(_by_partition(names).items()) if len(held) > 1 for f in held]
         if not rows:
             return ()
         name = plain_path(F.col("_metadata.file_path"))
-        # no column is read
-        counts = spark.read.parquet(*[f for _, f in rows]).groupBy(place_in_catalog(name)).count()
+        with _few_listing_tasks(spark):  # no column is read
+            counts = spark.read.parquet(*[f for _, f in rows]).groupBy(place_in_catalog(name)).count()
         known, starts, last, total = dict(tuple(r) for r in counts.collect()), [], None, 0
         for path, file in rows:
             place = file[file.rindex("Norder=") :]
@@ -119,16 +153,25 @@ class Catalog:
         """(norder, npix, path) of every partition, by cell."""
         return sorted((r["norder"], r["npix"], r["path"]) for r in self.files.collect())
 
-    @staticmethod
-    def _read_all(spark: SparkSession, base: str, schema: T.StructType | None = None) -> DataFrame:
-        tree = "Norder=*/Dir=*/Npix=*.parquet"
-        reader = spark.read if schema is None else spark.read.schema(schema)
-        try:
-            return reader.parquet(f"{base}/dataset/{tree}")
-        except AnalysisException as error:
-            if "PATH_NOT_FOUND" not in str(error):
-                raise
-            return reader.parquet(f"{base}/{tree}")
+    @classmethod
+    def _read_all(cls, spark: SparkSession, base: str, schema: T.StructType | None = None) -> DataFrame:
+        """All files below ``base``, with ``schema`` or the columns of all of them."""
+        for tree in (f"{base}/dataset/Norder=*/Dir=*/Npix=*.parquet", f"{base}/Norder=*/Dir=*/Npix=*.parquet"):
+            with _few_listing_tasks(spark):
+                try:
+                    if schema is not None:
+                        return spark.read.schema(schema).parquet(tree)
+                    return spark.read.option("mergeSchema", "true").parquet(tree)
+                except Exception as error:  # the analyser's or the job's own error, by the way that footers are read
+                    if "PATH_NOT_FOUND" in str(error):
+                        absent = error
+                        continue
+                    if schema is not None or "CANNOT_MERGE" not in str(error):
+                        raise
+                    first = spark.read.parquet(tree)
+                    files = sorted(unquote(f) for f in first.inputFiles())
+                    return spark.read.schema(merged_schema(spark, files, first.schema)).parquet(tree)
+        raise absent
 
     def scan(self, columns: Sequence[str], files: Iterable[str] | None = None) -> DataFrame:
         """Selected columns plus ``norder``, ``npix``, ``path`` and the row's place in its partition.
@@ -136,13 +179,14 @@ class Catalog:
         In a partition of several files, later files go on counting where the one before ends.
         With ``files`` only those partitions are opened at all.
         """
-        if files is None:
-            table = self._read_all(self.spark, self.url, self.schema)
-        else:
+        table = self.table
+        if files is not None:
             chosen = sorted(set(files))
             if not chosen:
                 return self.empty(columns)
-            table = self.spark.read.schema(self.schema).parquet(*chosen)
+            if chosen != sorted(self.partitions):
+                with _few_listing_tasks(self.spark):
+                    table = self.spark.read.schema(self.schema).parquet(*chosen)
         file = plain_path(F.col("_metadata.file_path"))
         path = partition_path(file)
         order, pixel = cell_of_path(path)
@@ -170,6 +214,13 @@ class Catalog:
         return table.groupBy("norder", "npix", "path").agg(F.count("*").alias("rows"))
 
 
+def _by_partition(names: Iterable[str]) -> dict[str, list[str]]:
+    found: dict[str, list[str]] = {}
+    for name in names:
+        found.setdefault(partition_of(name), []).append(name)
+    return found
+
+
 def union_schema(left: T.StructType, right: T.StructType) -> T.StructType:
     """All columns of both; of two numbers with one name the wider counts, else the right one."""
     fields = {f.name: f for f in left.fields}

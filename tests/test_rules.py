@@ -1,11 +1,14 @@
 """Rules that hold across layouts: file order within a partition, encoded paths, edge checks."""
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import DataFrameReader
 from pyspark.sql import functions as F
 
 from starweave.operators.layout import check_edges, index_sources
 from starweave.plans import cells
-from starweave.sources.catalog import Catalog
+from starweave.sources.catalog import LISTING_TASKS, Catalog
 from starweave.sources.index import index_from
 
 
@@ -35,6 +38,25 @@ def test_partition_of_several_files_under_an_encoded_path(spark, tmp_path):
     assert {(r.ra, r.row_index) for r in chosen} == {(r.ra, r.row_index) for r in whole}
 
 
+def test_catalogs_are_listed_by_few_tasks(spark, tmp_path, monkeypatch):
+    for npix in range(100):
+        folder = tmp_path / "Norder=2" / "Dir=0" / f"Npix={npix}.parquet"
+        folder.mkdir(parents=True)
+        pq.write_table(pa.table({"id": [npix]}), folder / "part-0.parquet")
+    context = spark.sparkContext
+    context.setJobGroup("listing", "")
+    catalog = Catalog.open(spark, str(tmp_path))
+    paths = sorted(r.path for r in catalog.files.collect())
+    part = catalog.scan(["id"], paths[:90])
+    context.setJobGroup("", "")
+    tracker = context.statusTracker()
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds]
+    assert max(s.numTasks for s in stages) <= LISTING_TASKS * context.defaultParallelism < 90
+    assert part.count() == 90
+    monkeypatch.setattr(DataFrameReader, "parquet", lambda *args, **options: pytest.fail("all files are listed again"))
+    assert catalog.scan(["id"]).count() == catalog.scan(["id"], paths).count() == 100
+
+
 @pytest.mark.parametrize(
     "changes", [{"join_kind": "lineage"}, {"separation_arcsec": 5.0}, {"partner_id": None}, {"anchor_id": None}]
 )

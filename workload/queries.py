@@ -1017,29 +1017,27 @@ def union_missing_columns(spark, sf):
 # -------------------------------------------------------------------- files, end to end
 
 
-@lru_cache(maxsize=16)
-def _catalog_root(application: str, sf: str) -> str:
-    """The catalogs as files, written once per session."""
+@lru_cache(maxsize=64)
+def _catalog_root(application: str, sf: str, name: str) -> str:
+    """One catalog as files, written once per session."""
     spark = SparkSession.active()
-    root = scratch_path(spark, "catalogs")
-    write_catalog(sky.hub(spark, sf), f"{root}/{HUB_SOURCE}")
-    for name in SOURCES:
-        write_catalog(sky.ROWS[name](spark, sf).drop("o_orderstatus"), f"{root}/{name}")
+    root = f"{scratch_path(spark, 'catalogs')}/{name}"
+    write_catalog(sky.hub(spark, sf) if name == HUB_SOURCE else sky.ROWS[name](spark, sf).drop("o_orderstatus"), root)
     return root
 
 
-def _catalogs(spark, sf) -> Registry:
-    root = _catalog_root(spark.sparkContext.applicationId, sf)
+def _catalogs(spark, sf, sources=SOURCES) -> Registry:
+    """The anchor catalog and those of some sources."""
     registry = Registry(pinned=False)
-    for name in (HUB_SOURCE, *SOURCES):
-        registry.register(name, f"{root}/{name}")
+    for name in (HUB_SOURCE, *sources):
+        registry.register(name, _catalog_root(spark.sparkContext.applicationId, sf, name))
     return registry
 
 
 @register(query(HUB, "SELECT CAST(norder AS TINYINT) AS norder, npix, count(*) AS rows FROM hub GROUP BY norder, npix"))
 def catalog_listing(spark, sf):
     """Write a partitioned catalog, list its files, count rows from the footers."""
-    registry = _catalogs(spark, sf)
+    registry = _catalogs(spark, sf, ())
     return registry.open(spark, HUB_SOURCE, "").row_counts().select("norder", "npix", "rows")
 
 
@@ -1075,11 +1073,11 @@ def open_stream_graph(spark, sf):
 )
 def open_stream_pair(spark, sf):
     """Train and validation of the single-spoke stream together: every image, and every lone spectrum once (its cell depends on file paths)."""
-    registry, found = _catalogs(spark, sf), None
+    registry, found = _catalogs(spark, sf, ("desi",)), None
     flux = F.flatten(F.flatten("image.flux"))
     pixels = F.aggregate(flux, F.lit(0.0), lambda total, x: total + x).alias("pixels")
     for split in plan.SPLITS:
-        index = f"{sky.index_path(spark, sf)}/desi.parquet"
+        index = sky.source_index_path(spark, sf, "desi")
         records = open_stream(spark, registry, split=split, seed=7, match_index=index, image_shape=sky.HUB_SHAPE).records
         first = F.col("spectrum.flux")[0].cast("double").alias("spectrum_first")
         part = records.select("object_id", "phase", "ebv", pixels, first, "Z", "ZERR", "ZWARN")
@@ -1155,11 +1153,11 @@ both_cells AS (SELECT norder, npix FROM e_desi UNION SELECT norder, npix FROM e_
 def open_stream_cutouts(spark, sf):
     """Imaging and classified spokes from files: cutouts and votes of every record of both splits; ids come from ``dr8_id``."""
     root, index = scratch_path(spark, "cutouts"), scratch_path(spark, "cutout_index")
-    registry = _catalogs(spark, sf)
+    registry = _catalogs(spark, sf, ())
     for source, of, rows in (("hsc", "desi", _cutouts(spark, sf)), ("galaxies_votes", "provabgs", _votes(spark, sf))):
         write_catalog(rows, f"{root}/{source}")
         registry.register(source, f"{root}/{source}")
-        edges = spark.read.parquet(f"{sky.index_path(spark, sf)}/{of}.parquet")
+        edges = spark.read.parquet(sky.source_index_path(spark, sf, of))
         edges.withColumn("partner_source", F.lit(source)).write.parquet(f"{index}/{source}.parquet")
     total = lambda image: F.aggregate(F.flatten(F.flatten(image)), F.lit(0.0), lambda t, x: t + x)
     found = None

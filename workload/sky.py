@@ -199,15 +199,25 @@ def edges(spark: SparkSession, sf_dir: str, source: str, partner: DataFrame | No
 
 @lru_cache(maxsize=16)
 def _index_path(application: str, sf_dir: str) -> str:
-    """Build the index of all three spokes once per session, as the offline step does."""
-    spark = SparkSession.active()
-    path = scratch_path(spark, "index")
-    for source in SOURCES:
-        edges(spark, sf_dir, source).write.parquet(f"{path}/{source}.parquet")
+    return scratch_path(SparkSession.active(), "index")
+
+
+@lru_cache(maxsize=64)
+def _source_index_path(application: str, sf_dir: str, source: str) -> str:
+    """Build the index of one spoke once per session, as the offline step does."""
+    path = f"{_index_path(application, sf_dir)}/{source}.parquet"
+    edges(SparkSession.active(), sf_dir, source).write.parquet(path)
     return path
 
 
+def source_index_path(spark: SparkSession, sf_dir: str, source: str) -> str:
+    return _source_index_path(spark.sparkContext.applicationId, sf_dir, source)
+
+
 def index_path(spark: SparkSession, sf_dir: str) -> str:
+    """The folder with the indexes of all three spokes."""
+    for source in SOURCES:
+        source_index_path(spark, sf_dir, source)
     return _index_path(spark.sparkContext.applicationId, sf_dir)
 
 
