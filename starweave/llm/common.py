@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starweave.session import scratch_path
 
+#: Bytes of an Arrow batch that a Python worker gets of texts, see ``small_batches``.
+BATCH_BYTES = 4 << 20
 #: The words of a text: runs of bytes other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -21,6 +24,24 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """From now on Arrow batches of this session hold ``BATCH_BYTES`` at most, or one row that is larger.
+
+    Rows are else counted only up to a size that is many times larger, and every task has a batch of texts up to four times: in
+    Spark's buffers and the worker's, on the way there and back, all of it outside the heap. The value counts when a plan runs, so
+    it is not set back; a smaller one stays.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not 0 < _bytes(spark, name) <= BATCH_BYTES:  # below 1: no limit
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
+def _bytes(spark: SparkSession, name: str) -> int:
+    """A setting in bytes, which may be spelled with a unit."""
+    number, unit = re.fullmatch(r"(-?\d+)\s*([a-z]*)", spark.conf.get(name).strip().lower()).groups()
+    return int(number) << 10 * "bkmgtp".index((unit or "b")[0])
+
+
 def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import keep
+from .common import keep, small_batches
 from .hashing import _LOWER, text_bytes
 
 GRAMS = (3, 4, 5)
@@ -143,6 +143,7 @@ def _logistic(present: list[np.ndarray], label: np.ndarray, scale: np.ndarray, r
 
 def score(docs: DataFrame, model: Model, more: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, *more, score) for every row of ``docs`` (doc_id, text)."""
+    small_batches(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast((model.weights, model.intercept))  # one float per bin
     schema = docs.select("doc_id", *more).schema
 

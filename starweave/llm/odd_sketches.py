@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import identified, keep
+from .common import identified, keep, small_batches
 from .components import components
 from .hashing import GOLDEN, U, mix, word_chunks
 from .recompression import packed_texts
@@ -287,6 +287,7 @@ def deduplicated(docs: DataFrame, more: Sequence[str], shingle: int = SHINGLE, p
 
 def linked(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     """``near_duplicates`` of rows that ``identified`` has numbered."""
+    small_batches(docs.sparkSession)
     drawn = keep(sketches(docs, shingle), "sketches")
     same = ["set_a", "set_b", "n"]
     unique = drawn.where("n > 0").groupBy(*same).agg(

@@ -7,6 +7,7 @@ import zlib
 from array import array
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -23,7 +24,7 @@ from starweave.llm import (
     warc_segments,
     water_filling,
 )
-from starweave.llm.common import ranked
+from starweave.llm.common import ranked, small_batches
 from starweave.llm.queries import RULES, tokenizer_path
 
 # extra columns whose names clash with those the operators use inside
@@ -583,3 +584,25 @@ def test_pipeline_rows(spark):
         assert r.start == start
         start += r.n_tokens
     assert [r.doc_id for r in placed] == sorted(r.doc_id for r in before)
+
+
+@pytest.mark.parametrize("run", ["near_duplicates", "score"])
+def test_batches_of_texts_are_bounded(spark, run):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(name)
+    few = spark.createDataFrame([(1, "a b c"), (2, None)], "doc_id long, text string")
+    if run == "score":
+        nb_linear.score(few, nb_linear.Model(np.zeros(nb_linear._BINS, np.float32), 0.0)).collect()
+    else:
+        odd_sketches.near_duplicates(few).collect()
+
+    def told(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"bytes": [batch.nbytes]})
+
+    texts = spark.range(0, 200, 1, 1).select(F.repeat(F.lit("x"), 200_000).alias("text"))
+    assert max(r[0] for r in texts.mapInArrow(told, "bytes long").collect()) < 5_000_000
+    spark.conf.set(name, "1m")
+    small_batches(spark)
+    assert spark.conf.get(name) == "1m"  # a smaller one stays
+    spark.conf.unset(name)
