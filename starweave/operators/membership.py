@@ -1,9 +1,9 @@
-"""Which rows have an id that is not in a set, without moving the rows that surely have none of it.
+"""Which rows have an id that is, or is not, in a set, without moving the rows that surely have none of it.
 
 A set of a checked size is broadcast. A larger one becomes a sieve: every id sets four bits of one 64-bit word, words are
 or-ed together by an aggregate, and the words are broadcast in place of the ids, at 16 bits an id. A row that
 misses a bit is surely not in the set and stays where it is read; the others, which are the members and a few
-per cent more, go through the exact anti-join. Beyond ``SIEVE_IDS`` both sides are shuffled.
+per cent more, go through the exact join. Beyond ``SIEVE_IDS`` both sides are shuffled.
 """
 
 from __future__ import annotations
@@ -46,6 +46,24 @@ def possible(rows: DataFrame, column: str, table: DataFrame, words: int) -> Data
     return met.withColumn("_possible", held).drop("_word", "_set", "_bits")
 
 
+def among(
+    rows: DataFrame, ids: DataFrame, *, column: str = "partner_id", few: int = BROADCAST_ROWS, most: int = SIEVE_IDS
+) -> DataFrame:
+    """The ``rows`` that an inner join with ``ids`` may need: those with one of the ids, and some others where ids are many.
+
+    To be put before such a join, or an aggregate by id in front of it. Columns that are computed of the rows are best added behind
+    it: Catalyst does not move a join below them.
+    """
+    ids = ids.select(column)
+    if few_rows(ids, few):
+        return rows.join(F.broadcast(ids), column, "left_semi").select(*rows.columns)
+    count = ids.limit(most + 1).count()
+    if count > most:
+        return rows
+    words = -(-count * ID_BITS // 64)
+    return possible(rows, column, sieve(ids, column, words), words).where("_possible").select(*rows.columns)
+
+
 def without_ids(
     rows: DataFrame,
     ids: DataFrame,

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.ids import id_text
 from ..sources.adapters import HubAdapter, SpokeAdapter, base_fields, with_fields
-from .membership import without_ids
+from .membership import among, without_ids
 from .skew import HOT_ROWS, few_rows, hot_keys, small_side, spread_join
 
 ANCHOR_KEY = ["norder", "npix", "anchor_id"]
@@ -53,10 +53,11 @@ def lookups(edges: DataFrame, partner_cells: DataFrame, ids: DataFrame) -> DataF
     """CELL_POINTER and ``copies``: how many rows each pointer of an anchor cell finds.
 
     A pointer is looked up in all partitions its anchor cell refers to, not only its own. The ids are joined first and
-    the partitions compared afterwards, so a pointer meets its own rows and never a list of partitions.
+    the partitions compared afterwards, so a pointer meets its own rows and never a list of partitions. Rows that no
+    edge points to, mostly by far the most, are left where they are read.
     """
     wanted = edges.select(*CELL_POINTER).distinct()
-    counts = ids.groupBy("source", *PARTNER_KEY).agg(F.count("*").alias("copies"))
+    counts = among(ids, edges).groupBy("source", *PARTNER_KEY).agg(F.count("*").alias("copies"))
     there = wanted.join(counts, ["source", "partner_id"]).join(*_listed(partner_cells, ["source"]))
     found = there.groupBy(*CELL_POINTER).agg(F.sum("copies").alias("copies"))
     return wanted.join(found, CELL_POINTER, "left").withColumn("copies", F.coalesce("copies", F.lit(0)))
@@ -87,15 +88,15 @@ def missing_partners(edges: DataFrame, found: DataFrame) -> DataFrame:
 def meet(edges: DataFrame, partner_cells: DataFrame, rows: DataFrame, *, hot_rows: int = HOT_ROWS) -> DataFrame:
     """``edges`` of one source with the partner rows they point to, in the partitions listed for their anchor cells.
 
-    Few edges are broadcast, so the partner rows stay where they are read and only matched ones go on. Otherwise both
-    sides are shuffled by id; neither way makes more rows than there are edges and copies of partners.
+    Few edges are broadcast, so the partner rows stay where they are read and only matched ones go on. Otherwise the edges
+    and the rows that a sieve of their ids lets pass are shuffled by id; neither way makes more rows than there are edges and copies of partners.
     """
     edges = edges.select(*ANCHOR_KEY, "partner_id")
     if few_rows(edges):
         met = rows.join(F.broadcast(edges), "partner_id")
     else:
         hot = hot_keys(edges, ["partner_id"], hot_rows)
-        met = spread_join(edges, rows, ["partner_id"], "inner", salt_by=ANCHOR_KEY, hot=hot)
+        met = spread_join(edges, among(rows, edges), ["partner_id"], "inner", salt_by=ANCHOR_KEY, hot=hot)
     return met.join(*_listed(partner_cells, []))
 
 

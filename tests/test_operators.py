@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from starweave.functions.healpix import with_pixel
 from starweave.functions.ids import normalize_id
 from starweave.functions.sphere import chord
-from starweave.operators import star
+from starweave.operators import membership, star
 from starweave.operators.crossmatch import crossmatch, with_cell
 from starweave.operators.membership import possible, sieve, without_ids
 from starweave.operators.ordering import number_rows
@@ -120,6 +120,31 @@ def test_sieve_keeps_members_and_few_others(spark):
     assert "hashpartitioning(partner_id" not in plan
 
 
+@pytest.mark.parametrize("few", [10, 200_000])
+def test_only_wanted_rows_are_counted(spark, few, monkeypatch):
+    """Rows that no edge points to are neither shuffled to be counted nor to be joined with many edges."""
+    monkeypatch.setattr(membership.few_rows, "__defaults__", (few,))
+    monkeypatch.setattr(membership.among, "__kwdefaults__", membership.among.__kwdefaults__ | {"few": few})
+    key = F.col("id")
+    name = F.concat(F.lit("p"), key).alias("partner_id")
+    edges = spark.range(500).select(
+        F.lit(4).alias("norder"), (key % 3).alias("npix"), F.concat(F.lit("a"), key).alias("anchor_id"), F.lit("p").alias("source"), name
+    )
+    cells = spark.createDataFrame([(4, n, "p", 5, 7) for n in range(3)], "norder int, npix long, source string, partner_norder int, partner_npix long")
+    place = [F.lit("p").alias("source"), F.lit(5).alias("partner_norder"), F.lit(7).cast("long").alias("partner_npix")]
+    rows = spark.range(20_000).select(*place, name)
+    passed = membership.among(rows, edges)
+    assert 500 <= passed.count() < 1500 and passed.join(edges, "partner_id").count() == 500
+    rows = rows.unionByName(spark.range(5).select(*place, name))
+    counted = []
+    monkeypatch.setattr(star, "among", lambda *args: counted.append(membership.among(*args)) or counted[-1])
+    found = {r.partner_id: r.copies for r in star.lookups(edges, cells, rows).collect()}
+    assert found == {f"p{k}": 2 if k < 5 else 1 for k in range(500)}
+    met = star.meet(edges, cells.drop("source"), rows.drop("source")).collect()
+    assert len(met) == 505 and all(r.anchor_id[1:] == r.partner_id[1:] for r in met)
+    assert counted and all(df.count() < 1500 for df in counted)
+
+
 def test_pointers_meet_their_own_rows_only(spark):
     """No pointer is multiplied by the partitions that its anchor cell refers to, and few edges leave the rows in place."""
     cells = spark.range(50).select(F.lit(3).alias("norder"), F.lit(1).alias("npix"), F.lit("s").alias("source"), F.lit(5).alias("partner_norder"), F.col("id").alias("partner_npix"))

@@ -13,6 +13,7 @@ from starweave.functions import arrays, healpix, ids, numeric, sphere
 from starweave.operators import layout, pair, star
 from starweave.operators.alignment import align_cells
 from starweave.operators.crossmatch import crossmatch, with_cell
+from starweave.operators.membership import among
 from starweave.operators.ordering import number_rows
 from starweave.operators.star import Spoke
 from starweave.plans import cells as plan
@@ -656,8 +657,9 @@ def missing_partner_report(spark, sf):
 )
 def duplicate_partner_report(spark, sf):
     """A spoke with one row per order line repeats its ids: which needed ones."""
-    index = sky.index(spark, sf)
-    lines = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"))
+    edges = sky.index(spark, sf).of_source("desi")
+    lines = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), F.concat(F.lit("o"), "l_orderkey").alias("partner_id"))
+    lines = among(lines, edges)  # lines that no edge points to are not located
     located = sky.table(spark, sf, "orders").select("o_orderkey", "o_custkey")
     order, size = sky.SPOKES["desi"]
     placed = sky.placed(
@@ -667,9 +669,9 @@ def duplicate_partner_report(spark, sf):
         F.lit("desi").alias("source"),
         F.col("norder").alias("partner_norder"),
         F.col("npix").alias("partner_npix"),
-        F.concat(F.lit("o"), "o_orderkey").alias("partner_id"),
+        "partner_id",
     )
-    return star.duplicate_partners(star.lookups(index.of_source("desi"), index.partner_cells, rows))
+    return star.duplicate_partners(star.lookups(edges, sky.index(spark, sf).partner_cells, rows))
 
 
 # -------------------------------------------------------------------------------- pair
