@@ -12,9 +12,12 @@ INDEX_ORDER = 29
 NO_PIXEL = -1
 
 
-def _spread(bits: Column) -> Column:
-    """Bit i of the input moves to bit 2i: the binary digits, read in base four."""
-    return F.conv(F.bin(bits), 4, 10).cast("long")
+#: Shifts that move bit i of a 32-bit number to bit 2i, and the bits that stay behind each: the halves part, then their halves.
+_SPREADS = [(16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F), (2, 0x3333333333333333), (1, 0x5555555555555555)]
+
+
+def _spread(bits: str, shift: int, stay: int) -> Column:
+    return F.col(bits).bitwiseOR(F.shiftleft(bits, shift)).bitwiseAND(F.lit(stay).cast("long"))
 
 
 def with_pixel(df: DataFrame, order: int, into: str, ra: str = "ra", dec: str = "dec") -> DataFrame:
@@ -27,7 +30,8 @@ def with_pixel(df: DataFrame, order: int, into: str, ra: str = "ra", dec: str =
     low = F.lit(side - 1).cast("long")
     lon, lat = F.col(ra), F.col(dec)
     turn = (lon - F.floor(lon / 360.0) * 360.0) / 90.0
-    pixel = F.col("_face") * (side * side) + _spread(F.col("_x")) + _spread(F.col("_y")) * 2
+    pixel = F.col("_face") * (side * side) + F.col("_even") + F.col("_odd") * 2
+    known = F.col("_x").isNotNull() & F.col("_y").isNotNull()
     steps = [
         {
             "_z": F.sin(F.radians(lat)),
@@ -68,9 +72,12 @@ def with_pixel(df: DataFrame, order: int, into: str, ra: str = "ra", dec: str =
             .when(lat >= 0, low - F.col("_cap_up"))
             .otherwise(F.col("_cap_down")),
         },
+        # not NULL, so that no step has to look for it: the generated code stays short enough to be compiled
+        {"_even": F.coalesce("_x", F.lit(0).cast("long")), "_odd": F.coalesce("_y", F.lit(0).cast("long"))},
+        *[{name: _spread(name, *by) for name in ("_even", "_odd")} for by in _SPREADS],
         # never NULL: else a later join on the pixel pushes "is not null" down to the scan,
         # with all these steps nested into one huge predicate
-        {into: F.coalesce(pixel.cast("long"), F.lit(NO_PIXEL).cast("long"))},
+        {into: F.coalesce(F.when(known, pixel.cast("long")), F.lit(NO_PIXEL).cast("long"))},
     ]
     made = set()
     for step in steps:

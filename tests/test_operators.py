@@ -191,3 +191,14 @@ def test_ids_like_python(spark, text):
         want = text
     assert df.select(normalize_id(df, "v", True)).first()[0] == want.strip()
     assert df.select(normalize_id(df, "v", False)).first()[0] == text
+
+
+def test_pixels_are_made_of_whole_numbers(spark):
+    """Missing, endless and wrapped positions have the pixels they always had, and no pixel goes through its digits as a text."""
+    inf, nan = float("inf"), float("nan")
+    odd = [(None, 1.0), (1.0, None), (nan, 5.0), (5.0, nan), (inf, 2.0), (2.0, inf), (-1e-20, 0.0), (360.0, 90.0), (725.0, -90.0), (0.0, 89.9999999)]
+    want = [-1, 2594073385365405695, 1372475556631677955, 288230376151711743, 1369361726766582979, 288230376151711743, 1273017494670060202, 288230376151711743, 2305843009213693952, 288230376151711742]
+    wide = spark.createDataFrame(odd, "ra double, dec double").coalesce(1)
+    pixels = with_pixel(wide, 29, "pixel").select("pixel")
+    assert [r.pixel for r in pixels.collect()] == want and not pixels.schema["pixel"].nullable
+    assert "conv(" not in pixels._jdf.queryExecution().optimizedPlan().toString()
