@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.ids import id_text
 from ..session import cut_lineage
 from ..sources.adapters import Outputs, base_fields, desi_outputs, image_outputs, with_fields
-from .membership import without_ids
+from .membership import among, without_ids
 from .ordering import BLOCK_ROWS, number_rows
 from .skew import HOT_ROWS, few_rows, hot_keys, small_side, spread_join
 
@@ -67,7 +67,7 @@ def join_pairs(
     An image whose index entry points to a missing spectrum is dropped.
     """
     images = images.withColumn("anchor_id", id_text(images, image_id))
-    keyed = _spectra_keys(spectra, spectrum_id)
+    keyed = among(_spectra_keys(spectra, spectrum_id), edges)
     located = cut_lineage(locate(edges, partner_cells, keyed).where(F.col("partner_row").isNotNull()))
     place = ["partner_norder", "partner_npix", "partner_row"]
     payload = keyed.select(*place, F.struct(*[F.col(f"`{c}`") for c in spectra.columns if c in keyed.columns]).alias("partner"))
