@@ -503,6 +503,23 @@ def test_units_encoded_together_equal_whole_texts():
     assert tool.encode(texts) == whole
 
 
+def test_plain_words_go_to_the_model():
+    tool = token_files.Encoder(tokenizer_path())
+    draw = random.Random(2)
+    parts = [" "] * 6 + ["\n", ".\n", ",", "!", "a", "The", "straße", "À", "Œuvre", "\u0100b", "\u024f", "re", "x" * 70]
+    texts = ["", " ", "a "] + ["".join(draw.choices(parts, k=draw.randrange(30))) for _ in range(3000)]
+    whole = [array("I", tool.tool.encode(t, add_special_tokens=False).ids).tobytes() for t in texts]
+    assert tool.encode(texts) == whole
+    for letter in map(chr, range(0x41, 0x250)):
+        if token_files._SPELLED(letter):
+            assert tool.encode([f"a b{letter}e{letter}.\n{letter}"]) == [array("I", tool.tool.encode(f"a b{letter}e{letter}.\n{letter}").ids).tobytes()]
+    seen = []
+    tool.known.clear()
+    tool._behind_space = lambda units: seen.extend(units) or [b""] * len(units)
+    plain = "a Word, or two.\nÉlan vital! Straße"
+    assert tool.encode([plain]) == [array("I", tool.tool.encode(plain, add_special_tokens=False).ids).tobytes()] and seen == []
+
+
 def _clean(texts, items):
     """Which texts the benchmark windows cover by less than a twentieth of their words."""
     phrases = {}
