@@ -56,9 +56,12 @@ def _few_listing_tasks(spark: SparkSession) -> Iterator[None]:
 
 
 def cell_of_path(path: Column) -> tuple[Column, Column]:
-    """Order and pixel out of a partition's path."""
-    order = F.substring_index(F.substring_index(path, "Norder=", -1), "/", 1)
-    pixel = F.substring_index(F.substring_index(path, "Npix=", -1), ".", 1)
+    """Order and pixel out of a partition's path, or of a file's as Spark names it: neither name holds what a URI encodes.
+
+    Rows are many, and this is done for each of them in every scan, so the path is not decoded for it.
+    """
+    order = F.substring_index(F.substring_index(path, "/Norder=", -1), "/", 1)
+    pixel = F.substring_index(F.substring_index(path, "/Npix=", -1), ".", 1)
     return order.cast("tinyint"), pixel.cast("bigint")
 
 
@@ -187,9 +190,10 @@ class Catalog:
             if chosen != sorted(self.partitions):
                 with _few_listing_tasks(self.spark):
                     table = self.spark.read.schema(self.schema).parquet(*chosen)
-        file = plain_path(F.col("_metadata.file_path"))
+        raw = F.col("_metadata.file_path")
+        file = plain_path(raw)
         path = partition_path(file)
-        order, pixel = cell_of_path(path)
+        order, pixel = cell_of_path(raw)
         rows = table.select(
             *project(table, columns),
             order.alias("norder"),

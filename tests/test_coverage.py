@@ -11,7 +11,7 @@ from starweave import build_index
 from starweave.functions.healpix import with_pixel
 from starweave.operators import crossmatch as module
 from starweave.plans.coverage import cell_radius, centres, intervals, overlapping, within_reach
-from starweave.sources.catalog import Catalog
+from starweave.sources.catalog import Catalog, write_catalog
 
 
 def test_intervals_are_sorted_and_disjoint():
@@ -92,3 +92,16 @@ def test_overlapping_cells_of_one_catalog_are_refused(spark, sky, monkeypatch, t
     flags += ["--partner-source", "desi", "--partner-revision", "p", "--out", str(tmp_path / "edges.parquet")]
     with pytest.raises(ValueError, match="maps to two cells"):
         build_index.build(spark, build_index.parser().parse_args(flags))
+
+
+def test_cells_are_read_off_file_names_undecoded(spark, tmp_path):
+    root = f"{tmp_path}/Norder=9 a+b%20c/é"
+    rows = [(f"r{k}", order, pixel, k) for k, (order, pixel) in enumerate([(5, 7), (5, 12_287), (4, 7), (5, 7)])]
+    write_catalog(spark.createDataFrame(rows, "object_id string, norder tinyint, npix long, row_index long"), root)
+    catalog = Catalog.open(spark, root)
+    found = catalog.scan(["object_id"]).select("object_id", "norder", "npix", "path").collect()
+    assert sorted(tuple(r)[:3] for r in found) == [r[:3] for r in rows]
+    tail = lambda path: path.partition("c/é/")[2]
+    assert {(r.norder, r.npix, tail(r.path)) for r in found} == {(order, pixel, tail(path)) for order, pixel, path in catalog.listing()}
+    plan = catalog.scan(["object_id"]).select("object_id", "norder", "npix")._jdf.queryExecution().optimizedPlan().toString()
+    assert "file_path" in plan and "decode" not in plan.lower()
